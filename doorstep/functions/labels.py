@@ -13,10 +13,16 @@ from doorstep.schema import (
 )
 
 
+def _literal(value) -> str:
+    if value is None:
+        return "NULL"
+    return repr(value) if isinstance(value, int) else "'" + value.replace("'", "\\'") + "'"
+
+
 def lookup(column: str, values: dict, default=None) -> Column:
     """The entry of a small fixed table for each value of ``column``."""
-    arms = [F.when(F.col(column) == key, found) for key, found in values.items()]
-    return F.coalesce(*arms, F.lit(default))
+    arms = " ".join(f"WHEN {_literal(key)} THEN {_literal(v)}" for key, v in values.items())
+    return F.expr(f"CASE {column} {arms} ELSE {_literal(default)} END")
 
 
 def _left_closed(value: Column, labels: list[str]) -> Column:

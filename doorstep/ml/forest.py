@@ -64,6 +64,9 @@ def train(
             maxDepth=depth,
             seed=seed,
         ).fit(vectors.transform(encoder.transform(cells)))
+        # A copy leaves the training summary behind, which would keep the cells and the session
+        # inside every scoring task.
+        forest = forest.copy()
     finally:
         cells.unpersist()
     return PipelineModel(stages=[bucket_stage(), encoder, vectors, forest])

@@ -4,12 +4,11 @@ Orders stand for delivery attempts and ``events`` for the live feed. Every deriv
 arithmetic on a key, so any engine gives the same rows.
 """
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from doorstep.functions.labels import lookup
 from doorstep.functions.scoring import expected_success_bp
-from doorstep.functions.text import window_start_hour
-from doorstep.schema import ADDRESS_TYPES, CITIES, DELIVERY_COLUMNS, EVENT, FAILURE_REASONS, WINDOWS
+from doorstep.schema import ADDRESS_TYPES, CITIES, FAILURE_REASONS, WINDOWS
 
 SEGMENT_ADDRESS = {
     "AUTOMOBILE": "Apartment",
@@ -17,6 +16,7 @@ SEGMENT_ADDRESS = {
     "FURNITURE": "House",
     "HOUSEHOLD": "Office",
 }
+WINDOW_START_HOURS = dict(zip(WINDOWS, [9, 12, 15, 19]))
 EVENT_STATUS = {
     "purchase": "DELIVERED",
     "error": "FAILED",
@@ -26,60 +26,74 @@ EVENT_STATUS = {
 }
 
 
+_schemas: dict[tuple[str, str], T.StructType] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A table of the star schema; its footers are read for the schema once per application."""
+    path = f"{sf_dir}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _schemas:
+        _schemas[key] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[key]).parquet(path)
 
 
-def _pick(index: Column, values: list[str]) -> Column:
-    return F.element_at(F.array(*map(F.lit, values)), index.cast("int") + 1)
+def _pick(index: str, values: list[str]) -> Column:
+    return lookup(index, dict(enumerate(values)))
 
 
 def deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One delivery attempt per order, in the declared columns.
 
-    Nation and region are folded into the customer side before it meets orders, so the only large
-    join is orders with customer on the customer key. No side is forced to broadcast: the planner
-    goes by the measured size, and AQE splits a customer key that holds many orders.
+    The only large join is orders with customer on the customer key; AQE splits a customer key that
+    holds many orders. Each dimension meets the orders by itself, so that the planner goes by the
+    size of its files, not by a guess at a join's output: nation and region are always small enough
+    to broadcast, customer only while it is below the session's threshold.
     """
-    nation = read_table(spark, sf_dir, "nation")
-    region = read_table(spark, sf_dir, "region")
-    customer = read_table(spark, sf_dir, "customer")
-    orders = read_table(spark, sf_dir, "orders")
-
-    cities = nation.join(region, nation.n_regionkey == region.r_regionkey)
-    homes = customer.join(cities, customer.c_nationkey == cities.n_nationkey).select(
-        "c_custkey",
+    orders, customer, nation, region = (
+        read_table(spark, sf_dir, name) for name in ("orders", "customer", "nation", "region")
+    )
+    placed = (
+        orders.join(customer, orders.o_custkey == customer.c_custkey)
+        .join(nation, customer.c_nationkey == nation.n_nationkey)
+        .join(region, nation.n_regionkey == region.r_regionkey)
+    )
+    rated = placed.select(
+        "o_orderkey",
+        "o_custkey",
+        "o_orderdate",
         F.col("r_name").alias("city"),
         lookup("c_mktsegment", SEGMENT_ADDRESS, "Gated Community").alias("address_type"),
+        _pick("quarter(o_orderdate) - 1", WINDOWS).alias("delivery_window"),
+        F.expr("round(o_totalprice / 62.5D, 2)").alias("order_value"),
     )
-    k = F.col("o_orderkey")
-    attempt_draw = (k * 31 + 17) % 97
-    placed = (
-        orders.join(homes, orders.o_custkey == homes.c_custkey)
-        .withColumn("delivery_window", _pick(F.quarter("o_orderdate") - 1, WINDOWS))
-        .withColumn("order_value", F.round(F.col("o_totalprice") / F.lit(62.5), 2))
-        .withColumn(
-            "is_successful",
-            ((k * 7919 + 4729) % 10007 < expected_success_bp()).cast("int"),
-        )
+    outcome = rated.withColumns(
+        {
+            "is_successful": (
+                F.expr("(o_orderkey * 7919 + 4729) % 10007") < expected_success_bp()
+            ).cast("int"),
+            "attempt_draw": F.expr("(o_orderkey * 31 + 17) % 97"),
+            "reason": _pick("(o_orderkey * 11 + 3) % 13 % 4", FAILURE_REASONS),
+        }
     )
-    return placed.select(
-        k.cast("string").alias("delivery_id"),
-        F.col("o_custkey").cast("string").alias("customer_id"),
+    return outcome.select(
+        F.expr("CAST(o_orderkey AS STRING) AS delivery_id"),
+        F.expr("CAST(o_custkey AS STRING) AS customer_id"),
         "city",
         "address_type",
         "delivery_window",
         "order_value",
         "is_successful",
-        F.when(
-            F.col("is_successful") == 0, _pick((k * 11 + 3) % 13 % 4, FAILURE_REASONS)
-        ).alias("failure_reason"),
-        F.when(attempt_draw < 68, 1).when(attempt_draw < 89, 2).otherwise(3).alias("attempt_number"),
-        F.to_date("o_orderdate").alias("attempt_date"),
-        window_start_hour().alias("attempt_hour"),
-        ((k * 13 + 5) % 89 < 36).cast("int").alias("has_delivery_preference"),
-        ((k * 17 + 11) % 101 < 45).cast("int").alias("proximity_alert_sent"),
-    ).select(DELIVERY_COLUMNS)
+        F.expr("CASE WHEN is_successful = 0 THEN reason END AS failure_reason"),
+        F.expr(
+            "CASE WHEN attempt_draw < 68 THEN 1 WHEN attempt_draw < 89 THEN 2 ELSE 3 END"
+            " AS attempt_number"
+        ),
+        F.expr("CAST(o_orderdate AS DATE) AS attempt_date"),
+        lookup("delivery_window", WINDOW_START_HOURS).alias("attempt_hour"),
+        F.expr("CAST((o_orderkey * 13 + 5) % 89 < 36 AS INT) AS has_delivery_preference"),
+        F.expr("CAST((o_orderkey * 17 + 11) % 101 < 45 AS INT) AS proximity_alert_sent"),
+    )
 
 
 def deliveries_as_text(df: DataFrame) -> DataFrame:
@@ -89,17 +103,16 @@ def deliveries_as_text(df: DataFrame) -> DataFrame:
 
 def delivery_events(events: DataFrame) -> DataFrame:
     """Delivery status events from the raw ``events`` rows; works on a batch or a stream."""
-    event_id, user_id = F.col("event_id"), F.col("user_id")
     return events.select(
-        event_id.cast("string").alias("delivery_id"),
-        _pick(user_id % 6, CITIES).alias("city"),
-        _pick(user_id % 5, ADDRESS_TYPES).alias("address_type"),
-        _pick(event_id % 4, WINDOWS).alias("window"),
+        F.expr("CAST(event_id AS STRING)").alias("delivery_id"),
+        _pick("user_id % 6", CITIES).alias("city"),
+        _pick("user_id % 5", ADDRESS_TYPES).alias("address_type"),
+        _pick("event_id % 4", WINDOWS).alias("window"),
         lookup("event_type", EVENT_STATUS).alias("status"),
-        F.col("ts").cast("timestamp").alias("timestamp"),
-        F.round(F.lit(150) + F.col("value") * 16, 2).alias("order_value"),
-        (event_id % 3 + 1).cast("int").alias("attempt"),
-    ).select(EVENT.fieldNames())
+        F.expr("CAST(ts AS TIMESTAMP)").alias("timestamp"),
+        F.expr("round(150 + value * 16, 2)").alias("order_value"),
+        F.expr("CAST(event_id % 3 + 1 AS INT)").alias("attempt"),
+    )
 
 
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
