@@ -394,9 +394,11 @@ def fitted_forest(spark: SparkSession, sf_dir: str) -> PipelineModel:
 
 @query
 def rf_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return forest.predict(fitted_forest(spark, sf_dir), deliveries(spark, sf_dir)).select(
-        "delivery_id", "prediction", "probability"
+    model = fitted_forest(spark, sf_dir)
+    scored = forest.predict_by_cell(
+        model, deliveries(spark, sf_dir), scratch_dir(spark, "scores")
     )
+    return scored.select("delivery_id", "prediction", "probability")
 
 
 @query
@@ -438,6 +440,7 @@ def what_if_uplift(spark: SparkSession, sf_dir: str) -> DataFrame:
 def model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "model")
     forest.save_model(fitted_forest(spark, sf_dir), path)
-    return forest.predict(forest.load_model(path), deliveries(spark, sf_dir)).select(
-        "delivery_id", "prediction"
+    scored = forest.predict_by_cell(
+        forest.load_model(path), deliveries(spark, sf_dir), scratch_dir(spark, "scores")
     )
+    return scored.select("delivery_id", "prediction")
