@@ -1,10 +1,11 @@
 """File sources and sinks."""
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
+from functools import reduce
+from operator import and_
 
-from doorstep.schema import DELIVERIES, DELIVERY_COLUMNS
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
-CORRUPT = "_corrupt_record"
+from doorstep.schema import DELIVERIES, DELIVERY_COLUMNS, REQUIRED_COLUMNS
 
 
 def read_deliveries(spark: SparkSession, path: str, *, infer: bool = False) -> DataFrame:
@@ -19,20 +20,18 @@ def read_deliveries(spark: SparkSession, path: str, *, infer: bool = False) -> D
 
 
 def read_deliveries_checked(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """Well-formed records, and the raw text of the lines that do not fit the schema."""
-    schema = T.StructType([*DELIVERIES.fields, T.StructField(CORRUPT, T.StringType())])
-    rows = (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .csv(path)
-    )
-    # A projection of the corrupt column alone is not allowed on a CSV scan, so the bad side keeps
-    # the id as well.
-    good = rows.where(F.col(CORRUPT).isNull()).select(DELIVERY_COLUMNS)
-    bad = rows.where(F.col(CORRUPT).isNotNull()).select("delivery_id", CORRUPT)
-    return good, bad
+    """Typed records, and as text those where a required value is missing or does not parse.
+
+    The split is made by expressions over text columns. The CSV reader's own corrupt-record column
+    would not do: it looks only at the columns a query selects.
+    """
+    text = spark.read.schema(
+        T.StructType([T.StructField(c, T.StringType()) for c in DELIVERY_COLUMNS])
+    ).option("header", True).csv(path)
+    typed = {f.name: F.col(f.name).try_cast(f.dataType) for f in DELIVERIES}
+    fits = reduce(and_, [typed[c].isNotNull() for c in REQUIRED_COLUMNS])
+    good = text.where(fits).select([value.alias(c) for c, value in typed.items()])
+    return good, text.where(~fits)
 
 
 def write_deliveries_csv(df: DataFrame, path: str) -> None:

@@ -93,8 +93,7 @@ def test_mart_window_threshold_is_strict(attempts):
     assert [(r.delivery_window, r.total_attempts, r.fadr) for r in kept] == [("w", 51, 0.1961)]
 
 
-def test_rank_after_rounding_keeps_ties(attempts, rows):
-    # 1/30000 apart before rounding, equal after.
+def test_rank_keeps_ties(attempts, rows):
     df = attempts(
         *by_success(3, 1, address_type="A"),
         *by_success(3, 1, address_type="B"),
@@ -107,6 +106,7 @@ def test_rank_after_rounding_keeps_ties(attempts, rows):
 
 
 def test_rank_uses_the_rounded_rate(spark, rows):
+    # The two rates differ before rounding to two decimals, not after.
     schema = "city string, address_type string, is_successful int"
     near = [("x", "A", int(i < 10000)) for i in range(30001)]
     nearer = [("x", "B", int(i < 10001)) for i in range(30003)]
