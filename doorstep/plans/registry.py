@@ -3,7 +3,7 @@
 from collections.abc import Callable
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from doorstep.functions import labels, scoring, text
 from doorstep.functions.rates import failure
@@ -16,12 +16,14 @@ from doorstep.schema import (
     DELIVERIES,
     DELIVERY_COLUMNS,
     EVENING,
+    EVENT,
     LABEL,
     NARROW_EVENT,
 )
-from doorstep.session import scratch_dir
-from doorstep.sources import files, tables
-from doorstep.sources.star import deliveries, deliveries_as_text, read_events
+from doorstep.session import keep_state_on_disk, scratch_dir
+from doorstep.sources import files, landing, tables
+from doorstep.sources.landing import deliveries
+from doorstep.sources.star import deliveries_as_text, read_events
 from doorstep.streaming import events as stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -190,9 +192,7 @@ def status_update_payload(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch_dir(spark, "csv")
-    files.write_deliveries_csv(deliveries(spark, sf_dir), path)
-    return files.read_deliveries(spark, path)
+    return files.read_deliveries(spark, landing.deliveries_csv_path(spark, sf_dir))
 
 
 @query
@@ -239,9 +239,8 @@ def export_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def daily_job_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole daily job from a CSV landing, read back from its segment table."""
-    landing = scratch_dir(spark, "landing")
-    files.write_deliveries_csv(deliveries(spark, sf_dir), landing)
-    outputs = run_daily(spark, landing, scratch_dir(spark, "daily"))
+    source = landing.deliveries_csv_path(spark, sf_dir)
+    outputs = run_daily(spark, source, scratch_dir(spark, "daily"))
     return spark.read.parquet(outputs.table("fadr_by_segment"))
 
 
@@ -254,11 +253,14 @@ def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- streaming --------------------------------------------------------------------------------
 
-def _land_events(spark: SparkSession, sf_dir: str) -> str:
-    """The event history as a folder of JSON lines, standing in for the message topic."""
-    path = scratch_dir(spark, "events")
-    stream.encode_events(read_events(spark, sf_dir)).select("value").write.text(path)
-    return path
+# A backlog is worked off in bounded micro-batches, so that a failure repeats one of them only.
+BACKLOG_BATCH = {"maxBytesPerTrigger": str(64 * 1024**3)}
+
+
+def _received(spark: SparkSession, log: str, schema: T.StructType = EVENT) -> DataFrame:
+    """The well-formed events of a log, as a stream."""
+    raw = stream.event_source(spark, "text", path=log, **BACKLOG_BATCH)
+    return stream.decode_events(raw, schema)[0]
 
 
 def _drain(spark: SparkSession, decoded: DataFrame, *, stamped: bool = False) -> DataFrame:
@@ -278,33 +280,28 @@ def event_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def event_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = stream.event_source(spark, "text", path=_land_events(spark, sf_dir))
-    good, _ = stream.decode_events(raw)
-    return _drain(spark, good)
+    return _drain(spark, _received(spark, landing.event_log_path(spark, sf_dir)))
 
 
 @query
 def event_decode_narrow(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = stream.event_source(spark, "text", path=_land_events(spark, sf_dir))
-    good, _ = stream.decode_events(raw, NARROW_EVENT)
-    return _drain(spark, good)
+    log = landing.event_log_path(spark, sf_dir)
+    return _drain(spark, _received(spark, log, NARROW_EVENT))
 
 
 @query
 def event_append(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = stream.event_source(spark, "text", path=_land_events(spark, sf_dir))
-    good, _ = stream.decode_events(raw)
-    return _drain(spark, good, stamped=True).drop("consumed_at")
+    log = landing.event_log_path(spark, sf_dir)
+    return _drain(spark, _received(spark, log), stamped=True).drop("consumed_at")
 
 
 @query
 def live_fadr(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = stream.event_source(spark, "text", path=_land_events(spark, sf_dir))
-    good, _ = stream.decode_events(raw)
+    received = _received(spark, landing.event_log_path(spark, sf_dir))
     checkpoint = scratch_dir(spark, "live")
     name = checkpoint.rsplit("/", 1)[1].replace("-", "_")
     stream.show_live_fadr(
-        stream.live_fadr(good), name, checkpoint, available_now=True
+        stream.live_fadr(received), name, checkpoint, available_now=True
     ).awaitTermination()
     return spark.table(name)
 
@@ -312,24 +309,24 @@ def live_fadr(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def event_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All events, then every third one again after a restart from the same checkpoint."""
-    log, sink = _land_events(spark, sf_dir), scratch_dir(spark, "dedup")
+    keep_state_on_disk(spark)
+    log, sink = scratch_dir(spark, "events"), scratch_dir(spark, "dedup")
+    events = read_events(spark, sf_dir)
 
     def drain() -> None:
-        good, _ = stream.decode_events(stream.event_source(spark, "text", path=log))
         stream.append_events(
-            stream.dedup_events(good, REPLAY_DELAY),
+            stream.dedup_events(_received(spark, log), REPLAY_DELAY),
             f"{sink}/table",
             f"{sink}/checkpoint",
             available_now=True,
         ).awaitTermination()
 
+    landing.write_event_log(events, log)
     drain()
-    replayed = read_events(spark, sf_dir).where(F.col("delivery_id").cast("long") % 3 == 0)
-    stream.encode_events(replayed).select("value").write.mode("append").text(log)
+    landing.write_event_log(events.where(F.col("delivery_id").cast("long") % 3 == 0), log)
     drain()
-    return (
-        spark.read.parquet(f"{sink}/table").groupBy("status").agg(F.count("*").alias("n"))
-    )
+    table = spark.read.schema(EVENT).parquet(f"{sink}/table")
+    return table.groupBy("status").agg(F.count("*").alias("n"))
 
 
 # --- classifier -------------------------------------------------------------------------------

@@ -5,6 +5,9 @@ import uuid
 
 from pyspark.sql import SparkSession
 
+STATE_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 
 def build_session(app_name: str = "doorstep", **conf) -> SparkSession:
     """A session with the settings the jobs rely on; master and sizing come from spark-submit.
@@ -20,16 +23,22 @@ def build_session(app_name: str = "doorstep", **conf) -> SparkSession:
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled", "true")
-        .config(
-            "spark.sql.streaming.stateStore.providerClass",
-            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-        )
+        .config(STATE_PROVIDER, ROCKSDB_PROVIDER)
     )
     for key, value in conf.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
 
+def keep_state_on_disk(spark: SparkSession) -> None:
+    """Move a session from the default, heap-bound streaming state to RocksDB.
+
+    A session that names a provider of its own keeps it.
+    """
+    if spark.conf.get(STATE_PROVIDER).endswith(".HDFSBackedStateStoreProvider"):
+        spark.conf.set(STATE_PROVIDER, ROCKSDB_PROVIDER)
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder path under ``spark.checkpoint.dir``, which every executor can reach.
 
