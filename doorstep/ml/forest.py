@@ -4,7 +4,7 @@ from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from doorstep.functions.labels import value_bucket_code
 from doorstep.ml.features import RAW_FEATURES, assembler, bucket_stage, label_encoder
@@ -153,16 +153,9 @@ def what_if(
             (F.sum(F.col("probability") * F.col("weight")) / F.sum("weight")).alias("probability")
         )
     )
-    if by:
-        as_is = means.where(F.col("scenario") == "as_is").select(
-            *groups, F.col("probability").alias("base")
-        )
-        means = means.join(as_is, groups)
-        base_rate = F.col("base")
-    else:
-        base_rate = means.agg(
-            F.max(F.when(F.col("scenario") == "as_is", F.col("probability")))
-        ).scalar()
+    as_is = F.max(F.when(F.col("scenario") == "as_is", F.col("probability")))
+    # A window here holds one row per scenario.
+    base_rate = as_is.over(Window.partitionBy(groups)) if by else means.agg(as_is).scalar()
     return means.select(
         "scenario",
         *[F.col(f"_{c}").alias(c) for c in by],

@@ -2,6 +2,7 @@
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from doorstep.functions.labels import high_risk_flag, value_bucket_labels
 from doorstep.schema import DELIVERIES
 
 
@@ -21,6 +22,13 @@ def stage_deliveries(df: DataFrame) -> DataFrame:
     )
 
 
+def with_features(df: DataFrame) -> DataFrame:
+    """Adds the value bucket label and the high-risk flag."""
+    return df.withColumns(
+        {"order_value_bucket": value_bucket_labels(), "is_high_risk": high_risk_flag()}
+    )
+
+
 def filter_records(df: DataFrame, **equals) -> DataFrame:
     """Records whose columns equal the given values."""
     for column, value in equals.items():

@@ -338,6 +338,12 @@ FROM f""",
     "json_records": "SELECT delivery_id, city, is_successful FROM d WHERE city = 'ASIA'",
     "table_reload": "SELECT city, COUNT(*) AS n FROM d GROUP BY city",
     "parquet_roundtrip": f"SELECT {COLUMNS} FROM d",
+    "featured_partitions": """SELECT delivery_id, city,
+        CASE WHEN order_value < 500 THEN 'Under 500' WHEN order_value < 1500 THEN '500-1500'
+            WHEN order_value < 3000 THEN '1500-3000' ELSE 'Above 3000' END AS order_value_bucket,
+        CAST(address_type IN ('Apartment', 'PG/Hostel') AND delivery_window = 'Morning (9-12)'
+            AND has_delivery_preference = 0 AS INTEGER) AS is_high_risk
+        FROM d""",
     "export_mart": SEGMENT,
     "daily_job_marts": SEGMENT,
     "quality_report": _quality_report(),

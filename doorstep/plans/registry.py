@@ -228,6 +228,16 @@ def parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.read_partitioned(spark, path, expected_rows=rows).select(DELIVERY_COLUMNS)
 
 
+@query
+def featured_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Feature columns added, written by city and read back."""
+    path = scratch_dir(spark, "featured")
+    featured = staging.with_features(deliveries(spark, sf_dir))
+    rows = files.write_partitioned(featured, path)
+    back = files.read_partitioned(spark, path, expected_rows=rows)
+    return back.select("delivery_id", "city", "order_value_bucket", "is_high_risk")
+
+
 @query
 def export_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "export")

@@ -3,6 +3,7 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from doorstep.operators import counts, rates
 from doorstep.plans.registry import all_queries
@@ -65,3 +66,32 @@ def test_aggregation_is_partial_before_the_shuffle(spark, sf_dir):
 
 def test_top_k_needs_no_full_sort(spark, sf_dir):
     assert "TakeOrderedAndProject" in physical(rates.worst_combinations(deliveries(spark, sf_dir)))
+
+
+def test_a_hot_customer_is_split(spark, sf_dir, tmp_path):
+    """With both join sides too large to broadcast, AQE splits a customer with a third of all orders."""
+    sf_dir = sf_dir.replace("sf0.001", "sf0.01")
+    for name in ("customer", "nation", "region"):
+        spark.read.parquet(f"{sf_dir}/{name}.parquet").write.parquet(f"{tmp_path}/{name}.parquet")
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    hot = F.when(F.col("o_orderkey") % 3 == 0, 7).otherwise(F.col("o_custkey"))
+    many = orders.withColumn("o_custkey", hot.cast("long")).repartition(8)
+    many.write.parquet(f"{tmp_path}/orders.parquet")
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "8192",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "8192",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "8k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    other = spark.newSession()
+    for key, value in settings.items():
+        other.conf.set(key, value)
+    df = rates.city_summary(deliveries(other, str(tmp_path)))
+    total = sum(r.attempts for r in df.collect())
+    plan = physical(df)
+    assert total == 15000
+    assert "SortMergeJoin(skew=true)" in plan
+    assert plan.split("== Initial Plan ==")[0].count("BroadcastHashJoin") == 2
