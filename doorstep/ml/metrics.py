@@ -28,9 +28,15 @@ def classification_metrics(
     same result. With one class only, the AUC is NULL.
     """
     w = _weight(weight)
-    by_score = df.groupBy(F.col(score).alias("score")).agg(
-        F.sum(F.when(F.col(label) == 1, w).otherwise(0)).cast("double").alias("pos"),
-        F.sum(F.when(F.col(label) == 0, w).otherwise(0)).cast("double").alias("neg"),
+    # The filter on both counts also keeps them in the subquery below, which can then reuse the
+    # exchange of this aggregation: the rows are read and scored once.
+    by_score = (
+        df.groupBy(F.col(score).alias("score"))
+        .agg(
+            F.sum(F.when(F.col(label) == 1, w).otherwise(0)).cast("double").alias("pos"),
+            F.sum(F.when(F.col(label) == 0, w).otherwise(0)).cast("double").alias("neg"),
+        )
+        .where(F.col("pos") + F.col("neg") > 0)
     )
     steps = F.array(*[F.lit(i / ranges) for i in range(1, ranges)])
     cuts = by_score.agg(F.percentile_approx("score", steps, F.lit(10 * ranges))).scalar()

@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, functions as F
 
-from doorstep.functions.rates import attempts, percent_of
+from doorstep.functions.rates import attempts, percent_of, success_percent
 from doorstep.schema import (
     COST_PER_FAILURE,
     DAILY_VOLUME,
@@ -83,3 +83,9 @@ def savings_scenarios(
         )
         .withColumn("annual_savings", F.col("daily_savings") * 365)
     )
+
+
+def savings_by_city(df: DataFrame, **options) -> DataFrame:
+    """:func:`savings_scenarios` from each city's own current rate."""
+    by_city = df.groupBy("city").agg(success_percent().alias("fadr_pct"))
+    return savings_scenarios(by_city, **options)

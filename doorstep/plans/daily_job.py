@@ -11,6 +11,7 @@ from doorstep.operators.quality import (
     not_empty,
     run_checks,
     staging_checks,
+    unique,
 )
 from doorstep.operators.staging import stage_deliveries
 from doorstep.schema import MART_MIN_ATTEMPTS
@@ -56,6 +57,7 @@ def run_daily(
 
     assert_checks(run_checks(staged, staging_checks()))
     built = {name: spark.read.parquet(outputs.table(name)) for name in marts}
+    assert_checks(run_checks(built["fadr_by_segment"], [unique("city", "address_type")]))
     # A small load may leave no segment above the window mart's threshold, so only the city mart
     # has to hold rows.
     by_city = built["mart_fadr_by_city_and_address"]

@@ -105,12 +105,8 @@ def fadr_heatmap_one_city(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def savings_scenarios(spark: SparkSession, sf_dir: str) -> DataFrame:
-    by_city = rates.success_rates(deliveries(spark, sf_dir), "city", rate="fadr_pct")
-    scenarios = dashboard.savings_scenarios(
-        by_city.select("city", "fadr_pct"), costs=SCENARIO_COSTS
-    )
     return _rounded(
-        scenarios,
+        dashboard.savings_by_city(deliveries(spark, sf_dir), costs=SCENARIO_COSTS),
         "target_fadr", "current_failures", "target_failures", "daily_savings", "annual_savings",
     )
 
@@ -353,8 +349,9 @@ def _rule_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def label_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    values = deliveries(spark, sf_dir).select(features.CATEGORIES)
-    codes = features.label_encoder().fit(values).transform(values.distinct())
+    # Alphabetical codes depend on which values occur, not on how often.
+    combinations = deliveries(spark, sf_dir).select(features.CATEGORIES).distinct()
+    codes = features.label_encoder().fit(combinations).transform(combinations)
     return codes.select(
         *features.CATEGORIES,
         *[F.col(f"{c}_enc").cast("int").alias(f"{c}_enc") for c in features.CATEGORIES],

@@ -35,6 +35,7 @@ REPORTS: dict[str, Callable[[DataFrame], DataFrame]] = {
         ranking.worst_address_per_city,
         dashboard.kpis,
         dashboard.fadr_heatmap,
+        dashboard.savings_by_city,
     )
 }
 

@@ -18,10 +18,19 @@ from doorstep.streaming.events import encode_events
 _landed: dict[tuple[str, str, str], str] = {}
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    return folder.getFileSystem(hadoop).exists(folder)
+
+
 def _once(spark: SparkSession, sf_dir: str, kind: str, write: Callable[[str], object]) -> str:
-    """The folder of this kind for these tables, written by the first caller of the application."""
+    """The folder of this kind for these tables, written by the first caller of the application.
+
+    It is written again if someone has cleared it meanwhile.
+    """
     key = (spark.sparkContext.applicationId, sf_dir, kind)
-    if key not in _landed:
+    if key not in _landed or not _exists(spark, _landed[key]):
         path = scratch_dir(spark, kind)
         write(path)
         _landed[key] = path

@@ -57,11 +57,18 @@ def encode_events(events: DataFrame, key: str = "city") -> DataFrame:
 
 
 def publish_events(
-    encoded: DataFrame, checkpoint: str, fmt: str = "kafka", **options: str
+    encoded: DataFrame,
+    checkpoint: str,
+    fmt: str = "kafka",
+    *,
+    available_now: bool = False,
+    every: str | None = None,
+    **options: str,
 ) -> StreamingQuery:
+    """Send ``(key, value)`` messages to the event topic, or to another sink."""
     if fmt == "kafka":
         options = {"topic": TOPIC, **options}
-    return _start(encoded, fmt, checkpoint, available_now=False, **options)
+    return _start(encoded, fmt, checkpoint, available_now, every, **options)
 
 
 def stamp_consumed(events: DataFrame) -> DataFrame:
@@ -69,13 +76,19 @@ def stamp_consumed(events: DataFrame) -> DataFrame:
 
 
 def append_events(
-    events: DataFrame, path: str, checkpoint: str, *, available_now: bool = False
+    events: DataFrame,
+    path: str,
+    checkpoint: str,
+    *,
+    available_now: bool = False,
+    every: str | None = None,
 ) -> StreamingQuery:
     """Append every event to the Parquet event table at ``path``, one commit per micro-batch.
 
-    The sink's commit log and the checkpoint make a replayed micro-batch harmless.
+    The sink's commit log and the checkpoint make a replayed micro-batch harmless. ``every`` sets
+    the time between micro-batches; ``available_now`` stops when the backlog is read.
     """
-    return _start(events, "parquet", checkpoint, available_now=available_now, path=path)
+    return _start(events, "parquet", checkpoint, available_now, every, path=path)
 
 
 def live_fadr(events: DataFrame) -> DataFrame:
@@ -92,11 +105,19 @@ def live_fadr(events: DataFrame) -> DataFrame:
 
 
 def show_live_fadr(
-    rate: DataFrame, name: str, checkpoint: str, *, available_now: bool = False
+    rate: DataFrame,
+    name: str,
+    checkpoint: str,
+    *,
+    available_now: bool = False,
+    every: str | None = None,
 ) -> StreamingQuery:
-    """Keep the one-row answer of :func:`live_fadr` as the in-memory table ``name``."""
+    """Keep the one-row answer of :func:`live_fadr` as the in-memory table ``name``.
+
+    ``every`` sets how often it is refreshed.
+    """
     return _start(
-        rate, "memory", checkpoint, mode="complete", name=name, available_now=available_now
+        rate, "memory", checkpoint, available_now, every, mode="complete", name=name
     )
 
 
@@ -137,10 +158,11 @@ def _start(
     df: DataFrame,
     fmt: str,
     checkpoint: str,
+    available_now: bool,
+    every: str | None,
     *,
     mode: str = "append",
     name: str | None = None,
-    available_now: bool,
     **options: str,
 ) -> StreamingQuery:
     writer = df.writeStream.format(fmt).outputMode(mode).options(**options)
@@ -149,4 +171,6 @@ def _start(
         writer = writer.queryName(name)
     if available_now:
         writer = writer.trigger(availableNow=True)
+    elif every:
+        writer = writer.trigger(processingTime=every)
     return writer.start()

@@ -9,14 +9,25 @@ import duckdb
 TABLES = "region nation customer supplier part orders lineitem events".split()
 
 
-def duck_rows(sql: str, sf_dir: str) -> tuple[list[str], list[tuple]]:
+DUCK_TYPES = {
+    "string": "VARCHAR",
+    "int": "INTEGER",
+    "bigint": "BIGINT",
+    "double": "DOUBLE",
+    "boolean": "BOOLEAN",
+    "date": "DATE",
+    "timestamp": "TIMESTAMP",
+}
+
+
+def duck_rows(sql: str, sf_dir: str) -> tuple[dict[str, str], list[tuple]]:
     con = duckdb.connect()
     for table in TABLES:
         path = Path(sf_dir) / f"{table}.parquet"
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{path}'")
     result = con.execute(sql)
-    names = [column[0] for column in result.description]
-    return names, result.fetchall()
+    types = {column[0]: str(column[1]) for column in result.description}
+    return types, result.fetchall()
 
 
 def canonical(names: list[str], rows: list) -> list[tuple]:
@@ -33,9 +44,11 @@ def _value(v):
 
 
 def mismatch(df, sql: str, sf_dir: str) -> str | None:
-    names, expected = duck_rows(sql, sf_dir)
-    if sorted(df.columns) != sorted(names):
-        return f"columns {sorted(df.columns)} != {sorted(names)}"
+    expected_types, expected = duck_rows(sql, sf_dir)
+    types = {name: DUCK_TYPES[kind] for name, kind in df.dtypes}
+    if types != expected_types:
+        return f"types {sorted(types.items())} != {sorted(expected_types.items())}"
+    names = list(expected_types)
     got = canonical(df.columns, [tuple(r) for r in df.collect()])
     want = canonical(names, expected)
     if len(got) != len(want):

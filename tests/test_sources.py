@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from doorstep.operators.marts import fadr_by_segment
 from doorstep.schema import DELIVERIES, DELIVERY_COLUMNS
 from doorstep.session import scratch_dir
-from doorstep.sources import files, star, tables
+from doorstep.sources import files, landing, star, tables
 
 
 @pytest.fixture(scope="module")
@@ -128,6 +128,17 @@ def test_export_is_plain_csv(df, tmp_path):
     assert len([line for line in lines if line != header]) == mart.count()
 
 
+def test_tables_are_landed_once_and_again_when_cleared(spark, sf_dir, df, tmp_path):
+    first = landing.deliveries_path(spark, sf_dir)
+    assert landing.deliveries_path(spark, sf_dir) == first
+    assert same_rows(landing.deliveries(spark, sf_dir), df)
+    writes = []
+    for _ in range(2):
+        # Nothing is written to the folder, as if it had been cleared.
+        landing._once(spark, str(tmp_path), "none", writes.append)
+    assert len(set(writes)) == 2
+
+
 def test_scratch_is_fresh_and_shared(spark):
     first, second = scratch_dir(spark, "x"), scratch_dir(spark, "x")
     assert first != second

@@ -140,7 +140,7 @@ def test_publish_to_a_file_sink(spark, sf_dir, tmp_path):
     source = spark.readStream.schema(sent.schema).parquet(str(tmp_path / "in"))
     query = stream.publish_events(
         stream.encode_events(source).select("value"), str(tmp_path / "ck"), "text",
-        path=str(tmp_path / "out"),
+        every="1 second", path=str(tmp_path / "out"),
     )
     query.processAllAvailable()
     query.stop()
