@@ -351,6 +351,13 @@ FROM f""",
         CAST(DENSE_RANK() OVER (ORDER BY address_type) - 1 AS INTEGER) AS address_type_enc,
         CAST(DENSE_RANK() OVER (ORDER BY delivery_window) - 1 AS INTEGER) AS delivery_window_enc,
         CAST(DENSE_RANK() OVER (ORDER BY city) - 1 AS INTEGER) AS city_enc FROM d""",
+    "feature_columns": """SELECT delivery_id,
+        CAST(DENSE_RANK() OVER (ORDER BY address_type) - 1 AS INTEGER) AS address_type_enc,
+        CAST(DENSE_RANK() OVER (ORDER BY delivery_window) - 1 AS INTEGER) AS delivery_window_enc,
+        CAST(DENSE_RANK() OVER (ORDER BY city) - 1 AS INTEGER) AS city_enc,
+        CAST(CASE WHEN order_value <= 500 THEN 0 WHEN order_value <= 1500 THEN 1
+            WHEN order_value <= 3000 THEN 2 ELSE 3 END AS INTEGER) AS order_value_bucket,
+        attempt_number, has_delivery_preference, proximity_alert_sent FROM d""",
     "train_test_split": """SELECT
         CASE WHEN SUBSTRING(MD5(delivery_id), 1, 4) < '3333' THEN 'test' ELSE 'train' END AS part,
         is_successful, COUNT(*) AS n FROM d GROUP BY ALL""",

@@ -3,6 +3,7 @@
 from collections.abc import Callable
 
 from pyspark.ml import PipelineModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from doorstep.functions import labels, scoring, text
@@ -17,6 +18,7 @@ from doorstep.schema import (
     DELIVERY_COLUMNS,
     EVENING,
     EVENT,
+    FEATURES,
     LABEL,
     NARROW_EVENT,
 )
@@ -358,6 +360,19 @@ def label_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def feature_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The assembled feature vector of every delivery, one column per feature."""
+    df = deliveries(spark, sf_dir)
+    encoder = features.label_encoder().fit(df.select(features.CATEGORIES).distinct())
+    stages = PipelineModel(stages=[features.bucket_stage(), encoder, features.assembler()])
+    values = vector_to_array("features")
+    return stages.transform(df).select(
+        "delivery_id",
+        *[values[i].cast("int").alias(name) for i, name in enumerate(FEATURES)],
+    )
+
+
 @query
 def train_test_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = F.when(features.is_test(), "test").otherwise("train").alias("part")

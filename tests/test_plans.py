@@ -10,7 +10,7 @@ from doorstep.plans.registry import all_queries
 from doorstep.sources.star import deliveries
 
 # These run jobs while they are built, so their result is a plain scan or a stream's sink.
-EAGER = re.compile("roundtrip|record|reload|export_mart|daily|event_|live|load_report|rf_|what_if|label_encode")
+EAGER = re.compile("roundtrip|record|reload|export_mart|daily|event_|live|load_report|rf_|what_if|label_encode|feature|partitions")
 LAZY = sorted(n for n in all_queries() if not EAGER.search(n))
 
 
