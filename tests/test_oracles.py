@@ -4,8 +4,10 @@ import pytest
 
 import __spark_entry__ as contract
 from compare import mismatch
+from doorstep.plans.oracles import all_oracles
+from doorstep.plans.registry import all_queries
 
-QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
+QUERIES, ORACLES = all_queries(), all_oracles()
 FOREST_QUERIES = {
     "rf_predictions",
     "rf_evaluation",
@@ -21,6 +23,7 @@ LARGER = {"worst_combinations", "mart_window_alerts"}
 def test_only_the_forest_has_no_twin():
     assert set(QUERIES) - set(ORACLES) == FOREST_QUERIES
     assert set(ORACLES) <= set(QUERIES)
+    assert set(QUERIES) <= set(contract.queries()) and set(ORACLES) <= set(contract.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
