@@ -5,6 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from doorstep.llm.host_quality import keep_documents
+from doorstep.llm.simhash import keep_one
 from doorstep.llm.tables import DOCUMENT_COLUMNS, documents
 from doorstep.session import scratch_dir
 
@@ -16,8 +17,14 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return keep_documents(docs).select(DOCUMENT_COLUMNS)
 
 
+def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate group, the one with the least id."""
+    return keep_one(docs).select(DOCUMENT_COLUMNS)
+
+
 STAGES: list[tuple[str, Stage]] = [
     ("quality rules", quality_rules),
+    ("simhash near-dedup", simhash_near_dedup),
 ]
 
 #: No SQL twin: near-duplicate groups, retrieval and token files are beyond SQL.

@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from doorstep.llm import host_quality
+from doorstep.llm import host_quality, simhash
 from doorstep.llm.tables import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,3 +25,9 @@ def all_queries() -> dict[str, Query]:
 def op7_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The measures and the verdict of every document."""
     return host_quality.judge(documents(spark, sf_dir))
+
+
+@query
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and near-duplicate group of every document."""
+    return simhash.near_duplicates(documents(spark, sf_dir))
