@@ -4,9 +4,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from doorstep.llm.decontamination import keep_clean
 from doorstep.llm.host_quality import keep_documents
+from doorstep.llm.mixing import mixed_documents
 from doorstep.llm.simhash import keep_one
-from doorstep.llm.tables import DOCUMENT_COLUMNS, documents
+from doorstep.llm.tables import DOCUMENT_COLUMNS, documents, read
 from doorstep.session import scratch_dir
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -22,9 +24,21 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     return keep_one(docs).select(DOCUMENT_COLUMNS)
 
 
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that hold no benchmark item."""
+    return keep_clean(docs, read(spark, sf_dir, "benchmark")).select(DOCUMENT_COLUMNS)
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix: whole documents once or twice, and runs of words of some."""
+    return mixed_documents(docs).select(DOCUMENT_COLUMNS)
+
+
 STAGES: list[tuple[str, Stage]] = [
     ("quality rules", quality_rules),
     ("simhash near-dedup", simhash_near_dedup),
+    ("benchmark decontamination", benchmark_decontamination),
+    ("source mix", source_mix),
 ]
 
 #: No SQL twin: near-duplicate groups, retrieval and token files are beyond SQL.

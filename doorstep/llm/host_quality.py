@@ -17,7 +17,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from doorstep.llm.tables import SPACES, settled
+from doorstep.llm.tables import SPACES, settled, words
 
 SYMBOLS = "#*$%&|<>"
 RULES = ("few_words", "repetitive", "symbols", "dup_lines")
@@ -36,22 +36,17 @@ class HostRules:
     trust_rate: float = 0.005
 
 
-def _split_words(text: Column) -> Column:
-    """The words of a text; runs of white space leave no empty words."""
-    return F.array_remove(F.split(F.translate(text, SPACES, " " * len(SPACES)), " "), "")
-
-
-def _windows(words: Column, bits: Column) -> Column:
+def _windows(tokens: Column, bits: Column) -> Column:
     """Every three-word window as one long: its hash above ``bits`` bits, its position below, sorted.
 
     ``bits`` is what the positions of this text need, so a text of 500 words keeps 55 bits of hash and
     one of a million words 44: a false match between two windows of one text stays improbable.
     """
-    last = F.size(words) - 2
+    last = F.size(tokens) - 2
     windows = F.transform(
         F.sequence(F.lit(1), last),
         lambda i: F.call_function(
-            "shiftleft", F.xxhash64(words[i - 1], words[i], words[i + 1]), bits
+            "shiftleft", F.xxhash64(tokens[i - 1], tokens[i], tokens[i + 1]), bits
         ).bitwiseOR(i.cast("long")),
     )
     return F.when(last < 2, F.array().cast("array<bigint>")).otherwise(F.sort_array(windows))
@@ -77,7 +72,7 @@ def measure(docs: DataFrame) -> DataFrame:
     covered = F.concat(starts, F.transform(starts, lambda p: p + 1), F.transform(starts, lambda p: p + 2))
     return (
         docs.select("doc_id", F.col("source").alias("host"), text.alias("body"))
-        .withColumn("words", _split_words(F.col("body")))
+        .withColumn("words", words(F.col("body")))
         .withColumn("lines", lines)
         .withColumn("bits", F.ceil(F.log2(F.size("words") + 2)).cast("int"))
         .withColumn("windows", _windows(F.col("words"), F.col("bits")))
@@ -120,49 +115,38 @@ def host_rates(failed: DataFrame) -> DataFrame:
         F.count("*").alias("n_docs"),
         *[F.sum(F.col(r).cast("long")).alias(f"{r}_failures") for r in RULES],
     )
+    counts = settled(counts, "hosts")
     totals = counts.agg(
         F.count("*").alias("hosts"),
-        F.sum("n_docs").alias("all_docs"),
-        *[F.sum(f"{r}_failures").alias(f"{r}_all") for r in RULES],
-    )
-    # One row of totals; the hosts meet it by a join on nothing but that row.
-    moments = counts.join(F.broadcast(totals)).agg(
-        F.first("hosts").alias("hosts"),
-        F.first("all_docs").alias("all_docs"),
-        *[F.first(f"{r}_all").alias(f"{r}_all") for r in RULES],
-        *[
-            F.sum(
-                F.col("n_docs")
-                * F.pow(
-                    F.col(f"{r}_failures") / F.col("n_docs") - F.col(f"{r}_all") / F.col("all_docs"),
-                    2,
-                )
-            ).alias(f"{r}_spread")
-            for r in RULES
-        ],
-    )
-    priors = moments.select(*[c for r in RULES for c in _prior(r)])
-    return counts.join(F.broadcast(priors)).select(
-        "host",
-        "n_docs",
-        *[f"{r}_failures" for r in RULES],
-        *[_shrunk(r).alias(f"{r}_rate") for r in RULES],
-    )
+        F.coalesce(F.sum("n_docs"), F.lit(0)).alias("docs"),
+        *[F.coalesce(F.sum(f"{r}_failures"), F.lit(0)).alias(r) for r in RULES],
+    ).first()
+    means = {r: totals[r] / max(totals["docs"], 1) for r in RULES}
+    spreads = counts.agg(*[F.sum(_spread(r, means[r])).alias(r) for r in RULES]).first()
+    rates = [
+        _shrunk(r, means[r], _prior_weight(means[r], spreads[r], totals["hosts"], totals["docs"])).alias(
+            f"{r}_rate"
+        )
+        for r in RULES
+    ]
+    return counts.select("host", "n_docs", *[f"{r}_failures" for r in RULES], *rates)
+
+
+def _spread(rule: str, mean: float) -> Column:
+    return F.col("n_docs") * F.pow(F.col(f"{rule}_failures") / F.col("n_docs") - mean, 2)
 
 
-def _prior(rule: str) -> tuple[Column, Column]:
-    """Mean and weight of one rule's prior; a null weight stands for an infinite one."""
-    mean = F.col(f"{rule}_all") / F.col("all_docs")
+def _prior_weight(mean: float, spread: float | None, hosts: int, docs: int) -> float | None:
+    """Documents that the prior counts for; none if the hosts' rates vary by sampling alone."""
     noise = mean * (1 - mean)
-    variance = (F.col(f"{rule}_spread") - noise * (F.col("hosts") - 1)) / F.col("all_docs")
-    weight = F.when(variance > 1e-12, F.greatest(noise / variance - 1, F.lit(0.0)))
-    return mean.alias(f"{rule}_mean"), weight.alias(f"{rule}_weight")
+    variance = ((spread or 0.0) - noise * (hosts - 1)) / max(docs, 1)
+    return max(noise / variance - 1, 0.0) if variance > 1e-12 else None
 
 
-def _shrunk(rule: str) -> Column:
-    mean, weight = F.col(f"{rule}_mean"), F.col(f"{rule}_weight")
-    rate = (mean * weight + F.col(f"{rule}_failures")) / (weight + F.col("n_docs"))
-    return F.coalesce(rate, mean)
+def _shrunk(rule: str, mean: float, weight: float | None) -> Column:
+    if weight is None:
+        return F.lit(mean)
+    return (mean * weight + F.col(f"{rule}_failures")) / (weight + F.col("n_docs"))
 
 
 def judge(docs: DataFrame, rules: HostRules = HostRules()) -> DataFrame:

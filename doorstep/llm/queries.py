@@ -4,8 +4,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from doorstep.llm import host_quality, simhash
-from doorstep.llm.tables import documents
+from doorstep.llm import decontamination, host_quality, mixing, simhash
+from doorstep.llm.tables import documents, read
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,3 +31,15 @@ def op7_host_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate group of every document."""
     return simhash.near_duplicates(documents(spark, sf_dir))
+
+
+@query
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every pair of a document and a benchmark item that it holds."""
+    return decontamination.contaminated(documents(spark, sf_dir), read(spark, sf_dir, "benchmark"))
+
+
+@query
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the mix takes of every document."""
+    return mixing.mix_sources(documents(spark, sf_dir))

@@ -1,6 +1,6 @@
 """Table access shared by the operators."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from doorstep.session import scratch_dir
 
@@ -26,3 +26,9 @@ def settled(df: DataFrame, label: str) -> DataFrame:
     path = scratch_dir(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def words(text: Column) -> Column:
+    """The words of a text as an array; a null text has none, runs of white space leave no empty words."""
+    spaced = F.translate(F.coalesce(text, F.lit("")), SPACES, " " * len(SPACES))
+    return F.array_remove(F.split(spaced, " "), "")
