@@ -2,13 +2,16 @@
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from doorstep.llm.decontamination import keep_clean
 from doorstep.llm.host_quality import keep_documents
 from doorstep.llm.mixing import mixed_documents
 from doorstep.llm.simhash import keep_one
+from doorstep.llm.queries import TOKENIZER
 from doorstep.llm.tables import DOCUMENT_COLUMNS, documents, read
+from doorstep.llm.token_files import token_rows
 from doorstep.session import scratch_dir
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -34,11 +37,17 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixed_documents(docs).select(DOCUMENT_COLUMNS)
 
 
+def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The mix as token files; a row per document with its place in them."""
+    return token_rows(docs, public_tokenizers.path(TOKENIZER))
+
+
 STAGES: list[tuple[str, Stage]] = [
     ("quality rules", quality_rules),
     ("simhash near-dedup", simhash_near_dedup),
     ("benchmark decontamination", benchmark_decontamination),
     ("source mix", source_mix),
+    ("token files", token_output),
 ]
 
 #: No SQL twin: near-duplicate groups, retrieval and token files are beyond SQL.

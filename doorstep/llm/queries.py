@@ -2,11 +2,14 @@
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from doorstep.llm import decontamination, host_quality, mixing, simhash
+from doorstep.llm import decontamination, host_quality, mixing, simhash, token_files
 from doorstep.llm.tables import documents, read
 
+TOKENIZER = "word_bpe_49k.json"
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 _QUERIES: dict[str, Query] = {}
@@ -43,3 +46,9 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the mix takes of every document."""
     return mixing.mix_sources(documents(spark, sf_dir))
+
+
+@query
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place, length and checksum in the token files."""
+    return token_files.token_rows(documents(spark, sf_dir), public_tokenizers.path(TOKENIZER))
