@@ -5,7 +5,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from doorstep.llm import decontamination, host_quality, mixing, simhash, token_files
+from doorstep.llm import decontamination, host_quality, mixing, simhash, token_files, warc
 from doorstep.llm.tables import documents, read
 
 TOKENIZER = "word_bpe_49k.json"
@@ -52,3 +52,9 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's place, length and checksum in the token files."""
     return token_files.token_rows(documents(spark, sf_dir), public_tokenizers.path(TOKENIZER))
+
+
+@query
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The record of every page, from archives written and read back."""
+    return warc.page_records(read(spark, sf_dir, "pages"))
