@@ -5,7 +5,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from doorstep.llm import decontamination, host_quality, mixing, simhash, token_files, warc
+from doorstep.llm import decontamination, host_quality, html_extract, mixing, simhash, token_files, warc
 from doorstep.llm.tables import documents, read
 
 TOKENIZER = "word_bpe_49k.json"
@@ -58,3 +58,9 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The record of every page, from archives written and read back."""
     return warc.page_records(read(spark, sf_dir, "pages"))
+
+
+@query
+def op9_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return html_extract.extract(read(spark, sf_dir, "pages"))
