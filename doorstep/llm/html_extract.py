@@ -78,6 +78,7 @@ class Stretch:
     words: int = 0
     aside: bool = False
     inside: bool = False
+    nested: bool = False
     breaks: bool = False
     space: bool = False
 
@@ -113,13 +114,23 @@ def stretches(page: str | None) -> Iterator[Stretch]:
             place = own if tag in BLOCKS or tag == "a" or names else up.place
             if tag in BLOCKS and up.aside and not names and tag not in ASIDE:
                 place = f"aside {tag}"
-            yield Stretch(own, aside=aside, inside=inside, breaks=tag in BLOCKS, space=tag in ("br", "td", "th", "img"))
+            spaced = tag in ("br", "td", "th", "img")
+            yield Stretch(
+                own, aside=aside, inside=inside, nested=up.aside, breaks=tag in BLOCKS, space=spaced
+            )
             if tag not in VOID and not m[4].rstrip().endswith("/"):
                 stack.append(Element(tag, place, aside, inside))
         else:
             up = stack[-1]
             _close(stack, {tag}, whole=True)
-            yield Stretch(f"/{tag}", aside=up.aside, inside=up.inside, breaks=tag in BLOCKS, space=tag in ("td", "th"))
+            yield Stretch(
+                f"/{tag}",
+                aside=up.aside,
+                inside=up.inside,
+                nested=up.aside,
+                breaks=tag in BLOCKS,
+                space=tag in ("td", "th"),
+            )
     if at < len(page):
         yield _text(page[at:], stack[-1])
 
@@ -152,8 +163,11 @@ class Weights:
         with_prior, against = _prior(place, aside)
         return min(4.0, max(0.001, math.log((inside + with_prior) / (outside + against))))
 
-    def tag(self, place: str, aside: bool) -> float:
-        """Negative; small for tags that are common in content."""
+    def tag(self, part: "Stretch") -> float:
+        """Negative; small for tags that are common in content, and inside what is left out anyway."""
+        if part.nested:
+            return -0.05
+        place, aside = part.place, part.aside
         inside, outside = self.tags.get(place, (0, 0))
         with_prior, against = _prior(place.lstrip("/"), aside)
         return -min(2.0, max(0.05, math.log((outside + against) / (inside + with_prior)) + 1.0))
@@ -177,7 +191,7 @@ def best_run(parts: list[Stretch], weights: Weights) -> tuple[int, int]:
         if total <= 0:
             total, start = 0.0, k
         if part.text is None:
-            total += weights.tag(part.place, part.aside)
+            total += weights.tag(part)
         elif part.words:
             total += part.words * weights.word(part.place, part.aside)
         if total > best:

@@ -43,7 +43,7 @@ def test_best_run_by_brute_force():
     weights = h.Weights()
     for body in CASES:
         parts = list(h.stretches(page(body)))
-        scores = [weights.tag(p.place, p.aside) if p.text is None else p.words * weights.word(p.place, p.aside) for p in parts]
+        scores = [weights.tag(p) if p.text is None else p.words * weights.word(p.place, p.aside) for p in parts]
         a, b = h.best_run(parts, weights)
         assert sum(scores[a:b]) == pytest.approx(brute_run(scores))
 
