@@ -5,7 +5,16 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from doorstep.llm import decontamination, host_quality, html_extract, mixing, simhash, token_files, warc
+from doorstep.llm import (
+    decontamination,
+    host_quality,
+    html_extract,
+    mixing,
+    simhash,
+    token_files,
+    toxicity,
+    warc,
+)
 from doorstep.llm.tables import documents, read
 
 TOKENIZER = "word_bpe_49k.json"
@@ -64,3 +73,10 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The main text of every page."""
     return html_extract.extract(read(spark, sf_dir, "pages"))
+
+
+@query
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity score of every document."""
+    docs = documents(spark, sf_dir)
+    return toxicity.score_documents(docs, toxicity.train(docs, read(spark, sf_dir, "labels")))
