@@ -68,4 +68,24 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM failed JOIN verdicts ON failed.source IS NOT DISTINCT FROM verdicts.source
 """
 
-ORACLES = {"op7_host_quality": OP7}
+
+OP4 = r"""
+WITH lines AS (
+  SELECT rid, doc_id, site, line
+  FROM (
+    SELECT rid, doc_id, site, trim(unnest(string_split(body, chr(10))), ' ' || chr(9) || chr(11) || chr(12) || chr(13)) AS line
+    FROM (
+      SELECT row_number() OVER () AS rid, doc_id, coalesce(source, '') AS site, coalesce(text, '') AS body
+      FROM documents
+    )
+  )
+),
+spread AS (SELECT line FROM lines WHERE line <> '' GROUP BY line HAVING count(DISTINCT site) >= 5)
+SELECT doc_id, count(*) FILTER (WHERE line <> '') AS n_lines,
+  count(spread.line) AS n_removed,
+  CAST(coalesce(sum(length(spread.line)), 0) AS BIGINT) AS removed_chars
+FROM lines LEFT JOIN spread USING (line)
+GROUP BY rid, doc_id
+"""
+
+ORACLES = {"op4_line_spread": OP4, "op7_host_quality": OP7}

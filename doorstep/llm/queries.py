@@ -9,6 +9,7 @@ from doorstep.llm import (
     decontamination,
     host_quality,
     html_extract,
+    line_spread,
     mixing,
     simhash,
     token_files,
@@ -80,3 +81,9 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The toxicity score of every document."""
     docs = documents(spark, sf_dir)
     return toxicity.score_documents(docs, toxicity.train(docs, read(spark, sf_dir, "labels")))
+
+
+@query
+def op4_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of every document, and how many of them are cross-site boilerplate."""
+    return line_spread.line_counts(documents(spark, sf_dir))
