@@ -12,6 +12,7 @@ from doorstep.llm import (
     line_spread,
     mixing,
     simhash,
+    suffix_dedup,
     token_files,
     toxicity,
     warc,
@@ -87,3 +88,9 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of every document, and how many of them are cross-site boilerplate."""
     return line_spread.line_counts(documents(spark, sf_dir))
+
+
+@query
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What repeats of 100-byte strings take from every document."""
+    return suffix_dedup.dedup_digests(documents(spark, sf_dir))
