@@ -25,7 +25,10 @@ from doorstep.session import scratch_dir
 END_ID = 2
 FILE_IDS = 1 << 23
 #: Words whose ids a Python worker keeps.
-KEPT_WORDS = 400_000
+KEPT_WORDS = 600_000
+#: How the vocabulary marks the last token of a piece, and the marks that end a word as a piece of their own.
+PIECE_END = "</w>"
+MARKS = (b".", b",")
 #: A word by itself that parts the words of one call; words that hold it are encoded alone.
 PART = "\x00"
 CALL_WORDS = 4096
@@ -36,8 +39,9 @@ MANIFEST = "piece int, file int, path string, n_docs long, n_ids long"
 class WordEncoder:
     """Encodes texts word by word with a cache.
 
-    Only for tokenizers that drop white space before anything else looks at it: there a text's ids are
-    its words' ids in a row.
+    Only for tokenizers that drop white space before anything else looks at it, lower-case, keep letters
+    apart from other characters and end every piece by a token of its own kind: there a text's ids are its
+    words' ids in a row, and a word of letters is one piece.
     """
 
     def __init__(self, path: str):
@@ -46,7 +50,12 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.part = self._ids(PART)
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith(PIECE_END)]] = True
+        # Words used since the last turn, and those used before it: what is used stays.
         self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
 
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -55,28 +64,58 @@ class WordEncoder:
         """Little-endian unsigned 32-bit ids of every text."""
         split = [(t or "").encode().split() for t in texts]
         wanted = {w for words in split for w in words}
-        if len(self.known) + len(wanted) > KEPT_WORDS:
-            self.known = {w: self.known[w] for w in wanted if w in self.known}
-        self._learn([w for w in wanted if w not in self.known])
-        known = self.known
+        if len(self.known) > KEPT_WORDS:
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
+        new = []
+        for w in wanted:
+            if w not in known:
+                if w in older:
+                    known[w] = older[w]
+                else:
+                    new.append(w)
+        self._learn(new)
         return [b"".join([known[w] for w in words]) for words in split]
 
     def _learn(self, new: list[bytes]) -> None:
-        if len(self.part) != 1:
-            alone, together = new, []
-        else:
-            alone = [w for w in new if b"\x00" in w or b"<|" in w]
-            together = [w for w in new if not (b"\x00" in w or b"<|" in w)]
+        """Add the ids of new words; a word that ends in a mark is the word and the mark."""
+        marked = [w for w in new if w[-1:] in MARKS and w[:-1].isalpha()]
+        bases = {w[:-1].lower() for w in marked} | {w[-1:] for w in marked}
+        rest = bases.union(w for w in new if not (w[-1:] in MARKS and w[:-1].isalpha()))
+        letters, others = [], []
+        for w in rest:
+            if w in self.known:
+                continue
+            text = w.decode()
+            (letters if text.isalpha() and text.lower().isalpha() else others).append(w)
+        for at in range(0, len(letters), CALL_WORDS):
+            some = letters[at : at + CALL_WORDS]
+            ids = np.array(self._ids(" ".join([w.decode() for w in some])), "<u4")
+            cuts = (np.flatnonzero(self.ends[ids]) + 1).tolist()
+            if len(cuts) == len(some):
+                self._keep(some, ids, [0, *cuts[:-1]], cuts)
+            else:
+                others += some
+        self._learn_any(others)
+        for w in marked:
+            self.known[w] = self.known[w[:-1].lower()] + self.known[w[-1:]]
+
+    def _learn_any(self, words: list[bytes]) -> None:
+        """Words of any characters, parted by a word that none of them holds."""
+        alone = [w for w in words if len(self.part) != 1 or PART.encode() in w or b"<|" in w]
         for w in alone:
             self.known[w] = np.array(self._ids(w.decode()), "<u4").tobytes()
+        together = [w for w in words if w not in self.known]
         for at in range(0, len(together), CALL_WORDS):
             some = together[at : at + CALL_WORDS]
             ids = np.array(self._ids(f" {PART} ".join([w.decode() for w in some])), "<u4")
             cuts = np.flatnonzero(ids == self.part[0])
-            starts, ends = [0, *(cuts + 1).tolist()], [*cuts.tolist(), len(ids)]
-            data = ids.tobytes()
-            for w, a, b in zip(some, starts, ends, strict=True):
-                self.known[w] = data[4 * a : 4 * b]
+            self._keep(some, ids, [0, *(cuts + 1).tolist()], [*cuts.tolist(), len(ids)])
+
+    def _keep(self, words: list[bytes], ids: np.ndarray, starts: list[int], ends: list[int]) -> None:
+        data = ids.tobytes()
+        for w, a, b in zip(words, starts, ends, strict=True):
+            self.known[w] = data[4 * a : 4 * b]
 
 
 _encoders: dict[str, WordEncoder] = {}
