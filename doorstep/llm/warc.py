@@ -1,5 +1,7 @@
 """WARC archives written from pages and read back as a chunked record table.
 
+Archives are compressed, each record a gzip member of its own.
+
 Writing: equal payloads share one ``response`` record, that of the largest ``page_id``; the others are
 ``revisit`` records that refer to it. Each task writes archives of bounded size, record by record, under
 names that become final only when the file is whole; only files that the manifest names are read.
@@ -14,9 +16,11 @@ responses too. An empty table gives no rows. Extra columns are ignored.
 """
 
 import base64
+import gzip
 import hashlib
 import os
 import re
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -108,7 +112,7 @@ def write_archives(records: DataFrame, folder: str, file_bytes: int = FILE_BYTES
             columns = dict(zip(batch.schema.names, batch.columns))
             for k in range(batch.num_rows):
                 if out is None:
-                    path = f"{folder}/pages-{piece:06d}-{number:06d}.warc"
+                    path = f"{folder}/pages-{piece:06d}-{number:06d}.warc.gz"
                     files, target = store(path)
                     files.create_dir(os.path.dirname(target), recursive=True)
                     out = files.open_output_stream(f"{target}.{attempt}")
@@ -117,13 +121,15 @@ def write_archives(records: DataFrame, folder: str, file_bytes: int = FILE_BYTES
                 )
                 payload = memoryview(columns["html"][k].as_buffer() or b"")
                 head = record_head(page, url, kind, refers, len(payload), _base32(bytes.fromhex(digest)))
-                out.write(head)
+                member = zlib.compressobj(1, zlib.DEFLATED, 31)
+                parts = [head]
                 if kind == "response":
-                    for at in range(0, len(payload), CHUNK):
-                        out.write(payload[at : at + CHUNK])
-                    size += len(payload)
-                out.write(b"\r\n\r\n")
-                n, size = n + 1, size + len(head) + 4
+                    parts += [payload[at : at + CHUNK] for at in range(0, len(payload), CHUNK)]
+                for part in [*parts, b"\r\n\r\n"]:
+                    out.write(member.compress(part))
+                    size += len(part)
+                out.write(member.flush())
+                n += 1
                 if size >= file_bytes:
                     yield close()
         if out is not None:
@@ -186,7 +192,7 @@ def read_chunks(manifest: DataFrame, with_data: bool = True) -> DataFrame:
             for path in batch.column(0).to_pylist():
                 files, at = store(path)
                 rows, size = [], 0
-                with files.open_input_stream(at) as source:
+                with files.open_input_stream(at, compression=None) as raw, gzip.open(raw) as source:
                     for row in read_records(source):
                         size += len(row[5])
                         rows.append(row if with_data else (*row[:5], len(row[5]), *row[6:]))

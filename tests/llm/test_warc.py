@@ -43,7 +43,7 @@ def test_pages_by_brute_force(spark, pages):
 def test_archives_hold_the_payloads(spark, pages, tmp_path):
     df = spark.createDataFrame(pages, SCHEMA)
     manifest = warc.write_archives(warc.plan_records(df), str(tmp_path / "w"), file_bytes=20_000)
-    assert manifest.count() >= 3 and {p.suffix for p in (tmp_path / "w").iterdir()} == {".warc"}
+    assert manifest.count() >= 3 and {p.suffix for p in (tmp_path / "w").iterdir()} == {".gz"}
     payloads = {}
     for r in warc.read_chunks(manifest).where("record_type = 'response'").orderBy("page_id", "chunk_no").collect():
         payloads.setdefault(r.page_id, []).append(bytes(r.data))
