@@ -9,7 +9,7 @@ from doorstep.plans.daily_job import run_daily
 from doorstep.plans.reports import REPORTS, run_reports
 from doorstep.session import build_session
 from doorstep.sources.files import read_deliveries
-from doorstep.streaming import events as stream
+from doorstep.streaming.consume import consume_events, live_rate
 
 
 def load(spark: SparkSession, source: str) -> DataFrame:
@@ -42,27 +42,12 @@ def train(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def consume(spark: SparkSession, args: argparse.Namespace) -> None:
-    """Append events to the event table, set malformed ones apart and keep the live rate."""
+    """Store new events, set malformed ones apart and print the live rate after every micro-batch."""
     options = dict(option.split("=", 1) for option in args.option)
-    good, bad = stream.decode_events(stream.event_source(spark, args.format, **options))
-    now = args.available_now
-    queries = [
-        stream.append_events(
-            stream.stamp_consumed(good), f"{args.out}/events", f"{args.out}/checkpoints/events",
-            available_now=now,
-        ),
-        stream.append_events(
-            bad, f"{args.out}/malformed", f"{args.out}/checkpoints/malformed", available_now=now
-        ),
-        stream.show_live_fadr(
-            stream.live_fadr(good), "live_fadr", f"{args.out}/checkpoints/live_fadr",
-            available_now=now,
-        ),
-    ]
-    for query in queries:
-        query.awaitTermination()
-    spark.table("live_fadr").show()
-    print(f"{stream.progress(queries[0])['rows']} events")
+    consume_events(
+        spark, args.out, args.format, every=args.every, available_now=args.available_now, **options
+    ).awaitTermination()
+    live_rate(spark, args.out).show()
 
 
 def parser() -> argparse.ArgumentParser:
@@ -84,6 +69,7 @@ def parser() -> argparse.ArgumentParser:
     streaming.add_argument("--format", default="kafka")
     streaming.add_argument("--option", action="append", default=[], metavar="KEY=VALUE")
     streaming.add_argument("--available-now", action="store_true")
+    streaming.add_argument("--every", help="time between micro-batches, such as '10 seconds'")
     return top
 
 

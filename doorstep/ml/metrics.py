@@ -16,11 +16,15 @@ def classification_metrics(
     *,
     label: str = LABEL,
     score: str = "probability",
+    prediction: str = "prediction",
     threshold: float = 0.5,
     weight: str | None = None,
     ranges: int = SCORE_RANGES,
 ) -> DataFrame:
-    """One row: ``accuracy`` at ``threshold`` and the exact ``roc_auc``, ties counted as half.
+    """One row: ``accuracy`` and the exact ``roc_auc``, ties counted as half.
+
+    Accuracy is that of the ``prediction`` column where there is one, which alone knows how the model
+    decides at a tie; scores without it are cut at ``threshold``.
 
     Rows are first counted per distinct score. The distinct scores are cut into ``ranges`` of about
     equal size, negatives are cumulated inside each range, and only the range totals are cumulated
@@ -28,6 +32,7 @@ def classification_metrics(
     same result. With one class only, the AUC is NULL.
     """
     w = _weight(weight)
+    decided = F.col(prediction) if prediction in df.columns else (F.col(score) >= threshold).cast("int")
     # The filter on both counts also keeps them in the subquery below, which can then reuse the
     # exchange of this aggregation: the rows are read and scored once.
     by_score = (
@@ -35,6 +40,7 @@ def classification_metrics(
         .agg(
             F.sum(F.when(F.col(label) == 1, w).otherwise(0)).cast("double").alias("pos"),
             F.sum(F.when(F.col(label) == 0, w).otherwise(0)).cast("double").alias("neg"),
+            F.sum(F.when(F.col(label) == decided, w).otherwise(0)).cast("double").alias("right"),
         )
         .where(F.col("pos") + F.col("neg") > 0)
     )
@@ -54,9 +60,7 @@ def classification_metrics(
             F.sum(F.col("pos") * (F.col("neg_below") + F.col("neg") / 2)).alias("won"),
             F.sum("pos").alias("pos"),
             F.sum("neg").alias("neg"),
-            F.sum(
-                F.when(F.col("score") >= threshold, F.col("pos")).otherwise(F.col("neg"))
-            ).alias("correct"),
+            F.sum("right").alias("correct"),
         )
     )
     # At most ``ranges`` rows reach this window.

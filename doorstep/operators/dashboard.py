@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, functions as F
 
-from doorstep.functions.rates import attempts, percent_of, success_percent
+from doorstep.functions.rates import attempts, percent_of
 from doorstep.schema import (
     COST_PER_FAILURE,
     DAILY_VOLUME,
@@ -59,13 +59,15 @@ def savings_scenarios(
 ) -> DataFrame:
     """Daily failures now and at the target rate, and the money saved, per input row and cost.
 
-    ``rates`` holds one percentage per row, such as one per city. The target defaults to five
-    points above the current rate, up to 99 %.
+    ``rates`` holds one percentage per row, such as one per city, unrounded: the rate is rounded to
+    one digit here, and only here. The target defaults to five points above the current rate, up to
+    99 %, and is never below the current rate.
     """
     keys = [c for c in rates.columns if c != fadr]
-    goal = F.lit(target) if target is not None else F.least(
+    goal = F.lit(float(target)) if target is not None else F.least(
         F.col("current_fadr") + TARGET_GAIN, F.lit(TARGET_CAP)
     )
+    goal = F.greatest(goal, F.col("current_fadr"))
     volume = F.col("daily_volume")
     return (
         rates.select(
@@ -87,5 +89,5 @@ def savings_scenarios(
 
 def savings_by_city(df: DataFrame, **options) -> DataFrame:
     """:func:`savings_scenarios` from each city's own current rate."""
-    by_city = df.groupBy("city").agg(success_percent().alias("fadr_pct"))
+    by_city = df.groupBy("city").agg((F.avg(LABEL) * 100).alias("fadr_pct"))
     return savings_scenarios(by_city, **options)

@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame, functions as F
 from doorstep.functions.labels import flag_label, high_risk_flag, value_bucket_labels_rs
 from doorstep.functions.rates import attempts, failure, percent_of, success_percent
 from doorstep.schema import (
-    ADDRESS_WINDOW_ROWS,
     ALERT_LABELS,
     COST_PER_FAILURE,
     EVENING,
@@ -71,13 +70,12 @@ def fadr_by_value_bucket(df: DataFrame) -> DataFrame:
     return worst_first(success_rates(bucketed, "value_bucket"), "fadr_percent", "value_bucket")
 
 
-def fadr_by_address_window(df: DataFrame, *, limit: int | None = ADDRESS_WINDOW_ROWS) -> DataFrame:
-    """All address and window pairs, worst first; the report shows ``limit`` of them."""
+def fadr_by_address_window(df: DataFrame) -> DataFrame:
+    """All address and window pairs, worst first."""
     keys = ("address_type", "delivery_window")
-    pairs = worst_first(
+    return worst_first(
         success_rates(df, *keys, count="attempts", rate="fadr_pct"), "fadr_pct", *keys
     )
-    return pairs if limit is None else pairs.limit(limit)
 
 
 def worst_combinations(
@@ -121,7 +119,8 @@ def rate_vs_overall(df: DataFrame, by: str = "delivery_window") -> DataFrame:
     The overall rate is a scalar subquery over the grouped rows, which reuses their exchange: the
     attempts are scanned once.
     """
-    groups = df.groupBy(by).agg(F.count(LABEL).alias("rated"), F.sum(LABEL).alias("successful"))
+    # The subquery computes the sum before the count as well: only equal exchanges are reused.
+    groups = df.groupBy(by).agg(F.sum(LABEL).alias("successful"), F.count(LABEL).alias("rated"))
     overall = groups.agg(percent_of(F.sum("successful"), F.sum("rated"))).scalar()
     return worst_first(
         groups.select(

@@ -7,15 +7,15 @@ from pyspark.sql import SparkSession
 from doorstep.operators.marts import fadr_by_segment, mart_city_address, mart_window_alerts
 from doorstep.operators.quality import (
     assert_checks,
+    landing_checks,
     mart_checks,
     not_empty,
     run_checks,
-    staging_checks,
     unique,
 )
 from doorstep.operators.staging import stage_deliveries
-from doorstep.schema import MART_MIN_ATTEMPTS
-from doorstep.sources.files import export_mart, read_deliveries
+from doorstep.schema import DELIVERIES, MART_MIN_ATTEMPTS
+from doorstep.sources.files import export_mart, read_deliveries_checked
 
 
 @dataclass(frozen=True)
@@ -36,14 +36,19 @@ def run_daily(
 ) -> DailyOutputs:
     """Run every step in order and stop at the first failure; a re-run replaces all outputs.
 
-    The CSV is parsed once. Later steps read the landed Parquet, so each scans only its columns.
+    The CSV is read as text; records that do not fit are set apart in ``rejected`` with the reason, and
+    the rest lands as typed Parquet, of which later steps scan only their columns. The checks run before
+    the marts are built, so nothing unsound gets into one.
     Nothing is exported unless every check passes, and all three summaries are exported.
     """
     outputs = DailyOutputs(out)
 
-    read_deliveries(spark, source).write.mode("overwrite").parquet(outputs.table("deliveries"))
-    landed = spark.read.parquet(outputs.table("deliveries"))
+    good, rejected = read_deliveries_checked(spark, source)
+    good.write.mode("overwrite").parquet(outputs.table("deliveries"))
+    rejected.write.mode("overwrite").parquet(outputs.table("rejected"))
+    landed = spark.read.schema(DELIVERIES).parquet(outputs.table("deliveries"))
     staged = stage_deliveries(landed)
+    assert_checks(run_checks(staged, landing_checks()))
 
     marts = {
         "fadr_by_segment": fadr_by_segment(landed),
@@ -55,7 +60,6 @@ def run_daily(
     for name, mart in marts.items():
         mart.write.mode("overwrite").parquet(outputs.table(name))
 
-    assert_checks(run_checks(staged, staging_checks()))
     built = {name: spark.read.parquet(outputs.table(name)) for name in marts}
     assert_checks(run_checks(built["fadr_by_segment"], [unique("city", "address_type")]))
     # A small load may leave no segment above the window mart's threshold, so only the city mart

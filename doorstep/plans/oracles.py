@@ -6,6 +6,7 @@ from doorstep.schema import (
     DELIVERIES,
     MEAN_RANGE,
     REQUIRED_COLUMNS,
+    WINDOWS,
 )
 
 # The deliveries derived from the star schema. Basis points: see the success rule in the schema.
@@ -133,6 +134,11 @@ def _quality_report() -> str:
     ]
     checks += [
         ("accepted_values", "address_type", violating(f"address_type NOT IN ({_quoted(ADDRESS_TYPES)})")),
+        (
+            "accepted_values",
+            "delivery_window",
+            violating(f"delivery_window NOT IN ({_quoted(WINDOWS)})"),
+        ),
         ("accepted_values", "city", violating(f"city NOT IN ({_quoted(CITIES)})")),
         ("positive", "order_value", violating("order_value IS NULL OR order_value <= 0")),
         ("null_when", "failure_reason", violating("is_successful = 1 AND failure_reason IS NOT NULL")),
@@ -150,6 +156,11 @@ def _quality_report() -> str:
         ),
         ("column_count", "*", "0"),
         ("not_empty", "*", "(SELECT CASE WHEN COUNT(*) = 0 THEN 1 ELSE 0 END FROM d)"),
+        (
+            "row_count",
+            "*",
+            "(SELECT CASE WHEN COUNT(*) = (SELECT COUNT(*) FROM orders) THEN 0 ELSE 1 END FROM d)",
+        ),
     ]
     rows = " UNION ALL ".join(
         f"SELECT '{name}' AS check_name, '{column}' AS \"column\","
@@ -241,7 +252,7 @@ _ON_DELIVERIES = {
         COUNT(*) AS total_attempts, {FADR} AS fadr_percent
         FROM d GROUP BY 1 ORDER BY fadr_percent, value_bucket""",
     "fadr_by_address_window": _rates("address_type, delivery_window", "attempts", "fadr_pct")
-    + " ORDER BY fadr_pct, address_type, delivery_window LIMIT 20",
+    + " ORDER BY fadr_pct, address_type, delivery_window",
     "worst_combinations": _rates("address_type, delivery_window")
     + " HAVING COUNT(*) > 200 ORDER BY fadr_percent, address_type, delivery_window LIMIT 10",
     "high_risk_cohort": f"""SELECT CAST(address_type IN ('Apartment', 'PG/Hostel')
@@ -291,9 +302,9 @@ _ON_DELIVERIES = {
     "fadr_heatmap": _heatmap("city, address_type"),
     "fadr_heatmap_one_city": _heatmap("address_type", "WHERE city = 'ASIA'"),
     "savings_scenarios": f"""
-, r AS (SELECT city, ROUND({FADR}, 1) AS current_fadr FROM d GROUP BY city),
+, r AS (SELECT city, ROUND(AVG(is_successful) * 100, 1) AS current_fadr FROM d GROUP BY city),
 s AS (SELECT city, 100000 AS daily_volume, cost_per_failure, current_fadr,
-        LEAST(current_fadr + 5.0e0, 99.0e0) AS target_fadr
+        GREATEST(LEAST(current_fadr + 5.0e0, 99.0e0), current_fadr) AS target_fadr
     FROM r, (VALUES (30), (45), (60)) AS c(cost_per_failure)),
 f AS (SELECT *, daily_volume * (1 - current_fadr / 100e0) AS now,
         daily_volume * (1 - target_fadr / 100e0) AS later FROM s)
@@ -327,9 +338,9 @@ FROM f""",
         attempt_hour AS window_start_hour, SUBSTRING(customer_id, 1, 8) AS customer_prefix,
         STRFTIME(attempt_date, '%Y-%m-%d') AS attempt_date_text,
         CAST(attempt_date - INTERVAL 1 DAY AS DATE) AS prev_date,
-        ROUND(order_value, 1) AS value_1dp
-        FROM d WHERE attempt_number > 1
-            AND address_type IN ('Apartment', 'PG/Hostel', 'House')""",
+        ROUND(order_value, 1) AS value_1dp FROM d""",
+    "retried_homes": """SELECT delivery_id FROM d WHERE attempt_number > 1
+        AND address_type IN ('Apartment', 'PG/Hostel', 'House')""",
     "status_update_payload": """SELECT delivery_id, '{"delivery_id":"' || delivery_id
         || '","status":"FAILED","reason":"' || failure_reason || '","attempt":' || attempt_number
         || ',"partner_id":"' || customer_id || '"}' AS payload FROM d WHERE is_successful = 0""",
@@ -346,7 +357,32 @@ FROM f""",
         FROM d""",
     "export_mart": SEGMENT,
     "daily_job_marts": SEGMENT,
+    "daily_city_mart": """SELECT city, address_type, COUNT(*) AS total_attempts,
+        CAST(SUM(is_successful) AS BIGINT) AS successful_deliveries, ROUND(AVG(is_successful), 4) AS fadr,
+        ROUND(AVG(1 - is_successful), 4) AS failure_rate,
+        ROUND(AVG(order_value), 6) AS avg_order_value FROM d GROUP BY city, address_type""",
+    "daily_window_mart": """SELECT delivery_window, address_type, has_delivery_preference,
+        proximity_alert_sent, COUNT(*) AS total_attempts, ROUND(AVG(is_successful), 4) AS fadr
+        FROM d GROUP BY ALL HAVING COUNT(*) > 50""",
     "quality_report": _quality_report(),
+    "csv_inferred": """SELECT CAST(delivery_id AS INTEGER) AS delivery_id, city, order_value, attempt_date,
+        is_successful FROM d""",
+    "csv_reordered": f"SELECT {COLUMNS} FROM d",
+    "csv_rejects": """SELECT delivery_id, CONCAT_WS('; ',
+            CASE WHEN k % 13 = 0 THEN 'city is missing' END,
+            CASE WHEN k % 7 = 0 THEN 'order_value does not parse' END,
+            CASE WHEN k % 11 = 0 THEN 'attempt_date does not parse' END) AS reason
+        FROM (SELECT *, CAST(delivery_id AS BIGINT) AS k FROM d)
+        WHERE k % 7 = 0 OR k % 11 = 0 OR k % 13 = 0""",
+    "cached_scan": """SELECT city AS key, COUNT(*) AS n FROM d GROUP BY city
+        UNION ALL SELECT CAST(is_successful AS VARCHAR), COUNT(*) FROM d GROUP BY is_successful""",
+    "rf_predictions_sound": "SELECT delivery_id, TRUE AS is_probability, TRUE AS is_likelier FROM d",
+    "rf_test_support": """SELECT CAST(is_successful AS VARCHAR) AS class, COUNT(*) AS support FROM d
+        WHERE SUBSTRING(MD5(delivery_id), 1, 4) < '3333' GROUP BY is_successful""",
+    "rf_importance_total": """SELECT CAST(7 AS BIGINT) AS features, 1e0 AS total,
+        CAST(0 AS BIGINT) AS negative""",
+    "what_if_as_is": "SELECT 'as_is' AS scenario, 0e0 AS uplift_points",
+    "model_reload_changes": "SELECT COUNT(*) AS deliveries, CAST(0 AS BIGINT) AS changed FROM d",
     "label_encode": """SELECT DISTINCT address_type, delivery_window, city,
         CAST(DENSE_RANK() OVER (ORDER BY address_type) - 1 AS INTEGER) AS address_type_enc,
         CAST(DENSE_RANK() OVER (ORDER BY delivery_window) - 1 AS INTEGER) AS delivery_window_enc,
@@ -393,6 +429,21 @@ _ON_EVENTS = {
         ROUND(AVG(CASE WHEN status = 'DELIVERED' THEN 1e0 ELSE 0e0 END) * 100, 1) AS live_fadr_pct,
         COUNT(*) AS terminal_events
         FROM e WHERE status IN ('DELIVERED', 'FAILED', 'RESCHEDULED')""",
+    "event_malformed": """SELECT SUBSTRING(value, 1, 40) AS value FROM (
+        SELECT city, CAST(to_json({
+            'delivery_id': delivery_id, 'city': city, 'address_type': address_type,
+            'window': "window", 'status': status,
+            'timestamp': STRFTIME("timestamp", '%Y-%m-%dT%H:%M:%S.%f'),
+            'order_value': order_value, 'attempt': attempt}) AS VARCHAR) AS value FROM e)
+        WHERE city = 'Pune'""",
+    "event_late": """SELECT city, status, COUNT(*) * CASE WHEN city IN ('Delhi', 'Mumbai') THEN 2 ELSE 1 END
+        AS n FROM e GROUP BY city, status""",
+    "event_consumed_at": "SELECT delivery_id, TRUE AS stamped FROM e",
+    "event_publish": """SELECT CAST(to_json({
+        'delivery_id': delivery_id, 'city': city, 'address_type': address_type,
+        'window': "window", 'status': status,
+        'timestamp': STRFTIME("timestamp", '%Y-%m-%dT%H:%M:%S.%f'),
+        'order_value': order_value, 'attempt': attempt}) AS VARCHAR) AS value FROM e""",
     "event_dedup": "SELECT status, COUNT(*) AS n FROM e GROUP BY status",
 }
 

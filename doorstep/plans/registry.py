@@ -10,7 +10,7 @@ from doorstep.functions import labels, scoring, text
 from doorstep.functions.rates import failure
 from doorstep.ml import features, forest, metrics
 from doorstep.operators import counts, dashboard, marts, quality, ranking, rates, staging
-from doorstep.plans.daily_job import run_daily
+from doorstep.plans.daily_job import DailyOutputs, run_daily
 from doorstep.schema import (
     ADDRESS_TYPES,
     CITIES,
@@ -22,11 +22,12 @@ from doorstep.schema import (
     LABEL,
     NARROW_EVENT,
 )
-from doorstep.session import keep_state_on_disk, scratch_dir
+from doorstep.session import scratch_dir
 from doorstep.sources import files, landing, tables
 from doorstep.sources.landing import deliveries
 from doorstep.sources.star import deliveries_as_text, read_events
 from doorstep.streaming import events as stream
+from doorstep.streaming.consume import consume_events
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -34,8 +35,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 ONE_CITY = "ASIA"
 RULE_THRESHOLD = 0.75
 SCENARIO_COSTS = (30, 45, 60)
-# Longer than the span of the event history, so that no replayed event counts as late.
-REPLAY_DELAY = "400 days"
 
 _QUERIES: dict[str, Query] = {}
 
@@ -161,8 +160,7 @@ def expected_success_prob(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def scalar_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
-    retried_homes = (F.col("attempt_number") > 1) & F.col("address_type").isin(ADDRESS_TYPES[:3])
-    return deliveries(spark, sf_dir).where(retried_homes).select(
+    return deliveries(spark, sf_dir).select(
         "delivery_id",
         failure().alias("is_failure"),
         text.window_start_hour().alias("window_start_hour"),
@@ -173,6 +171,13 @@ def scalar_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def retried_homes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The predicates by which attempts are picked."""
+    wanted = (F.col("attempt_number") > 1) & F.col("address_type").isin(ADDRESS_TYPES[:3])
+    return deliveries(spark, sf_dir).where(wanted).select("delivery_id")
+
+
 @query
 def status_class(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_events(spark, sf_dir).select(
@@ -193,6 +198,55 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.read_deliveries(spark, landing.deliveries_csv_path(spark, sf_dir))
 
 
+@query
+def csv_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Types guessed from the values: the date is found, an all-digit id becomes a number."""
+    inferred = files.read_deliveries(spark, landing.deliveries_csv_path(spark, sf_dir), infer=True)
+    return inferred.select("delivery_id", "city", "order_value", "attempt_date", "is_successful")
+
+
+@query
+def csv_reordered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A landing whose columns stand in another order is bound by its header."""
+    path = scratch_dir(spark, "csv-reordered")
+    turned = deliveries(spark, sf_dir).select(DELIVERY_COLUMNS[::-1])
+    files.write_deliveries_csv(turned, path)
+    return files.read_deliveries(spark, path)
+
+
+@query
+def csv_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of a landing with values broken by key, by the reason they are set apart for."""
+    path = scratch_dir(spark, "csv-broken")
+    k = F.col("delivery_id").cast("long")
+    broken = deliveries(spark, sf_dir).withColumns(
+        {
+            "order_value": F.when(k % 7 == 0, "ten").otherwise(F.col("order_value").cast("string")),
+            "attempt_date": F.when(k % 11 == 0, "soon").otherwise(F.col("attempt_date").cast("string")),
+            "city": F.when(k % 13 != 0, F.col("city")),
+        }
+    )
+    files.write_deliveries_csv(broken, path)
+    _, rejected = files.read_deliveries_checked(spark, path)
+    return rejected.select("delivery_id", "reason")
+
+
+@query
+def cached_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two aggregates over one cached scan of a table."""
+    path = scratch_dir(spark, "cached")
+    name = path.rsplit("/", 1)[1].replace("-", "_")
+    tables.load_table(deliveries(spark, sf_dir), name, path=path)
+    shared = tables.scan(spark, name, "city", "is_successful", cached=True)
+    by_city = shared.groupBy(F.col("city").alias("key")).agg(F.count("*").alias("n"))
+    by_outcome = shared.groupBy(F.col("is_successful").cast("string").alias("key")).agg(F.count("*").alias("n"))
+    result = by_city.unionByName(by_outcome)
+    out = f"{path}-out"
+    result.write.parquet(out)
+    shared.unpersist()
+    return spark.read.schema(result.schema).parquet(out)
+
+
 @query
 def load_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.load_report(csv_roundtrip(spark, sf_dir))
@@ -202,7 +256,7 @@ def load_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 def json_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "json")
     deliveries(spark, sf_dir).write.json(path)
-    records = files.load_json_records(spark, path, DELIVERIES, multi_line=False)
+    records = files.load_json_records(spark, path, DELIVERIES)
     return staging.filter_records(records, city=ONE_CITY).select(
         "delivery_id", "city", "is_successful"
     )
@@ -223,7 +277,7 @@ def table_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
 def parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "parquet")
     rows = files.write_partitioned(deliveries(spark, sf_dir), path)
-    return files.read_partitioned(spark, path, expected_rows=rows).select(DELIVERY_COLUMNS)
+    return files.read_partitioned(spark, path, DELIVERIES, expected_rows=rows).select(DELIVERY_COLUMNS)
 
 
 @query
@@ -232,7 +286,7 @@ def featured_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "featured")
     featured = staging.with_features(deliveries(spark, sf_dir))
     rows = files.write_partitioned(featured, path)
-    back = files.read_partitioned(spark, path, expected_rows=rows)
+    back = files.read_partitioned(spark, path, featured.schema, expected_rows=rows)
     return back.select("delivery_id", "city", "order_value_bucket", "is_high_risk")
 
 
@@ -244,18 +298,49 @@ def export_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(mart.schema).option("header", True).csv(path)
 
 
+def _daily(spark: SparkSession, sf_dir: str) -> DailyOutputs:
+    """The whole daily job from a CSV landing, run once per application and data folder."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _daily_runs:
+        source = landing.deliveries_csv_path(spark, sf_dir)
+        _daily_runs[key] = run_daily(spark, source, scratch_dir(spark, "daily"))
+    return _daily_runs[key]
+
+
+_daily_runs: dict[tuple[str, str], DailyOutputs] = {}
+
+
+def _exported(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A summary of the daily job as its CSV export holds it."""
+    outputs = _daily(spark, sf_dir)
+    schema = spark.read.parquet(outputs.table(name)).schema
+    return spark.read.schema(schema).option("header", True).csv(outputs.export(name))
+
+
 @query
 def daily_job_marts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole daily job from a CSV landing, read back from its segment table."""
-    source = landing.deliveries_csv_path(spark, sf_dir)
-    outputs = run_daily(spark, source, scratch_dir(spark, "daily"))
-    return spark.read.parquet(outputs.table("fadr_by_segment"))
+    return spark.read.parquet(_daily(spark, sf_dir).table("fadr_by_segment"))
+
+
+@query
+def daily_city_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rounded(_exported(spark, sf_dir, "mart_fadr_by_city_and_address"), "avg_order_value")
+
+
+@query
+def daily_window_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _exported(spark, sf_dir, "mart_fadr_by_window_and_alerts")
 
 
 @query
 def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All checks on the deliveries; their city names lie outside the city domain by design."""
-    checks = [*quality.attempt_checks(), quality.accepted_values("city", CITIES)]
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").count()
+    checks = [
+        *quality.attempt_checks(),
+        quality.accepted_values("city", CITIES),
+        quality.row_count(orders),
+    ]
     return quality.run_checks(deliveries(spark, sf_dir), checks)
 
 
@@ -317,26 +402,73 @@ def live_fadr(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def event_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All events, then every third one again after a restart from the same checkpoint."""
-    keep_state_on_disk(spark)
     log, sink = scratch_dir(spark, "events"), scratch_dir(spark, "dedup")
     events = read_events(spark, sf_dir)
 
     def drain() -> None:
-        stream.append_events(
-            stream.dedup_events(_received(spark, log), REPLAY_DELAY),
-            f"{sink}/table",
-            f"{sink}/checkpoint",
-            available_now=True,
+        stream.append_new_events(
+            _received(spark, log), f"{sink}/table", f"{sink}/checkpoint", available_now=True
         ).awaitTermination()
 
     landing.write_event_log(events, log)
     drain()
     landing.write_event_log(events.where(F.col("delivery_id").cast("long") % 3 == 0), log)
     drain()
-    table = spark.read.schema(EVENT).parquet(f"{sink}/table")
+    table = stream.read_events_table(spark, f"{sink}/table", EVENT)
     return table.groupBy("status").agg(F.count("*").alias("n"))
 
 
+def _consumed(spark: SparkSession, sf_dir: str, alter: Callable[[DataFrame], DataFrame]) -> str:
+    """The outputs of the consumer job over the event log and, after a restart, messages made from it."""
+    log, out = scratch_dir(spark, "events"), scratch_dir(spark, "consumed")
+    events = read_events(spark, sf_dir)
+    for messages in (stream.encode_events(events), alter(stream.encode_events(events))):
+        messages.select("value").write.mode("append").text(log)
+        consume_events(spark, out, "text", path=log, available_now=True).awaitTermination()
+    return out
+
+
+@query
+def event_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages cut off half-way are set apart; the others of them are known already."""
+    half = F.substring("value", 1, 40)
+    out = _consumed(spark, sf_dir, lambda m: m.withColumn("value", F.when(F.col("key") == "Pune", half).otherwise(F.col("value"))))
+    return spark.read.parquet(f"{out}/malformed").select("value")
+
+
+@query
+def event_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events ten years older than the newest come last, some without a time; each is stored once."""
+    older = F.regexp_replace("value", '"timestamp":"20', '"timestamp":"10')
+    none = F.regexp_replace("value", '"timestamp":"[^"]*",', "")
+    late = F.when(F.col("key") == "Delhi", older).when(F.col("key") == "Mumbai", none).otherwise(F.col("value"))
+    out = _consumed(spark, sf_dir, lambda m: m.withColumn("value", late))
+    stored = stream.read_events_table(spark, f"{out}/events", EVENT)
+    return stored.groupBy("city", "status").agg(F.count("*").alias("n"))
+
+
+@query
+def event_consumed_at(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every stored event has a time of consumption, not before the run."""
+    began = spark.sql("SELECT current_timestamp() AS now").first().now
+    log = landing.event_log_path(spark, sf_dir)
+    stored = _drain(spark, _received(spark, log), stamped=True)
+    sound = F.col("consumed_at").isNotNull() & (F.col("consumed_at") >= F.lit(began))
+    return stored.select("delivery_id", sound.alias("stamped"))
+
+
+@query
+def event_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events encoded and sent to a file sink, read back as messages."""
+    path = scratch_dir(spark, "published")
+    received = _received(spark, landing.event_log_path(spark, sf_dir))
+    stream.publish_events(
+        stream.encode_events(received).select("value"), f"{path}/checkpoint", "text",
+        available_now=True, path=f"{path}/topic",
+    ).awaitTermination()
+    return spark.read.text(f"{path}/topic")
+
+
 # --- classifier -------------------------------------------------------------------------------
 
 def _rule_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -420,6 +552,48 @@ def rf_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("delivery_id", "prediction", "probability")
 
 
+@query
+def rf_predictions_sound(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every delivery is scored, by a probability, and its class is the likelier one."""
+    scored = rf_predictions(spark, sf_dir)
+    p = F.col("probability")
+    return scored.select(
+        "delivery_id",
+        p.between(0, 1).alias("is_probability"),
+        ((F.col("prediction") == 1) == (p > 0.5)).alias("is_likelier"),
+    )
+
+
+@query
+def rf_test_support(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of each class in the test part, as the report of the model counts them."""
+    return rf_class_report(spark, sf_dir).where(F.col("class").isin("0", "1")).select("class", "support")
+
+
+@query
+def rf_importance_total(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The importances are shares of one."""
+    total = F.round(F.sum("importance"), 6).alias("total")
+    sound = F.count_if(F.col("importance") < 0).alias("negative")
+    return rf_feature_importance(spark, sf_dir).agg(F.count("*").alias("features"), total, sound)
+
+
+@query
+def what_if_as_is(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows left as they are gain nothing."""
+    as_is = what_if_uplift(spark, sf_dir).where("scenario = 'as_is'")
+    return as_is.select("scenario", F.round("uplift_points", 9).alias("uplift_points"))
+
+
+@query
+def model_reload_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deliveries that a saved and loaded model puts into another class."""
+    before = rf_predictions(spark, sf_dir).select("delivery_id", F.col("prediction").alias("before"))
+    both = before.join(model_roundtrip(spark, sf_dir), "delivery_id")
+    changed = F.count_if(F.col("before") != F.col("prediction"))
+    return both.agg(F.count("*").alias("deliveries"), changed.alias("changed"))
+
+
 @query
 def rf_evaluation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Accuracy and AUC on the held-out part, scored per feature combination."""

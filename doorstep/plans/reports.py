@@ -46,8 +46,9 @@ def run_reports(spark: SparkSession, df: DataFrame, out: str) -> int:
     Each report scans only its own few columns of the written table.
     """
     table = f"{out}/featured"
-    rows = write_partitioned(with_features(df), table)
-    featured = read_partitioned(spark, table, expected_rows=rows)
+    featured = with_features(df)
+    rows = write_partitioned(featured, table)
+    featured = read_partitioned(spark, table, featured.schema, expected_rows=rows)
     for name, report in REPORTS.items():
         export_mart(report(featured), f"{out}/reports/{name}")
     return rows

@@ -44,7 +44,6 @@ DAILY_VOLUME = 100_000
 TARGET_GAIN, TARGET_CAP = 5.0, 99.0
 WORST_MIN_ATTEMPTS, WORST_K = 200, 10
 MART_MIN_ATTEMPTS = 50
-ADDRESS_WINDOW_ROWS = 20
 MEAN_RANGE = (0.5, 0.95)
 
 TOPIC = "delivery-events"

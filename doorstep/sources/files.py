@@ -1,37 +1,51 @@
 """File sources and sinks."""
 
-from functools import reduce
-from operator import and_
-
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from doorstep.schema import DELIVERIES, DELIVERY_COLUMNS, REQUIRED_COLUMNS
 
 
+def _by_header(spark: SparkSession, path: str, types: dict[str, T.DataType]) -> DataFrame:
+    """The declared columns of a CSV by the names in its header, in whatever order; others are left out.
+
+    The first header gives the order, and every other file is held against it as it is read.
+    """
+    header = spark.read.option("header", True).csv(path).columns
+    if missing := [c for c in types if c not in header]:
+        raise ValueError(f"{path}: no column {', '.join(missing)}")
+    found = T.StructType([T.StructField(c, types.get(c, T.StringType())) for c in header])
+    reader = spark.read.option("header", True).option("enforceSchema", False)
+    return reader.schema(found).csv(path).select(*types)
+
+
 def read_deliveries(spark: SparkSession, path: str, *, infer: bool = False) -> DataFrame:
-    """Attempt records from CSV with a header row.
+    """Attempt records from CSV with a header row, bound by the header's names.
 
     The declared schema costs no extra pass. ``infer=True`` reads the data once more to guess the
     types, and will take an all-digit id for a number.
     """
-    reader = spark.read.option("header", True)
-    reader = reader.option("inferSchema", True) if infer else reader.schema(DELIVERIES)
-    return reader.csv(path)
+    if infer:
+        return spark.read.option("header", True).option("inferSchema", True).csv(path)
+    return _by_header(spark, path, {f.name: f.dataType for f in DELIVERIES})
 
 
 def read_deliveries_checked(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """Typed records, and as text those where a required value is missing or does not parse.
+    """Typed records, and as text with a ``reason`` those where a value is missing or does not parse.
 
-    The split is made by expressions over text columns. The CSV reader's own corrupt-record column
+    A value that is there must parse; the required ones must be there. The split is made by expressions over text columns. The CSV reader's own corrupt-record column
     would not do: it looks only at the columns a query selects.
     """
-    text = spark.read.schema(
-        T.StructType([T.StructField(c, T.StringType()) for c in DELIVERY_COLUMNS])
-    ).option("header", True).csv(path)
+    text = _by_header(spark, path, {c: T.StringType() for c in DELIVERY_COLUMNS})
     typed = {f.name: F.col(f.name).try_cast(f.dataType) for f in DELIVERIES}
-    fits = reduce(and_, [typed[c].isNotNull() for c in REQUIRED_COLUMNS])
-    good = text.where(fits).select([value.alias(c) for c, value in typed.items()])
-    return good, text.where(~fits)
+    reasons = [
+        F.when(F.col(c).isNotNull() & value.isNull(), F.lit(f"{c} does not parse")).otherwise(
+            F.when(value.isNull(), F.lit(f"{c} is missing")) if c in REQUIRED_COLUMNS else F.lit(None)
+        )
+        for c, value in typed.items()
+    ]
+    judged = text.withColumn("reason", F.concat_ws("; ", *reasons))
+    good = judged.where("reason = ''").select([value.alias(c) for c, value in typed.items()])
+    return good, judged.where("reason <> ''")
 
 
 def write_deliveries_csv(df: DataFrame, path: str) -> None:
@@ -39,9 +53,9 @@ def write_deliveries_csv(df: DataFrame, path: str) -> None:
 
 
 def load_json_records(
-    spark: SparkSession, path: str, schema: T.StructType, *, multi_line: bool = True
+    spark: SparkSession, path: str, schema: T.StructType, *, multi_line: bool = False
 ) -> DataFrame:
-    """API records landed as JSON: one array of objects per file, or one object per line.
+    """API records landed as JSON: one object per line, or with ``multi_line`` one array per file.
 
     A file that holds one array is read by one task, so land large feeds as lines.
     """
@@ -70,10 +84,17 @@ def write_partitioned(
 
 
 def read_partitioned(
-    spark: SparkSession, path: str, *, expected_rows: int | None = None
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    *,
+    expected_rows: int | None = None,
 ) -> DataFrame:
-    """All partitions read back; with ``expected_rows``, fails unless the count is equal."""
-    df = spark.read.parquet(path)
+    """All partitions read back; with ``expected_rows``, fails unless the count is equal.
+
+    The schema keeps the partition column's type: a city ``01`` would be read as a number without it.
+    """
+    df = spark.read.schema(schema).parquet(path)
     if expected_rows is not None:
         found = df.count()
         if found != expected_rows:

@@ -4,11 +4,8 @@ Every transformation works on a batch or a streaming DataFrame. Sources and sink
 format, so the same job runs against a message topic or against files of JSON lines.
 """
 
-from collections.abc import Iterator
-
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQueryListener
 
 from doorstep.functions.labels import is_terminal
 from doorstep.functions.text import ingest_stamp, json_fields, json_text
@@ -16,6 +13,7 @@ from doorstep.schema import EVENT, TOPIC
 
 MALFORMED = "malformed"
 EVENT_KEY = ("delivery_id", "status", "timestamp")
+EVENT_DAY = "event_day"
 
 
 def event_source(spark: SparkSession, fmt: str = "kafka", **options: str) -> DataFrame:
@@ -121,37 +119,80 @@ def show_live_fadr(
     )
 
 
-def dedup_events(
-    events: DataFrame, delay: str, keys: tuple[str, ...] = EVENT_KEY
-) -> DataFrame:
-    """Each event once, whether it was retried, replayed or read again within ``delay``.
+def append_new_events(
+    events: DataFrame,
+    path: str,
+    checkpoint: str,
+    *,
+    keys: tuple[str, ...] = EVENT_KEY,
+    available_now: bool = False,
+    every: str | None = None,
+) -> StreamingQuery:
+    """Append each event once, however often and however late it arrives.
+
+    See :func:`store_new_events`, which every micro-batch goes through.
+    """
+    writer = events.writeStream.foreachBatch(lambda batch, _: store_new_events(batch, path, keys))
+    return _launch(writer, checkpoint, available_now, every)
+
 
-    Copies are first dropped inside each Arrow batch, without a shuffle, so that one event
-    repeated very often does not pour into a single state partition. The state then settles the
-    rest and forgets keys older than ``delay``.
+def store_new_events(batch: DataFrame, path: str, keys: tuple[str, ...] = EVENT_KEY) -> None:
+    """Append the events of ``batch`` that the table at ``path`` does not hold.
+
+    The table is partitioned by the day of the event; only the keys of the days in the batch are read.
+    Nothing is forgotten, so no event is too late, and a batch that is replayed after a failure adds only
+    what is missing. Keys are compared null-safe: an event without a timestamp has a day of its own, and
+    is stored once like any other.
     """
+    spark = batch.sparkSession
+    fresh = batch.dropDuplicates(list(keys)).withColumn(EVENT_DAY, F.to_date("timestamp"))
+    if has_files(spark, path):
+        # The newest schema is the batch's own; days without a match are pruned by the join.
+        stored = spark.read.schema(fresh.schema).parquet(path).select(EVENT_DAY, *keys)
+        same = [fresh[c].eqNullSafe(stored[c]) for c in (EVENT_DAY, *keys)]
+        fresh = fresh.join(stored, same, "left_anti")
+    fresh.write.mode("append").partitionBy(EVENT_DAY).parquet(path)
 
-    def drop_batch_copies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = pa.Table.from_batches([batch]).select(list(keys))
-            rows = rows.append_column("row", pa.array(range(batch.num_rows), pa.int64()))
-            first = rows.group_by(list(keys)).aggregate([("row", "min")])["row_min"]
-            yield batch.take(first.combine_chunks())
-
-    return (
-        events.mapInArrow(drop_batch_copies, events.schema)
-        .withWatermark("timestamp", delay)
-        .dropDuplicatesWithinWatermark(list(keys))
-    )
+
+def read_events_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The stored events; an event table that does not exist yet has none."""
+    if not has_files(spark, path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path).select(schema.fieldNames())
 
 
-def progress(query: StreamingQuery) -> dict[str, int]:
-    """Micro-batches and rows read so far, from the query's retained progress reports.
+def has_files(spark: SparkSession, path: str) -> bool:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
 
-    ``spark.sql.streaming.numRecentProgressUpdates`` sets how many reports are retained.
+
+class Progress(StreamingQueryListener):
+    """Micro-batches and rows of every query since the listener was added to ``spark.streams``.
+
+    A query's own list of reports keeps the latest only, and so cannot be summed.
     """
-    reports = query.recentProgress
-    return {"batches": len(reports), "rows": sum(r["numInputRows"] for r in reports)}
+
+    def __init__(self) -> None:
+        self.seen: dict[str, dict[str, int]] = {}
+
+    def onQueryStarted(self, event) -> None:
+        self.seen.setdefault(str(event.runId), {"batches": 0, "rows": 0})
+
+    def onQueryProgress(self, event) -> None:
+        own = self.seen.setdefault(str(event.progress.runId), {"batches": 0, "rows": 0})
+        own["batches"] += 1
+        own["rows"] += event.progress.numInputRows
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+    def of(self, query: StreamingQuery) -> dict[str, int]:
+        """Of a query that has ended, once its last report has come."""
+        SparkSession.active().sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+        return self.seen.get(str(query.runId), {"batches": 0, "rows": 0})
 
 
 def _start(
@@ -166,9 +207,15 @@ def _start(
     **options: str,
 ) -> StreamingQuery:
     writer = df.writeStream.format(fmt).outputMode(mode).options(**options)
-    writer = writer.option("checkpointLocation", checkpoint)
     if name:
         writer = writer.queryName(name)
+    return _launch(writer, checkpoint, available_now, every)
+
+
+def _launch(
+    writer: DataStreamWriter, checkpoint: str, available_now: bool, every: str | None
+) -> StreamingQuery:
+    writer = writer.option("checkpointLocation", checkpoint)
     if available_now:
         writer = writer.trigger(availableNow=True)
     elif every:

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from doorstep.operators.quality import QualityError
 from doorstep.plans.daily_job import DailyOutputs, run_daily
@@ -36,3 +37,20 @@ def test_a_failed_check_stops_before_the_export(spark, attempts, tmp_path):
         run_daily(spark, str(tmp_path / "in"), str(tmp_path / "out"))
     assert not (tmp_path / "out" / "exports").exists()
     assert DailyOutputs("o").table("t") == "o/tables/t"
+
+
+def test_broken_values_stay_out_of_the_marts(spark, attempts, tmp_path):
+    sound = attempts({"city": "Pune"}, {"city": "Pune"}, {"city": "Pune"}, {"city": "Pune"})
+    text = sound.select([F.col(c).cast("string").alias(c) for c in sound.columns])
+    broken = text.limit(1).withColumns({"delivery_id": F.lit("bad"), "order_value": F.lit("ten"), "city": F.lit(None).cast("string")})
+    write_deliveries_csv(text.unionByName(broken), str(tmp_path / "in"))
+    out = run_daily(spark, str(tmp_path / "in"), str(tmp_path / "out"), mart_min_attempts=1)
+    rejected = spark.read.parquet(out.table("rejected")).collect()
+    assert [(r.delivery_id, r.reason) for r in rejected] == [("bad", "city is missing; order_value does not parse")]
+    mart = spark.read.parquet(out.table("mart_fadr_by_city_and_address")).collect()
+    assert [(r.city, r.total_attempts) for r in mart] == [("Pune", 4)]
+    flagged = text.withColumn("has_delivery_preference", F.lit("7"))
+    write_deliveries_csv(flagged, str(tmp_path / "flagged"))
+    with pytest.raises(QualityError, match="has_delivery_preference"):
+        run_daily(spark, str(tmp_path / "flagged"), str(tmp_path / "out2"))
+    assert not (tmp_path / "out2" / "tables" / "fadr_by_segment").exists()

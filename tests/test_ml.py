@@ -172,3 +172,24 @@ def test_report_without_a_predicted_class(spark):
     assert [tuple(r) for r in metrics.confusion_matrix(df).orderBy("actual").collect()] == [
         (0, 0, 1), (1, 0, 1),
     ]
+
+
+def test_accuracy_is_that_of_the_prediction(spark):
+    tie = spark.createDataFrame([(0, 0.5, 0), (1, 0.9, 1)], "is_successful int, probability double, prediction int")
+    assert metrics.classification_metrics(tie).first().accuracy == 1.0
+    assert metrics.classification_metrics(tie.drop("prediction")).first().accuracy == 0.5
+
+
+def test_more_cities_than_default_bins(spark, attempts):
+    rows = [{"city": f"c{i % 60}", "is_successful": i % 2} for i in range(240)]
+    model = forest.train(attempts(*rows), trees=2, depth=2)
+    assert forest.predict(model, attempts({"city": "c59"})).count() == 1
+
+
+def test_the_model_does_not_depend_on_the_input_partitions(spark, sf_dir):
+    df = deliveries(spark, sf_dir)
+    scores = []
+    for n in (2, 5):
+        model = forest.train(df.repartition(n), trees=3, depth=4)
+        scores.append([round(x, 12) for x in model.stages[-1].featureImportances.toArray()])
+    assert scores[0] == scores[1]

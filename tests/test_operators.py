@@ -181,3 +181,17 @@ def test_savings_with_a_chosen_target(spark):
     df = spark.createDataFrame([("x", 80.0)], "city string, fadr_pct double")
     found = dashboard.savings_scenarios(df, costs=(10, 20), daily_volume=100, target=90.0)
     assert [round(r.daily_savings) for r in found.orderBy("cost_per_failure").collect()] == [100, 200]
+
+
+def test_every_address_window_pair_is_reported(attempts):
+    rows = [{"address_type": f"a{i}", "delivery_window": f"w{j}"} for i in range(6) for j in range(5)]
+    assert rates.fadr_by_address_window(attempts(*rows)).count() == 30
+
+
+def test_savings_round_the_rate_once(spark):
+    rate = spark.createDataFrame([("a", 74.245), ("b", 99.6)], "city string, fadr_pct double")
+    got = {r.city: r for r in dashboard.savings_scenarios(rate, daily_volume=100_000).collect()}
+    assert got["a"].current_fadr == 74.2 and round(got["a"].current_failures) == 25_800
+    assert got["b"].target_fadr == 99.6 and got["b"].annual_savings == 0
+    below = dashboard.savings_scenarios(rate, target=50.0).where("city = 'a'").first()
+    assert below.daily_savings == 0

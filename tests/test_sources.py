@@ -56,8 +56,8 @@ def test_json_array_and_lines(spark, tmp_path):
     schema = "userId int, id int, title string, body string"
     (tmp_path / "array.json").write_text(json.dumps(records, indent=2))
     (tmp_path / "lines.json").write_text("\n".join(map(json.dumps, records)))
-    array = files.load_json_records(spark, str(tmp_path / "array.json"), schema)
-    lines = files.load_json_records(spark, str(tmp_path / "lines.json"), schema, multi_line=False)
+    array = files.load_json_records(spark, str(tmp_path / "array.json"), schema, multi_line=True)
+    lines = files.load_json_records(spark, str(tmp_path / "lines.json"), schema)
     assert array.count() == 4 and same_rows(array, lines)
     assert array.where("userId = 2").first().title is None
 
@@ -66,19 +66,19 @@ def test_partitioned_write_and_read(spark, df, tmp_path):
     path = str(tmp_path / "out")
     for _ in range(2):
         assert files.write_partitioned(df, path) == 1500
-    back = files.read_partitioned(spark, path, expected_rows=1500)
+    back = files.read_partitioned(spark, path, DELIVERIES, expected_rows=1500)
     assert back.columns[-1] == "city"
     assert same_rows(back.select(DELIVERY_COLUMNS), df)
     cities = {p.name for p in Path(path).glob("city=*")}
     assert len(cities) == df.select("city").distinct().count()
     with pytest.raises(ValueError):
-        files.read_partitioned(spark, path, expected_rows=1)
+        files.read_partitioned(spark, path, DELIVERIES, expected_rows=1)
 
 
 def test_partition_and_column_pruning(spark, df, tmp_path):
     path = str(tmp_path / "out")
     files.write_partitioned(df, path)
-    one = files.read_partitioned(spark, path).where("city = 'ASIA'").select("is_successful")
+    one = files.read_partitioned(spark, path, DELIVERIES).where("city = 'ASIA'").select("is_successful")
     plan = one._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(city" in plan
     assert "ReadSchema: struct<is_successful:int>" in plan
@@ -143,3 +143,18 @@ def test_scratch_is_fresh_and_shared(spark):
     first, second = scratch_dir(spark, "x"), scratch_dir(spark, "x")
     assert first != second
     assert first.startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_a_numeric_looking_partition_keeps_its_type(spark, attempts, tmp_path):
+    files.write_partitioned(attempts({"city": "01"}), str(tmp_path / "p"))
+    assert files.read_partitioned(spark, str(tmp_path / "p"), DELIVERIES).first().city == "01"
+
+
+def test_columns_are_bound_by_the_header(spark, attempts, tmp_path):
+    df = attempts({"city": "Delhi", "address_type": "Office"})
+    files.write_deliveries_csv(df.select(*df.columns[::-1], F.lit("x").alias("extra")), str(tmp_path / "in"))
+    back = files.read_deliveries(spark, str(tmp_path / "in"))
+    assert back.columns == df.columns and (back.first().city, back.first().address_type) == ("Delhi", "Office")
+    files.write_deliveries_csv(df.drop("city"), str(tmp_path / "short"))
+    with pytest.raises(ValueError, match="no column city"):
+        files.read_deliveries(spark, str(tmp_path / "short"))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from doorstep.schema import EVENT, NARROW_EVENT, STATUSES
 from doorstep.sources.star import read_events
 from doorstep.streaming import events as stream
+from doorstep.streaming.consume import consume_events, live_rate
 
 EVENT_ROW = {
     "delivery_id": "d1", "city": "Pune", "address_type": "House", "window": "Evening (15-19)",
@@ -104,7 +105,7 @@ def test_append_resumes_without_duplicates(spark, log, tmp_path):
         )
 
     write_log(log, "a", EVENT_ROW, {**EVENT_ROW, "delivery_id": "d2"})
-    assert stream.progress(drain())["rows"] == 2
+    drain()
     write_log(log, "b", {**EVENT_ROW, "delivery_id": "d3"})
     drain(), drain()
     table = spark.read.parquet(str(tmp_path / "table"))
@@ -112,26 +113,67 @@ def test_append_resumes_without_duplicates(spark, log, tmp_path):
     assert table.count() == 3 and table.where("consumed_at IS NULL").count() == 0
 
 
-def test_dedup_within_a_batch_and_across_a_restart(spark, log, tmp_path):
-    def drain():
-        events, _ = stream.decode_events(stream.event_source(spark, "text", path=str(log)))
-        run(
+def test_progress_counts_every_micro_batch(spark, log, tmp_path):
+    """More micro-batches than a query keeps reports of."""
+    for i in range(105):
+        write_log(log, f"{i:03d}", {**EVENT_ROW, "delivery_id": f"d{i}"})
+    seen = stream.Progress()
+    spark.streams.addListener(seen)
+    try:
+        source = stream.event_source(spark, "text", path=str(log), maxFilesPerTrigger="1")
+        query = run(
             stream.append_events(
-                stream.dedup_events(events, "1 day"), str(tmp_path / "t"), str(tmp_path / "ck"),
-                available_now=True,
+                stream.decode_events(source)[0], str(tmp_path / "t"), str(tmp_path / "ck"), available_now=True
             )
         )
-        return spark.read.parquet(str(tmp_path / "t"))
+        assert seen.of(query) == {"batches": 105, "rows": 105}
+    finally:
+        spark.streams.removeListener(seen)
+
+
+def test_each_event_is_stored_once_and_none_is_too_late(spark, log, tmp_path):
+    def drain():
+        events, _ = stream.decode_events(stream.event_source(spark, "text", path=str(log)))
+        run(stream.append_new_events(events, str(tmp_path / "t"), str(tmp_path / "ck"), available_now=True))
+        return stream.read_events_table(spark, str(tmp_path / "t"), EVENT)
 
     other = {**EVENT_ROW, "status": "FAILED"}
-    write_log(log, "a", *[EVENT_ROW] * 500, other)
-    assert drain().count() == 2
-    write_log(log, "b", EVENT_ROW, {**EVENT_ROW, "delivery_id": "d2"}, other)
+    timeless = {k: v for k, v in EVENT_ROW.items() if k != "timestamp"}
+    assert stream.read_events_table(spark, str(tmp_path / "t"), EVENT).count() == 0
+    write_log(log, "a", *[EVENT_ROW] * 500, other, timeless, timeless)
+    assert drain().count() == 3
+    late = {**EVENT_ROW, "timestamp": "1999-01-01T00:00:00"}
+    write_log(log, "b", EVENT_ROW, {**EVENT_ROW, "delivery_id": "d2"}, other, late, late, timeless)
     table = drain()
-    assert table.count() == 3
-    assert {(r.delivery_id, r.status) for r in table.collect()} == {
-        ("d1", "PICKED_UP"), ("d1", "FAILED"), ("d2", "PICKED_UP"),
+    assert {(r.delivery_id, r.status, r.timestamp and r.timestamp.year) for r in table.collect()} == {
+        ("d1", "PICKED_UP", 2024), ("d1", "FAILED", 2024), ("d2", "PICKED_UP", 2024),
+        ("d1", "PICKED_UP", 1999), ("d1", "PICKED_UP", None),
     }
+    assert table.count() == 5 and table.columns == EVENT.fieldNames()
+
+
+def test_a_replayed_micro_batch_adds_nothing(spark, tmp_path):
+    rows = [{**EVENT_ROW, "delivery_id": f"d{i}"} for i in range(5)]
+    batch, _ = stream.decode_events(spark.createDataFrame([(json.dumps(r),) for r in rows], "value string"))
+    for _ in range(2):
+        stream.store_new_events(batch, str(tmp_path / "t"))
+    stream.store_new_events(batch.limit(0), str(tmp_path / "t"))
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 5
+
+
+def test_consumer_restarts(spark, log, tmp_path):
+    def consume():
+        consume_events(spark, str(tmp_path / "out"), "text", path=str(log), available_now=True).awaitTermination()
+        return tuple(live_rate(spark, str(tmp_path / "out")).first())
+
+    done = {**EVENT_ROW, "status": "DELIVERED"}
+    write_log(log, "a", done, done, {**EVENT_ROW, "status": "FAILED"}, "broken")
+    assert consume() == (66.7, 3, 3)
+    write_log(log, "b", {**done, "delivery_id": "d2"}, EVENT_ROW)
+    assert consume() == (75.0, 4, 5) and consume() == (75.0, 4, 5)
+    stored = spark.read.parquet(str(tmp_path / "out" / "events"))
+    assert stored.count() == 4 and stored.where("consumed_at IS NULL").count() == 0
+    assert [r.value for r in spark.read.parquet(str(tmp_path / "out" / "malformed")).collect()] == ["broken"]
 
 
 def test_publish_to_a_file_sink(spark, sf_dir, tmp_path):
