@@ -1,5 +1,7 @@
 """Session settings and the shared working folder."""
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -30,24 +32,17 @@ def build_session(app_name: str = "doorstep", **conf) -> SparkSession:
     return builder.getOrCreate()
 
 
-def keep_state_on_disk(spark: SparkSession) -> None:
-    """Move a session from the default, heap-bound streaming state to RocksDB.
-
-    A session that names a provider of its own keeps it.
-    """
-    if spark.conf.get(STATE_PROVIDER).endswith(".HDFSBackedStateStoreProvider"):
-        spark.conf.set(STATE_PROVIDER, ROCKSDB_PROVIDER)
-
-
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder path under ``spark.checkpoint.dir``, which every executor can reach.
 
-    Only a local session may fall back to a temporary folder of this machine.
+    Only a local session may fall back to a temporary folder of this machine, which goes when the
+    application ends.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
         base = tempfile.mkdtemp(prefix="doorstep-")
+        atexit.register(shutil.rmtree, base, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/doorstep/{label}-{uuid.uuid4().hex}"
