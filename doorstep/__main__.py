@@ -45,7 +45,13 @@ def consume(spark: SparkSession, args: argparse.Namespace) -> None:
     """Store new events, set malformed ones apart and print the live rate after every micro-batch."""
     options = dict(option.split("=", 1) for option in args.option)
     consume_events(
-        spark, args.out, args.format, every=args.every, available_now=args.available_now, **options
+        spark,
+        args.out,
+        args.format,
+        every=args.every,
+        available_now=args.available_now,
+        report=lambda rate: print(rate, flush=True),
+        **options,
     ).awaitTermination()
     live_rate(spark, args.out).show()
 

@@ -1,5 +1,7 @@
 """The consumer job: one read and one parse of the source, three outputs per micro-batch."""
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -20,13 +22,15 @@ def consume_events(
     *,
     every: str | None = None,
     available_now: bool = False,
+    report: Callable[[dict], None] | None = None,
     **options: str,
 ) -> StreamingQuery:
     """Store new events, set malformed messages apart and count outcomes, micro-batch by micro-batch.
 
     Under ``out``: ``events`` (by day, each event once), ``malformed`` and ``outcomes``, with a folder
     per micro-batch that a replay overwrites. Any failure ends the query. The live rate of what has been
-    received is :func:`live_rate`, at any time and from any session; it is printed after every micro-batch.
+    received is :func:`live_rate`, at any time and from any session; ``report`` is called with it after every
+    micro-batch.
     """
     raw = stream.event_source(spark, fmt, **{**BATCH_BOUNDS.get(fmt, {}), **options})
 
@@ -39,7 +43,8 @@ def consume_events(
             outcomes(good).write.mode("overwrite").parquet(f"{out}/outcomes/batch={number}")
         finally:
             batch.unpersist()
-        print(f"batch {number}: {live_rate(batch.sparkSession, out).first().asDict()}", flush=True)
+        if report is not None:
+            report({"batch": number, **live_rate(batch.sparkSession, out).first().asDict()})
 
     writer = raw.writeStream.foreachBatch(store)
     return stream._launch(writer, f"{out}/checkpoint", available_now, every)

@@ -44,6 +44,6 @@ def test_command_line_consumes_events(spark, tmp_path, capsys):
         "--available-now",
     ])
     out = capsys.readouterr().out
-    assert "50.0" in out and "batch 0" in out
+    assert "50.0" in out and "'batch': 0" in out
     assert spark.read.parquet(str(tmp_path / "out" / "events")).count() == 2
     assert [r.value for r in spark.read.parquet(str(tmp_path / "out" / "malformed")).collect()] == ["not json"]
