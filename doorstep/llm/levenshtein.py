@@ -1,8 +1,9 @@
 """Words of a lexicon within an edit distance, by a Levenshtein automaton run along the lexicon's trie.
 
-The automaton of a word has a state per trie node: the distances of the node's prefix to every prefix of
-the word, cut off above the limit. A branch ends where no distance within the limit is left, so only the
-part of the trie that the automaton accepts is visited.
+The automaton of a word has a state for every number of its letters read and of edits made. It is run
+along the trie: a state goes on by the word's next letter where the node has it, and, while an edit is left,
+by a letter replaced, left out or added. A branch ends where the automaton has no way on, so only the part of
+the trie that it accepts is visited.
 """
 
 
@@ -50,20 +51,22 @@ class Trie:
             return None
         best: tuple[int, bool, str] | None = None
         n = len(word)
-        # A state holds, for each prefix of the word, its distance to the path so far, 2 meaning more than 1.
-        todo = [(0, [min(k, 2) for k in range(n + 1)])]
+        # States of the automaton at trie nodes: letters of the word read, and edits made.
+        todo = [(0, 0, 0)]
         while todo:
-            node, row = todo.pop()
-            for entry, is_stem, edits in self.ends[node]:
-                distance = min(row) if is_stem else row[n]
-                if distance <= edits and (best is None or (distance, is_stem, entry) < best):
+            node, i, edits = todo.pop()
+            children = self.children[node]
+            for entry, is_stem, most in self.ends[node]:
+                distance = edits if is_stem else edits + n - i
+                if distance <= most and (best is None or (distance, is_stem, entry) < best):
                     best = distance, is_stem, entry
-            for letter, child in self.children[node].items():
-                step, last = [min(row[0] + 1, 2)], row[0]
-                for k in range(n):
-                    d = last if word[k] == letter else min(last, row[k + 1], step[k]) + 1
-                    step.append(d if d < 2 else 2)
-                    last = row[k + 1]
-                if min(step) < 2:
-                    todo.append((child, step))
+            if i < n and word[i] in children:
+                todo.append((children[word[i]], i + 1, edits))
+            if not edits:
+                for letter, child in children.items():
+                    todo.append((child, i, 1))
+                    if i < n and letter != word[i]:
+                        todo.append((child, i + 1, 1))
+                if i < n:
+                    todo.append((node, i + 1, 1))
         return None if best is None else (best[2], best[1], best[0])
