@@ -41,8 +41,8 @@ from doorstep.llm.tables import settled
 #: At least 64: the first rank within an anchor's round is of a quarter of it, 16 bytes or more.
 LENGTH = 100
 ANCHOR = 24
-#: Different stretches of an anchor that one task compares.
-HOT = 512
+#: Different stretches of an anchor that one task compares at once; about 100 MB.
+HOT = 1 << 14
 #: Bytes of documents, and windows of stretches, that a task works on at a time.
 BATCH_BYTES = 1 << 21
 BATCH_WINDOWS = 1 << 18
@@ -212,7 +212,9 @@ def sorted_pass(found: DataFrame) -> DataFrame:
                 new[0], same[0] = True, False
             repeats = ~new & ~same
             if repeats.any():
-                yield emit(REPEAT, piece, [c[repeats] for c in rows])
+                # Of repeats only the place is needed.
+                none = np.zeros(int(repeats.sum()), np.int64)
+                yield emit(REPEAT, piece, [none, none, *[c[repeats] for c in rows[2:]]])
             firsts = [c[new] for c in rows]
             if len(firsts[0]):
                 after = np.concatenate((firsts[0][1:] == firsts[0][:-1], [False]))
@@ -292,19 +294,26 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     columns = ["ord", "uid", "pos", "n"]
     repeats = rows.where(F.col("kind") == REPEAT).select(columns)
     firsts = rows.where(F.col("kind") == FIRST).select("a", *columns)
-    hot = firsts.groupBy("a").agg(F.count("*").alias("k")).where(F.col("k") > HOT).select("a", F.lit(True).alias("hot"))
-    firsts = firsts.join(hot, "a", "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
-    cut = settled(_cut_stretches(docs, firsts, length), "stretches")
-    few = cut.where("NOT hot").drop("hot")
-    few = few.repartition("a").sortWithinPartitions("a").mapInArrow(_compare(length), "ord long, uid long, pos int, n int")
-    return repeats.unionByName(few).unionByName(_compare_hot(cut.where("hot"), length))
+    hot = firsts.groupBy("a").agg(F.count("*").alias("k")).where(F.col("k") > HOT).select("a")
+    hot = settled(hot, "hot-anchors")
+    if hot.isEmpty():
+        return repeats.unionByName(_compare_few(_cut_stretches(docs, firsts, length), length))
+    few = _cut_stretches(docs, firsts.join(hot, "a", "left_anti"), length)
+    many = settled(_cut_stretches(docs, firsts.join(hot, "a"), length), "hot-stretches")
+    return repeats.unionByName(_compare_few(few, length)).unionByName(_compare_hot(many, length))
+
+
+def _compare_few(cut: DataFrame, length: int) -> DataFrame:
+    """The repeats among the stretches of each anchor, which meet in one task."""
+    near = cut.repartition("a").sortWithinPartitions("a")
+    return near.mapInArrow(_compare(length), f"{DOCUMENT}, pos int, n int")
 
 
 def _packed(docs: DataFrame) -> DataFrame:
     """(ord, uid, doc_id, packed): compressed texts, since they are shuffled."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        press = zstandard.ZstdCompressor(level=1)
+        press = zstandard.ZstdCompressor(level=3)
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
@@ -316,7 +325,7 @@ def _packed(docs: DataFrame) -> DataFrame:
 
 def _cut_stretches(docs: DataFrame, firsts: DataFrame, length: int) -> DataFrame:
     """The bytes of every stretch, with its anchor and place."""
-    wanted = firsts.groupBy("ord", "uid").agg(F.collect_list(F.struct("a", "pos", "n", "hot")).alias("wanted"))
+    wanted = firsts.groupBy("ord", "uid").agg(F.collect_list(F.struct("a", "pos", "n")).alias("wanted"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         open_ = zstandard.ZstdDecompressor()
@@ -324,12 +333,12 @@ def _cut_stretches(docs: DataFrame, firsts: DataFrame, length: int) -> DataFrame
             out = []
             for ord_, uid, packed, wanted_ in rows:
                 text = open_.decompress(packed)
-                out += [(w["a"], ord_, uid, w["pos"], w["hot"], text[w["pos"] : w["pos"] + w["n"] + length - 1]) for w in wanted_]
-            types = [pa.int64()] * 3 + [pa.int32(), pa.bool_(), pa.binary()]
-            yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*out), types)], ["a", "ord", "uid", "pos", "hot", "body"])
+                out += [(w["a"], ord_, uid, w["pos"], text[w["pos"] : w["pos"] + w["n"] + length - 1]) for w in wanted_]
+            types = [pa.int64()] * 3 + [pa.int32(), pa.binary()]
+            yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*out), types)], ["a", "ord", "uid", "pos", "body"])
 
     joined = _packed(docs).join(wanted, ["ord", "uid"]).select("ord", "uid", "packed", "wanted")
-    return joined.mapInArrow(cut, f"a long, {DOCUMENT}, pos int, hot boolean, body binary")
+    return joined.mapInArrow(cut, f"a long, {DOCUMENT}, pos int, body binary")
 
 
 def first_windows(group: np.ndarray, bodies: list[bytes], length: int) -> tuple[np.ndarray, ...]:
