@@ -8,8 +8,10 @@ place is called (``footer``, ``class="content"``) is the prior, so pages without
 are judged as well.
 
 Within the run, elements that are no part of an article by their name (menus, forms, adverts, reader
-comments and the like) are left out. The rest is given as blocks: character references decoded, white space
-turned into one space, blocks joined by an empty line.
+comments and the like) are left out. A class, id or role names such an element as a whole or by its last part
+(``cookie-notice``, not ``comments-open``, ``menu-page-content`` or ``no-sidebar``); it never leaves out ``html``,
+``body``, ``main``, ``article`` or what holds the page's own ``main`` or ``article``. The rest is given as blocks:
+character references decoded, white space turned into one space, blocks joined by an empty line.
 
 A null or empty html has empty text; ``page_id`` and ``url`` pass through, nulls included. Repeated rows
 each get a row. An empty table gives no rows. Extra columns are ignored. The first of equal runs is taken.
@@ -36,8 +38,14 @@ ASIDE_NAMES = set(
     "notice notices pagination popup promo promoted promotion recommended related replies reply respond search "
     "share sharing sidebar signup social sponsor sponsored subscribe subscription toolbar widget".split()
 )
+#: Names of headers, which are part of an article inside of it.
+HEADER_NAMES = {"header", "masthead"}
+#: First parts of a class that tell of the page's layout instead of naming the element.
+STATES = set("has hide no not show with without".split())
 CONTENT_NAMES = set("article body content entry main post story text".split())
 LABELS = {"article", "main"}
+#: Elements that no class or id makes an aside.
+FRAMES = {"html", "body", *LABELS}
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 BLOCKS = set(
     "address article aside blockquote body center dd details div dl dt fieldset figcaption figure footer form h1 h2 "
@@ -59,6 +67,7 @@ _TOKEN = re.compile(
 )
 _NAME = re.compile(r"""\b(?:class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
 _PART = re.compile(r"[a-z0-9]+")
+_LABEL = re.compile(r"<(?:article|main)\b", re.I)
 
 
 @dataclass
@@ -83,11 +92,37 @@ class Stretch:
     space: bool = False
 
 
-def _names(attributes: str) -> list[str]:
-    found = []
+def _names(attributes: str) -> tuple[list[str], set[str]]:
+    """All parts of an element's class, id and role, and the names its classes give it: their last parts."""
+    found, given = [], set()
     for value in _NAME.findall(attributes):
-        found += _PART.findall(value.strip("\"'").lower())
-    return found
+        for token in value.strip("\"'").lower().split():
+            parts = _PART.findall(token)
+            found += parts
+            named = [p for p in parts if not p.isdigit()]
+            if named and (len(named) == 1 or named[0] not in STATES):
+                given.add(named[-1])
+    return found, given
+
+
+def _holders(tokens: list[re.Match]) -> set[int]:
+    """Numbers of the start tags whose elements hold a ``main`` or ``article`` that is in no other one."""
+    holders: set[int] = set()
+    stack = [Element("html", "html", False, False)]
+    numbers = [-1]
+    for k, m in enumerate(tokens):
+        tag = (m[3] or "").lower()
+        if not tag:
+            continue
+        _close(stack, {tag} if m[2] else ENDS.get(tag, set()), whole=bool(m[2]))
+        del numbers[len(stack) :]
+        if not m[2] and tag not in VOID and not m[4].rstrip().endswith("/"):
+            inside = stack[-1].inside
+            if tag in LABELS and not inside:
+                holders.update(numbers)
+            stack.append(Element(tag, tag, False, inside or tag in LABELS))
+            numbers.append(k)
+    return holders
 
 
 def stretches(page: str | None) -> Iterator[Stretch]:
@@ -95,7 +130,9 @@ def stretches(page: str | None) -> Iterator[Stretch]:
     page = page or ""
     stack: list[Element] = [Element("html", "html", False, False)]
     at = 0
-    for m in _TOKEN.finditer(page):
+    tokens = list(_TOKEN.finditer(page))
+    holders = _holders(tokens) if _LABEL.search(page) else set()
+    for k, m in enumerate(tokens):
         if m.start() > at:
             yield _text(page[at : m.start()], stack[-1])
         at = m.end()
@@ -103,11 +140,12 @@ def stretches(page: str | None) -> Iterator[Stretch]:
         if not tag:
             continue
         if not m[2]:
-            names = _names(m[4])
+            names, given = _names(m[4])
             _close(stack, ENDS.get(tag, set()), whole=False)
             up = stack[-1]
-            aside = up.aside or tag in ASIDE or any(n in ASIDE_NAMES for n in names)
-            aside |= tag == "header" and not up.inside
+            aside = up.aside or tag in ASIDE or (tag == "header" and not up.inside)
+            if not aside and tag not in FRAMES and k not in holders:
+                aside = bool(given & (ASIDE_NAMES - HEADER_NAMES if up.inside else ASIDE_NAMES))
             inside = up.inside or tag in LABELS
             own = f"{tag}.{names[0]}" if names else tag
             # Inline elements other than links stand where their parent stands.

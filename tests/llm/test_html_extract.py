@@ -66,3 +66,23 @@ def test_edges(spark):
     assert [got[k].text for k in [(1, None), (1, "u"), (None, "u"), (2, "u"), (3, "u")]] == ["", "", "deep", "plain text only", ""]
     assert got[(4, "u")].n_chars == 20000 * 6 - 2
     assert h.extract(df.limit(0)).count() == 0
+
+
+ARTICLE = "<h1>Head line</h1><p>first words here</p>"
+NAMED = [
+    f"<body class='single has-sidebar'><article>{ARTICLE}</article>",
+    f"<body class='comments-open no-sidebar'><main>{ARTICLE}</main>",
+    f"<html class='menu'><body id='widget'><main class='share'>{ARTICLE}</main>",
+    f"<article class='post comment-enabled'>{ARTICLE}</article>",
+    f"<div class='sidebar'><div class='widget'><article class='comment'>{ARTICLE}</article></div></div>",
+    f"<div id='menu-page-content'>{ARTICLE}</div>",
+    f"<div class='no-sidebar with-menu'>{ARTICLE}</div>",
+    "<article><header class='entry-header'><h1>Head line</h1></header><p>first words here</p></article>",
+    "<main><div class='page-header'><h1>Head line</h1></div><p>first words here</p></main>",
+    f"<main>{ARTICLE}<div id='comments'><article><p>a reader says</p></article></div><p class='site-ad-2'>buy</p></main>",
+]
+
+
+@pytest.mark.parametrize("body", NAMED)
+def test_names_that_tell_of_the_page_leave_out_nothing(body):
+    assert h.main_text(body) == "Head line\n\nfirst words here"
