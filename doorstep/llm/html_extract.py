@@ -20,13 +20,15 @@ each get a row. An empty table gives no rows. Extra columns are ignored. The fir
 import html
 import math
 import re
-from collections import defaultdict
-from collections.abc import Iterator
+from collections import ChainMap, defaultdict
+from collections.abc import Iterator, Mapping
 from dataclasses import dataclass, field
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from doorstep.llm.tables import settled
+
 #: Elements whose content is no text of the page.
 RAW = ("script", "style", "noscript", "template", "textarea", "title", "svg", "iframe", "object")
 #: Elements that are never part of an article.
@@ -57,7 +59,7 @@ HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 ENDS = {"p": {"p"}, "li": {"li", "p"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}} | {
     b: {"p"} for b in BLOCKS - {"li", "p", "tr", "body", "html"}
 }
-#: Places that a weight is kept for, the most frequent ones.
+#: Places whose counts go to all tasks, the most frequent ones; pages meet the others by a join.
 PLACES = 5000
 
 _TOKEN = re.compile(
@@ -192,8 +194,14 @@ def _close(stack: list[Element], tags: set[str], whole: bool) -> None:
 class Weights:
     """Counts inside and outside of labelled content, by place of words and by tag."""
 
-    words: dict[str, tuple[int, int]] = field(default_factory=dict)
-    tags: dict[str, tuple[int, int]] = field(default_factory=dict)
+    words: Mapping[str, tuple[int, int]] = field(default_factory=dict)
+    tags: Mapping[str, tuple[int, int]] = field(default_factory=dict)
+
+    def beside(self, own: "Weights") -> "Weights":
+        """These weights with those of other places."""
+        if not own.words and not own.tags:
+            return self
+        return Weights(ChainMap(own.words, self.words), ChainMap(own.tags, self.tags))
 
     def word(self, place: str, aside: bool) -> float:
         """Positive; close to zero where words are seldom content."""
@@ -255,8 +263,8 @@ def main_text(page: str | None, weights: Weights = Weights()) -> str:
     return "\n\n".join(b for b in tidy if b)
 
 
-def learn(pages: DataFrame) -> Weights:
-    """Weights from all pages with an ``article`` or ``main`` element; the most frequent places are kept."""
+def learn(pages: DataFrame) -> DataFrame:
+    """Counts by kind and place (is_word, place, inside, outside) of all pages with an ``article`` or ``main``."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[tuple[bool, str], list[int]] = defaultdict(lambda: [0, 0])
@@ -274,18 +282,11 @@ def learn(pages: DataFrame) -> Weights:
             yield _counts(seen)
 
     labelled = pages.where(F.lower("html").rlike("<(article|main)\\b")).select("html")
-    rows = (
+    return (
         labelled.mapInArrow(count, "is_word boolean, place string, inside long, outside long")
         .groupBy("is_word", "place")
         .agg(F.sum("inside").alias("inside"), F.sum("outside").alias("outside"))
-        .orderBy(F.desc(F.col("inside") + F.col("outside")), "is_word", "place")
-        .limit(PLACES)
-        .collect()
     )
-    by_kind: tuple[dict, dict] = {}, {}
-    for r in rows:
-        by_kind[not r.is_word][r.place] = (r.inside, r.outside)
-    return Weights(*by_kind)
 
 
 def _counts(seen: dict) -> pa.RecordBatch:
@@ -293,18 +294,76 @@ def _counts(seen: dict) -> pa.RecordBatch:
     return pa.record_batch([pa.array(c) for c in zip(*rows)], ["is_word", "place", "inside", "outside"])
 
 
+def _weights(rows) -> Weights:
+    by_kind: tuple[dict, dict] = {}, {}
+    for r in rows:
+        by_kind[not r["is_word"]][r["place"]] = (r["inside"], r["outside"])
+    return Weights(*by_kind)
+
+
+def _common_and_rest(counts: DataFrame) -> tuple[Weights, DataFrame | None]:
+    """The weights of at most ``PLACES`` most frequent places, and the counts of all others, if there are any."""
+    total = F.col("inside") + F.col("outside")
+    top = counts.select(total.alias("total")).orderBy(F.desc("total")).limit(PLACES + 1).collect()
+    if len(top) <= PLACES:
+        return _weights(counts.collect()), None
+    least = top[-1].total
+    return _weights(counts.where(total > least).collect()), counts.where(total <= least)
+
+
+def _with_rest(pages: DataFrame, common: Weights, rest: DataFrame) -> DataFrame:
+    """The pages with the counts of those of their own places that are not common.
+
+    Equal pages have equal places, so they meet their counts by a digest of the html.
+    """
+
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows: set[tuple[str, bool, str]] = set()
+            for key, page in zip(batch.column(0).to_pylist(), batch.column(1)):
+                for part in stretches(page.as_py()):
+                    if part.place not in (common.tags if part.text is None else common.words):
+                        rows.add((key, part.text is not None, part.place))
+            if rows:
+                yield pa.record_batch([pa.array(c) for c in zip(*rows)], ["key", "is_word", "place"])
+
+    # Pages without html have no places; their keys only spread them.
+    keyed = pages.withColumn(
+        "key", F.coalesce(F.sha2("html", 256), F.xxhash64("page_id", "url").cast("string"))
+    )
+    wanted = keyed.select("key", "html").where("html IS NOT NULL")
+    wanted = wanted.mapInArrow(places, "key string, is_word boolean, place string").distinct()
+    found = F.collect_list(F.struct("is_word", "place", "inside", "outside"))
+    own = wanted.join(rest, ["is_word", "place"]).groupBy("key").agg(found.alias("counts"))
+    return keyed.join(own, "key", "left").select("page_id", "url", "html", "counts")
+
+
 def extract(pages: DataFrame, weights: Weights | None = None) -> DataFrame:
-    """page_id, url, text and n_chars of every page; weights are learned from the pages unless given."""
-    known = learn(pages) if weights is None else weights
+    """page_id, url, text and n_chars of every page; weights are learned from the pages unless given.
+
+    The most frequent places go to all tasks; a page meets the counts of its other places by a join.
+    """
+    pages = pages.select("page_id", "url", "html")
+    rest = None
+    if weights is None:
+        common, rest = _common_and_rest(settled(learn(pages), "places"))
+    else:
+        common = weights
+    if rest is not None:
+        pages = _with_rest(pages, common, rest)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 128):
                 part = batch.slice(at, 128)
-                texts = [main_text(page.as_py(), known) for page in part.column(2)]
+                owns = part.column(3).to_pylist() if part.num_columns > 3 else [None] * part.num_rows
+                texts = [
+                    main_text(page.as_py(), common.beside(_weights(own or [])))
+                    for page, own in zip(part.column(2), owns)
+                ]
                 yield pa.record_batch(
                     [*part.columns[:2], pa.array(texts, pa.string()), pa.array(map(len, texts), pa.int64())],
                     ["page_id", "url", "text", "n_chars"],
                 )
 
-    return pages.select("page_id", "url", "html").mapInArrow(run, "page_id long, url string, text string, n_chars long")
+    return pages.mapInArrow(run, "page_id long, url string, text string, n_chars long")

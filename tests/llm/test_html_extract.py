@@ -86,3 +86,17 @@ NAMED = [
 @pytest.mark.parametrize("body", NAMED)
 def test_names_that_tell_of_the_page_leave_out_nothing(body):
     assert h.main_text(body) == "Head line\n\nfirst words here"
+
+
+def test_every_place_counts_however_many_there_are(spark, monkeypatch):
+    """Many sites, each with places of its own: all are weighed as they were counted."""
+    rows = [
+        (k, f"u{k}", f"<div class='x{k}'>{'out ' * 9}</div><article><p class='y{k}'>in side</p></article>")
+        for k in range(40)
+    ]
+    rows += [(None, None, None), (3, "again", rows[3][2]), (50, "bare", "<div class='x7'>out out</div>")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    whole = sorted(h.extract(df).collect(), key=str)
+    monkeypatch.setattr(h, "PLACES", 5)
+    assert sorted(h.extract(df).collect(), key=str) == whole and len(whole) == 43
+    assert {r.text for r in whole if (r.page_id or 50) < 40} == {"in side"}
