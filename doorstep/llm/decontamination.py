@@ -3,7 +3,8 @@
 The index holds the items, with question and answer together; a passage's words are the query. An item's
 scores are divided by its score against itself, so one threshold fits all items. Retrieval returns every
 item at or above ``threshold``, and an exact check follows: ``min_overlap`` of the item's five-word
-shingles must stand in the passage, and the same share of the question's and of the answer's words.
+shingles must stand in the passage, and the same share of the question's and of the answer's words. Of a
+question or answer of fewer than five words one word may differ, whatever share that is.
 
 Retrieval has two exact steps. A vectorised screen sums, for each passage and item, the scores of the
 passage's rarer terms; the item's common terms can add ``SPARE`` at most, so a pair that stays below
@@ -187,6 +188,13 @@ def _share(part: Counter, seen: Counter) -> float:
     return sum((part & seen).values()) / max(1, part.total())
 
 
+def _stands(part: Counter, seen: Counter, min_overlap: float) -> bool:
+    """Whether enough of a question's or answer's words are there; a short one may lack one word."""
+    there = (part & seen).total()
+    short = part.total() < SHINGLE_WORDS and there >= part.total() - 1
+    return short or _share(part, seen) >= min_overlap
+
+
 @dataclass(frozen=True)
 class Match:
     item_id: int
@@ -229,8 +237,9 @@ def matches(index: ItemIndex, texts: list[str | None], threshold: float, min_ove
                 overlap = float(b" " + b" ".join(index.words[item]) + b" " in joined)
             else:
                 overlap = len(own & stand) / len(own)
-            asked, answered = (_share(p, seen) for p in index.parts[item])
-            if min(overlap, asked, answered) >= min_overlap:
+            parts = index.parts[item]
+            if overlap >= min_overlap and all(_stands(p, seen, min_overlap) for p in parts):
+                asked, answered = (_share(p, seen) for p in parts)
                 match = Match(index.ids[item], score, overlap, asked, answered)
                 key = text, match.item_id
                 if key not in best or (match.overlap, match.score) > (best[key].overlap, best[key].score):

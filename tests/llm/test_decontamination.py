@@ -100,3 +100,20 @@ def test_edges(spark, docs):
     assert d.keep_clean(df, items).columns == df.columns
     assert d.contaminated(df.limit(0), items).count() == 0
     assert d.contaminated(df, items.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("answer", ["yes", "yes sir", "a short one", "only four words here"])
+def test_short_answers_and_questions_may_have_a_word_altered(answer):
+    long = " ".join(f"w{i}" for i in range(40))
+    altered = " ".join([*answer.split()[:-1], "altered"])
+    items = [(1, f"{long}? {answer}."), (2, f"{answer}? {long}x.")]
+    index = d.ItemIndex(items)
+    texts = [f"before {long}? {altered}. after", f"{'other ' + answer.partition(' ')[2]}? {long}x."]
+    got = d.matches(index, texts, 0.6, 0.8)
+    assert {(0, 1), (1, 2)} <= set(got) and all(m.overlap >= 0.8 for m in got.values())
+
+
+def test_a_short_answer_lacks_one_word_at_most():
+    long = " ".join(f"w{i}" for i in range(40))
+    index = d.ItemIndex([(1, f"{long}? three words here.")])
+    assert not d.matches(index, [f"{long}? three others now.", f"{long}"], 0.6, 0.8)
