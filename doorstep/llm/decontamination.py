@@ -1,7 +1,7 @@
 """Benchmark decontamination: every passage of every document queries a BM25 index of the test items.
 
-The index holds the items, with question and answer together; a passage's words are the query. An item's
-scores are divided by its score against itself, so one threshold fits all items. Retrieval returns every
+The index holds the items, with question and answer together; a passage's words are the query. The number of
+items, their mean length and the terms' frequencies are those of all distinct items. An item's scores are divided by its score against itself, so one threshold fits all items. Retrieval returns every
 item at or above ``threshold``, and an exact check follows: ``min_overlap`` of the item's five-word
 shingles must stand in the passage, and the same share of the question's and of the answer's words. Of a
 question or answer of fewer than five words one word may differ, whatever share that is.
@@ -30,7 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from doorstep.llm.tables import words
+from doorstep.llm.tables import settled, words
 
 K1, B = 1.2, 0.75
 SHINGLE_WORDS = 5
@@ -60,10 +60,20 @@ def question_and_answer(text: str | None) -> tuple[str, str]:
     return " ".join(parts[:-1]), parts[-1]
 
 
+@dataclass(frozen=True)
+class Corpus:
+    """What BM25 takes from all items: their number, their mean length and the items of every term."""
+
+    n_items: int
+    mean_words: float
+    found: dict[bytes, int]
+
+
 class ItemIndex:
     """A BM25 inverted index of items whose scores are shares of each item's own full score."""
 
-    def __init__(self, items: list[tuple[int, str]]):
+    def __init__(self, items: list[tuple[int, str]], corpus: Corpus | None = None):
+        """``corpus`` has the terms of ``items`` at least; without it, the items are all there are."""
         kept = [(i, terms(t), t) for i, t in items]
         kept = [x for x in kept if x[1]]
         self.ids = [i for i, _, _ in kept]
@@ -71,13 +81,11 @@ class ItemIndex:
         self.parts = [tuple(Counter(terms(p)) for p in question_and_answer(t)) for _, _, t in kept]
         self.shingles = [shingles(w) for w in self.words]
         self.step = max([LEAST_STEP, *map(len, self.words)])
-        self._post()
+        self._post(corpus or _corpus(self.words))
 
-    def _post(self) -> None:
-        n = len(self.words)
-        mean = sum(map(len, self.words)) / max(n, 1)
-        found = Counter(t for w in self.words for t in set(w))
-        self.terms = {t: k for k, t in enumerate(sorted(found))}
+    def _post(self, corpus: Corpus) -> None:
+        n, mean, found = corpus.n_items, corpus.mean_words, corpus.found
+        self.terms = {t: k for k, t in enumerate(sorted({t for w in self.words for t in w}))}
         postings: list[list[tuple[int, float]]] = [[] for _ in self.terms]
         spare: list[list[int]] = []
         for item, w in enumerate(self.words):
@@ -178,6 +186,11 @@ class ItemIndex:
         return np.unique(pair[scores >= threshold - SPARE - 1e-9] // len(self.ids))
 
 
+def _corpus(items: list[list[bytes]]) -> Corpus:
+    found = Counter(t for w in items for t in set(w))
+    return Corpus(len(items), sum(map(len, items)) / max(len(items), 1), found)
+
+
 def shingles(tokens: list[bytes]) -> set[bytes]:
     """Distinct shingles; a text of fewer words is one shingle."""
     n = max(1, len(tokens) - SHINGLE_WORDS + 1)
@@ -258,6 +271,9 @@ def contaminated(
     n_words = F.size(words(F.col("text")))
     length_class = F.ceil(F.log(8.0, F.greatest(n_words, F.lit(LEAST_STEP)) / LEAST_STEP)).cast("int")
     sized = items.select("item_id", "text", n_words.alias("n"), length_class.alias("length")).where("n > 0")
+    sized = settled(sized.dropDuplicates(["item_id", "text"]), "items")
+    stats = settled(_term_counts(sized), "terms")
+    whole = stats.where("term IS NULL").first()
     blocks = sized.groupBy("length").agg(F.sum("n").alias("n")).orderBy("length").collect()
     found = [spark.createDataFrame([], SCHEMA)]
     for block in blocks:
@@ -265,13 +281,41 @@ def contaminated(
         own = sized.where(F.col("length") == block.length)
         for part in range(n_parts):
             rows = own.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n_parts)) == part)
-            index = ItemIndex([(r.item_id, r.text) for r in rows.select("item_id", "text").collect()])
+            in_items = {bytes(r.term): r.items for r in _of_terms(stats, rows).collect()}
+            corpus = Corpus(whole.items, whole.words / max(whole.items, 1), in_items)
+            index = ItemIndex([(r.item_id, r.text) for r in rows.select("item_id", "text").collect()], corpus)
             found.append(_search(docs, index, threshold, min_overlap))
     pairs = reduce(DataFrame.union, found)
     best = F.max_by(F.struct(*[c for c in pairs.columns if c[-2:] != "id"]), F.struct("overlap", "score"))
     return pairs.groupBy("doc_id", "item_id").agg(best.alias("best")).select("doc_id", "item_id", "best.*")
 
 
+def _term_counts(items: DataFrame) -> DataFrame:
+    """Of every term: the items that hold it, and its words. The row of the null term is of all items."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            held, total, n_items = Counter(), Counter(), 0
+            for text in batch.column(0):
+                own = terms(text.as_py())
+                held.update(set(own))
+                total.update(own)
+                n_items += bool(own)
+            rows = [(t, n, total[t]) for t, n in held.items()] + [(None, n_items, total.total())]
+            yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows), _COUNTS.types)], _COUNTS)
+
+    counted = items.select("text").mapInArrow(count, "term binary, items long, words long")
+    # A row of all items even where there are none.
+    none = items.sparkSession.range(1).selectExpr("CAST(NULL AS binary) AS term", "0L AS items", "0L AS words")
+    return counted.unionByName(none).groupBy("term").agg(F.sum("items").alias("items"), F.sum("words").alias("words"))
+
+
+def _of_terms(stats: DataFrame, items: DataFrame) -> DataFrame:
+    """The counts of the terms of some items."""
+    own = _term_counts(items).where("term IS NOT NULL").select("term")
+    return stats.join(own, "term", "left_semi")
+
+
 def _search(docs: DataFrame, index: ItemIndex, threshold: float, min_overlap: float) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(index)
 
@@ -290,6 +334,7 @@ def _search(docs: DataFrame, index: ItemIndex, threshold: float, min_overlap: fl
     return docs.select("doc_id", "text").mapInArrow(scan, SCHEMA)
 
 
+_COUNTS = pa.schema([("term", pa.binary()), ("items", pa.int64()), ("words", pa.int64())])
 _ARROW = pa.schema(
     [("doc_id", pa.int64()), ("item_id", pa.int64())]
     + [(n, pa.float64()) for n in ("score", "overlap", "question_overlap", "answer_overlap")]

@@ -117,3 +117,28 @@ def test_a_short_answer_lacks_one_word_at_most():
     long = " ".join(f"w{i}" for i in range(40))
     index = d.ItemIndex([(1, f"{long}? three words here.")])
     assert not d.matches(index, [f"{long}? three others now.", f"{long}"], 0.6, 0.8)
+
+
+def test_scores_are_those_of_the_whole_benchmark_and_parts_are_bounded(spark, docs, monkeypatch):
+    rng = random.Random(9)
+    words = [f"t{int(rng.paretovariate(0.6))}" for _ in range(600)]
+    items = [(i, " ".join(rng.choices(words, k=rng.choice([20, 40, 90, 300])))) for i in range(24)]
+    items += items[:1] * 200
+    table = spark.createDataFrame(items, "item_id long, text string")
+    texts = docs(*[(k, " ".join(text.split()[: 1 + 9 * len(text.split()) // 10])) for k, text in items[:24]])
+    whole = d.ItemIndex(sorted(set(items)))
+    sizes = []
+
+    def recorded(docs, index, *limits, search=d._search):
+        sizes.append(len(index.ids))
+        return search(docs, index, *limits)
+
+    monkeypatch.setattr(d, "BLOCK_WORDS", 200)
+    monkeypatch.setattr(d, "_search", recorded)
+    got = {r.doc_id: r.score for r in d.contaminated(texts, table).where("doc_id = item_id").collect()}
+    assert sum(sizes) == 24 and len(sizes) > 6
+    assert len(got) == 24
+    for k, text in items[:24]:
+        kept = d.terms(text)[: 1 + 9 * len(text.split()) // 10]
+        query = {whole.terms[t] for t in kept}
+        assert got[k] == pytest.approx(item_scores(whole, query)[whole.ids.index(k)])
