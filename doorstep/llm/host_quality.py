@@ -36,34 +36,55 @@ class HostRules:
     trust_rate: float = 0.005
 
 
-def _windows(tokens: Column, bits: Column) -> Column:
-    """Every three-word window as one long: its hash above ``bits`` bits, its position below, sorted.
-
-    ``bits`` is what the positions of this text need, so a text of 500 words keeps 55 bits of hash and
-    one of a million words 44: a false match between two windows of one text stays improbable.
-    """
+def _windows(tokens: Column, with_words: bool = False) -> Column:
+    """Every three-word window as its hash, its words if asked for, and its position, sorted."""
     last = F.size(tokens) - 2
-    windows = F.transform(
-        F.sequence(F.lit(1), last),
-        lambda i: F.call_function(
-            "shiftleft", F.xxhash64(tokens[i - 1], tokens[i], tokens[i + 1]), bits
-        ).bitwiseOR(i.cast("long")),
-    )
-    return F.when(last < 2, F.array().cast("array<bigint>")).otherwise(F.sort_array(windows))
 
+    def window(i: Column) -> Column:
+        own = [tokens[i - 1], tokens[i], tokens[i + 1]]
+        kept = [w.alias(f"w{k}") for k, w in enumerate(own)] if with_words else []
+        return F.struct(F.xxhash64(*own).alias("hash"), *kept, i.alias("at"))
 
-def _repeated_starts(windows: Column, bits: Column) -> Column:
-    """Positions of the windows whose hash equals a neighbour's in the sorted array."""
-    hash_at = lambda i: F.call_function("shiftrightunsigned", F.get(windows, i), bits)
-    same = lambda x, other: F.coalesce(
-        F.call_function("shiftrightunsigned", x, bits) == other, F.lit(False)
-    )
-    kept = F.filter(windows, lambda x, i: same(x, hash_at(i + 1)) | same(x, hash_at(i - 1)))
-    return F.transform(
-        kept, lambda x: x.bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), bits) - 1)
+    windows = F.sort_array(F.transform(F.sequence(F.lit(1), last), window))
+    # The filter keeps nothing; it gives the type.
+    return F.when(last >= 2, windows).otherwise(
+        F.filter(F.transform(F.array(F.lit(1)), lambda i: _no_window(i, with_words)), lambda _: F.lit(False))
     )
 
 
+def _no_window(at: Column, with_words: bool) -> Column:
+    kept = [F.lit("").alias(f"w{k}") for k in range(3)] if with_words else []
+    return F.struct(F.lit(0).cast("long").alias("hash"), *kept, at.alias("at"))
+
+
+def _equal_hashes(x: Column, y: Column) -> Column:
+    return F.coalesce(x["hash"] == y["hash"], F.lit(False))
+
+
+def _equal_words(tokens: Column, x: Column, y: Column) -> Column:
+    pairs = [F.get(tokens, x["at"] + k) == F.get(tokens, y["at"] + k) for k in (-1, 0, 1)]
+    return F.coalesce(pairs[0] & pairs[1] & pairs[2], F.lit(False))
+
+
+def _repeated_starts(windows: Column, tokens: Column) -> Column:
+    """Positions of the windows whose hash and words equal a neighbour's in the sorted array."""
+
+    def same(x: Column, y: Column) -> Column:
+        return _equal_hashes(x, y) & _equal_words(tokens, x, y)
+
+    kept = F.filter(windows, lambda x, i: same(x, F.get(windows, i + 1)) | same(x, F.get(windows, i - 1)))
+    return F.transform(kept, lambda x: x["at"])
+
+
+def _clashes(windows: Column, tokens: Column) -> Column:
+    """Whether neighbours have equal hashes but different words; equal windows may then stand apart."""
+
+    def differ(x: Column, y: Column) -> Column:
+        return _equal_hashes(x, y) & ~_equal_words(tokens, x, y)
+
+    return F.size(F.filter(windows, lambda x, i: differ(x, F.get(windows, i + 1)))) > 0
+
+
 def measure(docs: DataFrame) -> DataFrame:
     """doc_id, host and the five measures of every document."""
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -74,9 +95,18 @@ def measure(docs: DataFrame) -> DataFrame:
         docs.select("doc_id", F.col("source").alias("host"), text.alias("body"))
         .withColumn("words", words(F.col("body")))
         .withColumn("lines", lines)
-        .withColumn("bits", F.ceil(F.log2(F.size("words") + 2)).cast("int"))
-        .withColumn("windows", _windows(F.col("words"), F.col("bits")))
-        .withColumn("starts", _repeated_starts(F.col("windows"), F.col("bits")))
+        .withColumn("windows", _windows(F.col("words")))
+        # Only where a hash stands for two windows are they sorted by their words too.
+        .withColumn(
+            "windows_by_words",
+            F.when(_clashes(F.col("windows"), F.col("words")), _windows(F.col("words"), with_words=True)),
+        )
+        .withColumn(
+            "starts",
+            F.when(
+                F.col("windows_by_words").isNull(), _repeated_starts(F.col("windows"), F.col("words"))
+            ).otherwise(_repeated_starts(F.col("windows_by_words"), F.col("words"))),
+        )
         .select(
             "doc_id",
             "host",

@@ -64,3 +64,27 @@ def test_edges(spark, docs):
     assert kept.columns == twice.columns and kept.count() == 2
     long_text = " ".join(str(i) for i in range(200_000)) + " 5 6 7"
     assert judged(docs((1, long_text)))[1].n_repeat_words == 6
+
+
+def test_repeats_are_counted_by_their_words_whatever_the_hash(docs, monkeypatch):
+    import random
+
+    from pyspark.sql import functions as F
+
+    rng = random.Random(3)
+    texts = [" ".join(rng.choices("a b c d e f g h".split(), k=n)) for n in (0, 2, 3, 4, 5, 30, 120, 300)]
+    want = {}
+    for k, text in enumerate(texts):
+        tokens = text.split()
+        windows = [tuple(tokens[i : i + 3]) for i in range(len(tokens) - 2)]
+        again = {i for i, w in enumerate(windows) if windows.count(w) > 1}
+        want[k] = len({i + j for i in again for j in range(3)})
+    df = docs(*enumerate(texts))
+
+    def counted():
+        return {r.doc_id: r.n_repeat_words for r in host_quality.measure(df).collect()}
+
+    assert counted() == want
+    full = F.xxhash64
+    monkeypatch.setattr(F, "xxhash64", lambda *cols: F.pmod(full(*cols), F.lit(5)))
+    assert counted() == want
