@@ -18,7 +18,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
 from itertools import combinations
-from math import comb
+from math import comb, inf
 
 import numpy as np
 import pandas as pd
@@ -34,8 +34,9 @@ SEED = 42
 SHINGLE_WORDS = 4
 #: Shingles that are hashed before their bits are summed: bounds the memory that a long text takes.
 CHUNK = 1 << 15
-#: Cost of a looked-up key row relative to a verified candidate.
+#: Cost of a looked-up key row relative to a verified candidate, and the most keys a fingerprint looks up in a group.
 KEY_COST = 10.0
+MOST_KEYS = 1 << 12
 
 
 def fingerprint(text: str | None, width: int = SHINGLE_WORDS) -> int:
@@ -100,7 +101,12 @@ def bit_counts(prints: DataFrame) -> tuple[int, np.ndarray]:
 
 
 def plan_groups(n: int, gram: np.ndarray, max_bits: int) -> list[Group]:
-    """Bit groups with thresholds of the least estimated work over all rows' bit statistics."""
+    """Bit groups with thresholds of the least estimated work over all rows' bit statistics.
+
+    Fewer than two fingerprints have no links and need no groups.
+    """
+    if n < 2:
+        return []
     share = np.diag(gram) / max(n, 1)
     spread = np.sqrt(np.maximum(share * (1 - share), 1e-9))
     related = np.abs(gram / max(n, 1) - np.outer(share, share)) / np.outer(spread, spread)
@@ -134,8 +140,10 @@ def _work(n: int, differ: np.ndarray, threshold: int) -> float:
     distance = np.array([1.0])
     for p in differ:
         distance = np.convolve(distance, [1 - p, p])
-    keys = n * sum(comb(len(differ), k) for k in range(threshold + 1))
-    return KEY_COST * keys + n * n / 2 * float(distance[: threshold + 1].sum())
+    own_keys = sum(comb(len(differ), k) for k in range(threshold + 1))
+    if own_keys > MOST_KEYS:
+        return inf
+    return KEY_COST * n * own_keys + n * n / 2 * float(distance[: threshold + 1].sum())
 
 
 def _allocate(table: list[list[float]], units: int) -> tuple[float, list[int]]:
@@ -161,6 +169,8 @@ def _mask(bits: tuple[int, ...]) -> int:
 def links(prints: DataFrame, max_bits: int) -> DataFrame:
     """Verified links (a, b) of distinct fingerprints, enough to connect whatever links connect."""
     groups = plan_groups(*bit_counts(prints), max_bits)
+    if not groups:
+        return prints.select(F.col("fp").alias("a"), F.col("fp").alias("b")).limit(0)
     keys, probes = [], []
     for number, group in enumerate(groups):
         own = F.col("fp").bitwiseAND(F.lit(_mask(group.bits)))

@@ -85,3 +85,9 @@ def test_run(spark, tables):
     assert result.columns == ["doc_id", "start", "n_tokens", "ids_crc32"] and result.count() > 20
     again = corpus_pipeline.run(spark, folder)
     assert sorted(map(tuple, result.collect())) == sorted(map(tuple, again.collect()))
+
+
+def test_empty_tables_go_through_all_stages(spark, small, tmp_path):
+    for name in ("documents", "benchmark"):
+        spark.read.parquet(f"{small}/{name}.parquet").limit(0).write.parquet(str(tmp_path / f"{name}.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0

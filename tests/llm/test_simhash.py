@@ -128,3 +128,9 @@ def test_keep_one(docs):
     assert sorted((r.doc_id, r.text[:5]) for r in kept.where("doc_id is not null").collect()) == [(3, "w0 w1"), (9, "v0 v1")]
     assert [r.text for r in kept.where("doc_id is null").collect()] == ["alone"]
     assert simhash.keep_one(df.limit(0)).count() == 0
+
+
+def test_no_and_one_fingerprint(docs):
+    assert simhash.plan_groups(0, np.zeros((64, 64)), 4) == simhash.plan_groups(1, np.zeros((64, 64)), 4) == []
+    assert simhash.near_duplicates(docs().limit(0)).count() == 0
+    assert [r.component_id for r in simhash.near_duplicates(docs((7, "a b"), (4, "a b"))).collect()] == [4, 4]
