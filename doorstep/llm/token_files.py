@@ -9,7 +9,10 @@ A null text is empty: it has the end id alone. Extra columns are ignored; an emp
 """
 
 import os
+import re
+import struct
 import zlib
+from codecs import charmap_decode
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,9 +29,8 @@ END_ID = 2
 FILE_IDS = 1 << 23
 #: Words whose ids a Python worker keeps.
 KEPT_WORDS = 600_000
-#: How the vocabulary marks the last token of a piece, and the marks that end a word as a piece of their own.
-PIECE_END = "</w>"
-MARKS = (b".", b",")
+#: A word of basic and Latin-1 letters in UTF-8, and the basic marks after it, which are a piece of their own.
+LETTERS = re.compile(rb"((?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([!-&(-/:;=-@\[-`{-~]*)")
 #: A word by itself that parts the words of one call; words that hold it are encoded alone.
 PART = "\x00"
 CALL_WORDS = 4096
@@ -40,19 +42,24 @@ class WordEncoder:
     """Encodes texts word by word with a cache.
 
     Only for tokenizers that drop white space before anything else looks at it, lower-case, keep letters
-    apart from other characters and end every piece by a token of its own kind: there a text's ids are its
-    words' ids in a row, and a word of letters is one piece.
+    apart from other characters and map a piece's bytes to characters: there a text's ids are its words'
+    ids in a row, a word of letters is one piece, and a mark after it is the next. Such a piece goes to the
+    tokenizer's model alone; any other word goes through the whole tokenizer.
     """
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         self.part = self._ids(PART)
-        vocabulary = self.tokenizer.get_vocab()
-        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
-        self.ends[[i for t, i in vocabulary.items() if t.endswith(PIECE_END)]] = True
+        mapper = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        table = ["\ufffe"] * 256
+        for letter in [chr(c) for c in (*range(0x61, 0x7B), *range(0xC0, 0x100))]:
+            for byte, char in zip(letter.encode(), mapper.pre_tokenize_str(letter)[0][0]):
+                table[byte] = char
+        self.table = "".join(table)
         # Words used since the last turn, and those used before it: what is used stays.
         self.known: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
@@ -62,43 +69,38 @@ class WordEncoder:
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of every text."""
-        split = [(t or "").encode().split() for t in texts]
-        wanted = {w for words in split for w in words}
+        split = [_lower(t or "").encode().split() for t in texts]
         if len(self.known) > KEPT_WORDS:
             self.known, self.older = {}, self.known
-        known, older = self.known, self.older
-        new = []
-        for w in wanted:
-            if w not in known:
-                if w in older:
-                    known[w] = older[w]
-                else:
-                    new.append(w)
-        self._learn(new)
-        return [b"".join([known[w] for w in words]) for words in split]
-
-    def _learn(self, new: list[bytes]) -> None:
-        """Add the ids of new words; a word that ends in a mark is the word and the mark."""
-        marked = [w for w in new if w[-1:] in MARKS and w[:-1].isalpha()]
-        bases = {w[:-1].lower() for w in marked} | {w[-1:] for w in marked}
-        rest = bases.union(w for w in new if not (w[-1:] in MARKS and w[:-1].isalpha()))
-        letters, others = [], []
-        for w in rest:
-            if w in self.known:
-                continue
-            text = w.decode()
-            (letters if text.isalpha() and text.lower().isalpha() else others).append(w)
-        for at in range(0, len(letters), CALL_WORDS):
-            some = letters[at : at + CALL_WORDS]
-            ids = np.array(self._ids(" ".join([w.decode() for w in some])), "<u4")
-            cuts = (np.flatnonzero(self.ends[ids]) + 1).tolist()
-            if len(cuts) == len(some):
-                self._keep(some, ids, [0, *cuts[:-1]], cuts)
+        new = set().union(*split).difference(self.known)
+        again = {w for w in new if w in self.older}
+        for w in again:
+            self.known[w] = self.older[w]
+        self._learn(new - again)
+        known = self.known.__getitem__
+        return [b"".join(map(known, words)) for words in split]
+
+    def _learn(self, new: set[bytes]) -> None:
+        """Add the ids of new words; letters and a mark after them are two pieces."""
+        pieces, marked, others = set(), [], set()
+        for w in new:
+            if w.isalpha():
+                pieces.add(w)
+            elif found := LETTERS.fullmatch(w):
+                piece, mark = found.groups()
+                pieces.add(piece)
+                if mark:
+                    others.add(mark)
+                    marked.append((w, piece, mark))
             else:
-                others += some
-        self._learn_any(others)
-        for w in marked:
-            self.known[w] = self.known[w[:-1].lower()] + self.known[w[-1:]]
+                others.add(w)
+        for w in pieces.difference(self.known):
+            lower = w.lower() if w.isascii() else w.decode().lower().encode()
+            ids = [token.id for token in self.model.tokenize(charmap_decode(lower, "strict", self.table)[0])]
+            self.known[w] = struct.pack(f"<{len(ids)}I", *ids)
+        self._learn_any(list(others.difference(self.known)))
+        for w, piece, mark in marked:
+            self.known[w] = self.known[piece] + self.known[mark]
 
     def _learn_any(self, words: list[bytes]) -> None:
         """Words of any characters, parted by a word that none of them holds."""
@@ -118,6 +120,15 @@ class WordEncoder:
             self.known[w] = data[4 * a : 4 * b]
 
 
+def _lower(text: str) -> str:
+    """A Latin-1 text in lower case, so that fewer words differ; others as they are."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return text
+    return text.lower()
+
+
 _encoders: dict[str, WordEncoder] = {}
 
 
