@@ -88,4 +88,81 @@ FROM lines LEFT JOIN spread USING (line)
 GROUP BY rid, doc_id
 """
 
-ORACLES = {"op4_line_spread": OP4, "op7_host_quality": OP7}
+OP13 = r"""
+WITH RECURSIVE crc AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(range(8),
+    lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i)) AS t
+),
+named AS (
+  SELECT *, coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS name,
+    dense_rank() OVER (ORDER BY conv_id NULLS FIRST) AS c
+  FROM conversations
+),
+kinds AS (
+  SELECT c, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    xor(list_reduce(list_transform(string_split(name, ''), lambda ch: CAST(unicode(ch) AS BIGINT)),
+      lambda a, b: xor(t[(xor(a, b) & 255) + 1], a >> 8), 4294967295), 4294967295) % 20 AS kind
+  FROM named, crc
+),
+damaged AS (
+  SELECT c, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+    CASE kind WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+    unnest(range(CASE WHEN kind = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM kinds WHERE kind <> 0
+),
+placed AS (
+  SELECT c, turn, role, text, left(role, 1) AS initial,
+    rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS bare,
+    row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, sha256(length(role) || ':' || role || text)) AS r
+  FROM damaged
+),
+faults AS (
+  SELECT *, lag(initial) OVER (PARTITION BY c ORDER BY r) AS before,
+    CASE WHEN bare = '' THEN 'blank'
+      WHEN row_number() OVER (PARTITION BY c, role, text ORDER BY r) > 1 THEN 'duplicate'
+      WHEN right(bare, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault
+  FROM placed
+),
+counts AS (
+  SELECT c, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, max(r) AS n,
+    count(*) FILTER (WHERE fault = 'blank') AS blank, count(*) FILTER (WHERE fault = 'duplicate') AS duplicate,
+    count(*) FILTER (WHERE fault = 'truncated') AS truncated,
+    count(*) FILTER (WHERE before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM faults GROUP BY c
+),
+inserts(state, place, cost, audit, said) AS (
+  VALUES ('', '', 0, '', CAST([] AS VARCHAR[])), ('', 'u', 2, 'I', ['user:']), ('', 'a', 4, 'II', ['user:', 'assistant:']),
+    ('s', 's', 0, '', []), ('s', 'u', 2, 'I', ['user:']), ('s', 'a', 4, 'II', ['user:', 'assistant:']),
+    ('u', 'u', 0, '', []), ('u', 'a', 2, 'I', ['assistant:']), ('a', 'a', 0, '', []), ('a', 'u', 2, 'I', ['user:'])
+),
+edits(edit, place, reached) AS (
+  VALUES ('D', '', ''), ('D', 's', 's'), ('D', 'u', 'u'), ('D', 'a', 'a'), ('R', '', 'u'), ('R', 's', 'u'), ('R', 'u', 'a'),
+    ('R', 'a', 'u'), ('K', '', 's'), ('K', '', 'u'), ('K', 's', 'u'), ('K', 'u', 'a'), ('K', 'a', 'u')
+),
+ways AS (
+  SELECT c, CAST(0 AS BIGINT) AS r, '' AS state, {'cost': 0, 'audit': '', 'said': CAST([] AS VARCHAR[])} AS best FROM counts
+  UNION ALL
+  SELECT w.c, f.r, e.reached, min({
+    'cost': w.best.cost + i.cost + CASE e.edit WHEN 'D' THEN 3 WHEN 'R' THEN 2 ELSE 0 END
+      + CASE WHEN e.edit <> 'D' AND f.fault = 'truncated' THEN 1 ELSE 0 END,
+    'audit': w.best.audit || i.audit || e.edit,
+    'said': list_concat(w.best.said, i.said, CASE e.edit WHEN 'D' THEN CAST([] AS VARCHAR[]) WHEN 'K' THEN [f.role || ':' || f.text]
+      ELSE [CASE e.reached WHEN 'u' THEN 'user:' ELSE 'assistant:' END || f.text] END)})
+  FROM ways w JOIN inserts i ON i.state = w.state JOIN edits e ON e.place = i.place
+    JOIN faults f ON f.c = w.c AND f.r = w.r + 1
+  WHERE (e.edit = 'D' OR f.fault NOT IN ('blank', 'duplicate')) AND (e.edit <> 'K' OR f.initial = e.reached)
+  GROUP BY w.c, f.r, e.reached
+),
+repaired AS (
+  SELECT w.c, min({'cost': best.cost + i.cost, 'audit': best.audit || i.audit, 'said': list_concat(best.said, i.said)}) AS best
+  FROM ways w JOIN counts n ON n.c = w.c AND n.n = w.r JOIN inserts i ON i.state = w.state
+  WHERE (w.state, i.place) IN (('', ''), ('a', 'a'), ('u', 'a'), ('s', 'a'))
+  GROUP BY w.c
+)
+SELECT conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(coalesce(best.cost, 0) AS BIGINT) AS cost,
+  coalesce(best.audit, '') AS audit, sha256(coalesce(array_to_string(best.said, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id, c FROM named) LEFT JOIN counts USING (c) LEFT JOIN repaired USING (c)
+"""
+
+ORACLES = {"op4_line_spread": OP4, "op7_host_quality": OP7, "op13_conversation_repair": OP13}

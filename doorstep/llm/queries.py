@@ -6,6 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from doorstep.llm import (
+    conversation_repair,
     decontamination,
     host_quality,
     html_extract,
@@ -94,3 +95,10 @@ def op4_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What repeats of 100-byte strings take from every document."""
     return suffix_dedup.dedup_digests(documents(spark, sf_dir))
+
+
+@query
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cheapest edits and repaired text of every conversation after planted damage."""
+    rows = read(spark, sf_dir, "conversations")
+    return conversation_repair.repair(conversation_repair.damage(rows), ids=rows)

@@ -1,0 +1,195 @@
+import hashlib
+import random
+import zlib
+from itertools import pairwise
+
+import pytest
+
+from doorstep.llm import conversation_repair as cr
+from doorstep.llm.oracles import ORACLES
+from doorstep.llm.queries import all_queries
+from doorstep.llm.rope import Rope
+from duck import rows as duck_rows, same
+
+SCHEMA = "conv_id long, turn long, role string, text string"
+
+
+def damaged(rows):
+    out = []
+    for conv, turn, role, text in rows:
+        name = ":".join(" " if v is None else str(v) for v in (conv, turn))
+        kind = zlib.crc32(name.encode()) % 20
+        role, text = " " if role is None else role, " " if text is None else text
+        if kind == 0:
+            continue
+        if kind == 1:
+            text = ""
+        if kind == 2:
+            text = text.translate({ord(c): None for c in ".!?"})
+        if kind == 4:
+            role = "user"
+        out += [(conv, turn, role, text)] * (2 if kind == 3 else 1)
+    return out
+
+
+def key(row):
+    _, turn, role, text = row
+    return turn is not None, turn or 0, hashlib.sha256(f"{len(role)}:{role}{text}".encode()).digest()
+
+
+def brute(rows):
+    """Least edits over whole audits, kept per state without a grammar: every way of up to three insertions."""
+    rows = sorted(rows, key=key)
+    seen, symbols, counts = set(), [], {"blank": 0, "duplicate": 0, "truncated": 0}
+    for _, _, role, text in rows:
+        bare = text.strip(" \t\n\x0b\x0c\r")
+        fault = "blank" if not bare else "duplicate" if (role, text) in seen else "truncated" if bare[-1] not in ".!?" else None
+        seen.add((role, text))
+        if fault:
+            counts[fault] += 1
+        symbols.append((role[:1], fault))
+    turns = {t for _, t, _, _ in rows if t is not None}
+    step = {"": "u", "s": "u", "u": "a", "a": "u"}
+    # state -> (cost, audit, messages)
+    ways = {"": (0, "", ())}
+
+    def offer(new, state, way):
+        if state not in new or way[:2] < new[state][:2]:
+            new[state] = way
+
+    for (initial, fault), (_, _, role, text) in zip(symbols, rows):
+        new = {}
+        for state, (cost, audit, messages) in ways.items():
+            for _ in range(4):
+                offer(new, state, (cost + 3, audit + "D", messages))
+                if fault not in ("blank", "duplicate"):
+                    more = fault == "truncated"
+                    nxt = step[state]
+                    name = {"u": "user", "a": "assistant"}[nxt]
+                    offer(new, nxt, (cost + 2 + more, audit + "R", (*messages, f"{name}:{text}")))
+                    if initial == nxt or (initial == "s" and state == ""):
+                        offer(new, initial, (cost + more, audit + "K", (*messages, f"{role}:{text}")))
+                state = step[state]
+                cost, audit = cost + 2, audit + "I"
+                messages = (*messages, {"u": "user:", "a": "assistant:"}[state])
+        ways = new
+    ends = []
+    for state, (cost, audit, messages) in ways.items():
+        while state not in ("", "a"):
+            state = step[state]
+            cost, audit, messages = cost + 2, audit + "I", (*messages, {"u": "user:", "a": "assistant:"}[state])
+        ends.append((cost, audit, messages))
+    cost, audit, messages = min(ends)
+    return {
+        "gaps": max(turns) - min(turns) + 1 - len(turns) if turns else 0,
+        **counts,
+        "illegal": sum(a[0] + b[0] not in ("su", "ua", "au") for a, b in pairwise(symbols)),
+        "cost": cost,
+        "audit": audit,
+        "repaired_sha256": hashlib.sha256("\n".join(messages).encode()).hexdigest(),
+    }
+
+
+def by_conv(rows):
+    out = {}
+    for row in rows:
+        out.setdefault(row[0], []).append(row)
+    return out
+
+
+def random_rows(seed, n_convs, longest):
+    rng = random.Random(seed)
+    roles = ["user", "assistant", "user", "assistant", "system", None, "", "User", "u2", "tool"]
+    texts = ["Yes.", "No!", "what", "", " \t", None, "a. ", "b\n?", "é…", "."]
+    rows = []
+    for conv in [None, *range(n_convs)]:
+        for k in range(rng.randint(0, longest)):
+            turn = None if rng.random() < 0.05 else rng.choice([k, k, k, 2 * k, 3])
+            text = rng.choice(texts) if rng.random() < 0.5 else f"own {rng.random()}."
+            rows.append((conv, turn, rng.choice(roles), text))
+    return rows
+
+
+def test_matches_sql(spark, small):
+    name = "op13_conversation_repair"
+    same(all_queries()[name](spark, small), duck_rows(ORACLES[name], small))
+
+
+def test_query_by_brute_force(spark, tmp_path):
+    rows = random_rows(1, 120, 14)
+    rows += rows[:9]
+    rows.append((next(i for i in range(500, 900) if zlib.crc32(f"{i}:0".encode()) % 20 == 0), 0, "user", "Gone."))
+    df = spark.createDataFrame(rows, SCHEMA).selectExpr("*", "1 as key", "2 as audit", "3 as of", "4 as id")
+    df.repartition(3).write.parquet(str(tmp_path / "conversations.parquet"))
+    got = {r.conv_id: r.asDict() for r in all_queries()["op13_conversation_repair"](spark, str(tmp_path)).collect()}
+    left = by_conv(damaged(rows))
+    empty = {c: 0 for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")}
+    empty |= {"audit": "", "repaired_sha256": hashlib.sha256(b"").hexdigest()}
+    assert got == {c: {"conv_id": c, **(brute(left[c]) if c in left else empty)} for c in by_conv(rows)}
+    assert any(c not in left for c in got), "a conversation loses all its rows"
+
+
+@pytest.mark.parametrize("piece_rows", [1, 2, 5, 4096])
+def test_pieces_join_to_the_same_result(spark, piece_rows):
+    clean = [(c, t, " " if r is None else r, " " if x is None else x) for c, t, r, x in random_rows(2, 12, 40)]
+    # One conversation that many tasks share.
+    rng = random.Random(3)
+    clean += [(99, t, rng.choice(["user", "assistant", "system"]), f"{rng.randint(0, 300)}{rng.choice('.x')}") for t in range(900)]
+    df = spark.createDataFrame(clean, SCHEMA).repartition(5)
+    got = {r.conv_id: r.asDict() for r in cr.summarise(df, piece_rows).collect()}
+    for conv, rows in by_conv(clean).items():
+        want = brute(rows)
+        del want["repaired_sha256"]
+        assert got[conv] == {"conv_id": conv, **want}
+
+
+def test_messages_follow_the_pattern(spark):
+    import re
+
+    df = spark.createDataFrame(random_rows(4, 30, 10), SCHEMA)
+    messages = by_conv(tuple(r) for r in cr.repaired_messages(df, cr.summarise(df)).collect())
+    for rows in messages.values():
+        assert [r[1] for r in rows] == list(range(len(rows)))
+        assert re.fullmatch("(s?(ua)+)?", "".join(r[3][0] for r in rows))
+
+
+def test_grammar_spells_the_sequences(spark):
+    rng = random.Random(5)
+    texts = ["".join(rng.choices("uuaaadUsx", k=rng.randint(1, 60))) for _ in range(80)] + ["ua" * 500, "d" * 33]
+    rules, codes = cr.grammar(spark.createDataFrame([(t,) for t in texts], "symbols string"))
+
+    def spelled(x):
+        base = len(cr.BASE_SYMBOLS)
+        return cr.BASE_SYMBOLS[x] if x < base else "".join(map(spelled, rules[x - base]))
+
+    rows = codes.collect()
+    assert {r.symbols for r in rows} == set(texts)
+    assert all("".join(map(spelled, r.code)) == r.symbols for r in rows)
+    assert len(next(r.code for r in rows if r.symbols == "ua" * 500)) < 100
+    assert all(max(pair) < len(cr.BASE_SYMBOLS) + k for k, pair in enumerate(rules))
+
+
+def test_pairs_do_not_overlap():
+    assert list(cr._pairs([1, 1, 1, 1, 2])) == [(1, 1), (1, 1), (1, 2)]
+    assert cr._replace([1, 1, 1, 2], {(1, 1): 9}) == [9, 1, 2]
+    assert cr.choose_pairs([(1, 2, 10), (2, 3, 9), (3, 4, 8), (5, 6, 1)]) == [(1, 2), (3, 4)]
+
+
+def test_ropes_compare_like_strings():
+    rng = random.Random(6)
+
+    def rope(depth):
+        if not depth or rng.random() < 0.2:
+            return Rope.of("".join(rng.choices("DI", k=rng.randint(0, 3))))
+        return rope(depth - 1) + rope(depth - 1)
+
+    ropes = [rope(5) for _ in range(60)]
+    for a in ropes:
+        for b in ropes:
+            assert (a < b) == (str(a) < str(b)) and str(a + b) == str(a) + str(b)
+
+
+def test_empty_and_only_nulls(spark):
+    assert cr.repair(spark.createDataFrame([], SCHEMA)).count() == 0
+    got = cr.repair(spark.createDataFrame([(None, None, None, None)] * 3, SCHEMA)).collect()
+    assert [tuple(r) for r in got] == [(None, 0, 3, 0, 0, 2, 9, "DDD", hashlib.sha256(b"").hexdigest())]
