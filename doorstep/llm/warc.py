@@ -203,7 +203,8 @@ def read_chunks(manifest: DataFrame, with_data: bool = True) -> DataFrame:
                     yield _batch(rows, with_data)
 
     schema = CHUNKS if with_data else CHUNKS.replace("data binary", "data_bytes long")
-    return manifest.select("path").repartition("path").mapInArrow(scan, schema)
+    # The number is given: left to itself Spark would read all names, which are few bytes, in one task.
+    return manifest.select("path").repartition(max(1, manifest.count()), "path").mapInArrow(scan, schema)
 
 
 def _batch(rows: list[tuple], with_data: bool) -> pa.RecordBatch:

@@ -73,3 +73,12 @@ def test_broken_archives():
     for bad in (head[:-6], head + b"short", head + b"0123456789abcd", b"HTTP/1.1 200\r\n\r\n"):
         with pytest.raises(ValueError):
             list(warc.read_records(io.BytesIO(bad)))
+
+
+def test_archives_are_read_by_many_tasks(spark, pages, tmp_path):
+    df = spark.createDataFrame(pages, SCHEMA)
+    manifest = warc.write_archives(warc.plan_records(df), str(tmp_path / "w"), file_bytes=2_000)
+    assert manifest.count() >= 8
+    chunks = warc.read_chunks(manifest, with_data=False)
+    chunks.count()
+    assert chunks.rdd.getNumPartitions() == manifest.count()
