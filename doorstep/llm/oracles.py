@@ -165,4 +165,58 @@ SELECT conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce
 FROM (SELECT DISTINCT conv_id, c FROM named) LEFT JOIN counts USING (c) LEFT JOIN repaired USING (c)
 """
 
-ORACLES = {"op4_line_spread": OP4, "op7_host_quality": OP7, "op13_conversation_repair": OP13}
+OP11 = r"""
+WITH RECURSIVE crc AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(range(8),
+    lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i)) AS t
+),
+runs AS (
+  SELECT name || run AS name, run, count(*) AS n
+  FROM (
+    SELECT coalesce(CAST(doc_id AS VARCHAR), '') || ':' AS name, unnest(regexp_extract_all(
+      translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{00C0}-\x{00FF}]{5,}')) AS run
+    FROM documents
+  )
+  GROUP BY name || run, run
+),
+hashed AS (
+  SELECT run, n, xor(list_reduce(
+      list_transform(range(octet_length(encode(name))), lambda i: CAST(concat('0x', substr(hex(encode(name)), 2 * i + 1, 2)) AS BIGINT)),
+      lambda a, b: xor(t[(xor(a, b) & 255) + 1], a >> 8), 4294967295), 4294967295) AS h
+  FROM runs, crc
+),
+words AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n
+  FROM (
+    SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n
+    FROM hashed
+  )
+  WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3
+),
+gaps AS (
+  SELECT DISTINCT word, n, pos, substr(word, 1, pos - 1) || substr(word, pos + 1) AS rest
+  FROM words, unnest(range(1, length(word) + 1)) AS p(pos)
+),
+near AS (
+  SELECT DISTINCT a.word, b.word AS other, b.n FROM gaps a JOIN gaps b ON a.rest = b.rest AND a.pos = b.pos AND a.word <> b.word
+  UNION
+  SELECT a.word, b.word, b.n FROM gaps a JOIN words b ON a.rest = b.word
+  UNION
+  SELECT b.word, a.word, a.n FROM gaps a JOIN words b ON a.rest = b.word
+),
+best AS (SELECT word, count(*) AS n_near, min({'less': -n, 'form': other}) AS best FROM near GROUP BY word),
+forms AS (
+  SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN -best.less >= 2 * n THEN best.form END AS form,
+    CASE WHEN -best.less >= 2 * n THEN -best.less END AS form_n
+  FROM words LEFT JOIN best USING (word)
+),
+chains AS (
+  SELECT word, word AS root FROM forms
+  UNION ALL
+  SELECT c.word, f.form FROM chains c JOIN forms f ON f.word = c.root WHERE f.form IS NOT NULL
+),
+roots AS (SELECT c.word, c.root FROM chains c JOIN forms f ON f.word = c.root WHERE f.form IS NULL)
+SELECT word, form, root, n, n_near, form_n FROM forms JOIN roots USING (word)
+"""
+
+ORACLES = {"op4_line_spread": OP4, "op7_host_quality": OP7, "op11_spelling_variants": OP11, "op13_conversation_repair": OP13}

@@ -13,6 +13,7 @@ from doorstep.llm import (
     line_spread,
     mixing,
     simhash,
+    spelling,
     suffix_dedup,
     token_files,
     toxicity,
@@ -102,3 +103,9 @@ def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Faults, cheapest edits and repaired text of every conversation after planted damage."""
     rows = read(spark, sf_dir, "conversations")
     return conversation_repair.repair(conversation_repair.damage(rows), ids=rows)
+
+
+@query
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near words, form and root of every word of the documents."""
+    return spelling.spelling_variants(documents(spark, sf_dir))
