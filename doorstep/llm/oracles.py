@@ -219,4 +219,86 @@ roots AS (SELECT c.word, c.root FROM chains c JOIN forms f ON f.word = c.root WH
 SELECT word, form, root, n, n_near, form_n FROM forms JOIN roots USING (word)
 """
 
-ORACLES = {"op4_line_spread": OP4, "op7_host_quality": OP7, "op11_spelling_variants": OP11, "op13_conversation_repair": OP13}
+PII_KINDS = {
+    "email": (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "true", "lower(value)"),
+    "ip": (
+        r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+        "list_bool_and(list_transform(string_split(value, '.'), lambda p: length(ltrim(p, '0')) <= 3"
+        " AND coalesce(try_cast(ltrim(p, '0') AS INT), 0) <= 255))",
+        "value",
+    ),
+    "card": (
+        r"[0-9]([ -]?[0-9])+",
+        "length(digits) BETWEEN 13 AND 19 AND list_sum(list_transform(range(length(digits)), lambda i:"
+        " CAST(digits[length(digits) - i] AS INT) * (1 + i % 2)"
+        " - CASE WHEN i % 2 = 1 AND digits[length(digits) - i] > '4' THEN 9 ELSE 0 END)) % 10 = 0",
+        "digits",
+    ),
+    "phone": (r"\+[0-9][ ().0-9-]+[0-9]", "length(digits) BETWEEN 9 AND 15", "digits"),
+}
+PII_SPOTS = " UNION ALL ".join(
+    f"""
+  SELECT rid, key, {k} AS kind, entity, near, stop - length(value) AS start, stop FROM (
+    SELECT *, {valid} AS ok, {entity} AS entity,
+      list_concat(list_slice(list_transform(regexp_extract_all(gaps[place], '\\p{{L}}+'), lambda w: lower(w)), -5, NULL),
+        list_slice(list_transform(regexp_extract_all(gaps[place + 1], '\\p{{L}}+'), lambda w: lower(w)), 1, 5)) AS near,
+      sum(length(gaps[place]) + length(value)) OVER (PARTITION BY rid ORDER BY place) AS stop
+    FROM (
+      SELECT rid, key, gaps, place, found[place] AS value, regexp_replace(found[place], '[^0-9]', '', 'g') AS digits
+      FROM (
+        SELECT rid, key, regexp_extract_all(body, '{pattern}') AS found, string_split_regex(body, '{pattern}') AS gaps FROM docs
+      ), unnest(range(1, len(found) + 1)) AS t(place)
+    )
+  ) WHERE ok
+"""
+    for k, (pattern, valid, entity) in enumerate(PII_KINDS.values())
+)
+OP12 = rf"""
+WITH docs AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS body, sha256(coalesce(text, '')) AS key FROM documents
+),
+base AS ({PII_SPOTS}),
+entities AS (SELECT kind, entity, count(DISTINCT key) AS n_entity FROM base GROUP BY ALL HAVING count(DISTINCT key) >= 3),
+contexts AS (
+  SELECT kind, entity, term, count(DISTINCT key) AS n_both FROM (SELECT kind, entity, key, unnest(near) AS term FROM base)
+  WHERE length(term) >= 4 GROUP BY ALL HAVING count(DISTINCT key) >= 3
+),
+runs AS (
+  SELECT rid, key, place, lower(words[place]) AS term,
+    sum(length(gaps[place]) + length(words[place])) OVER (PARTITION BY rid ORDER BY place) AS stop, length(words[place]) AS size
+  FROM (
+    SELECT rid, key, regexp_extract_all(body, '\p{{L}}+') AS words, string_split_regex(body, '\p{{L}}+') AS gaps FROM docs
+  ), unnest(range(1, len(words) + 1)) AS t(place)
+),
+terms AS (
+  SELECT term, count(DISTINCT key) AS n_term FROM runs WHERE term IN (SELECT term FROM contexts) GROUP BY term
+),
+disclosing AS (
+  SELECT DISTINCT term FROM contexts JOIN entities USING (kind, entity) JOIN terms USING (term),
+    (SELECT CAST(count(DISTINCT key) AS DOUBLE) AS n FROM docs)
+  WHERE n_entity < n AND ln(n * n_both / (n_term * n_entity)) / ln(n / n_entity) >= 0.9
+),
+spans AS (
+  SELECT rid, kind, start, stop FROM base
+  UNION ALL SELECT rid, 4, stop - size, stop FROM runs WHERE term IN (SELECT term FROM disclosing)
+),
+found AS (
+  SELECT rid, count(*) FILTER (WHERE kind = 0) AS n_email, count(*) FILTER (WHERE kind = 1) AS n_ip,
+    count(*) FILTER (WHERE kind = 2) AS n_card, count(*) FILTER (WHERE kind = 3) AS n_phone,
+    string_agg(name, ',' ORDER BY kind, start, stop) FILTER (WHERE kind < 4) AS base,
+    string_agg(name, ',' ORDER BY kind, start, stop) AS spans
+  FROM (SELECT *, ['email', 'ip', 'card', 'phone', 'term'][kind + 1] || ':' || CAST(start AS BIGINT) || ':' || CAST(stop AS BIGINT) AS name FROM spans)
+  GROUP BY rid
+)
+SELECT doc_id, coalesce(n_email, 0) AS n_email, coalesce(n_ip, 0) AS n_ip, coalesce(n_card, 0) AS n_card,
+  coalesce(n_phone, 0) AS n_phone, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM docs LEFT JOIN found USING (rid)
+"""
+
+ORACLES = {
+    "op4_line_spread": OP4,
+    "op7_host_quality": OP7,
+    "op11_spelling_variants": OP11,
+    "op12_pii": OP12,
+    "op13_conversation_repair": OP13,
+}

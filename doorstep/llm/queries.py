@@ -12,6 +12,7 @@ from doorstep.llm import (
     html_extract,
     line_spread,
     mixing,
+    pii,
     simhash,
     spelling,
     suffix_dedup,
@@ -109,3 +110,9 @@ def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near words, form and root of every word of the documents."""
     return spelling.spelling_variants(documents(spark, sf_dir))
+
+
+@query
+def op12_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data and the terms that disclose it in every document."""
+    return pii.personal_data(documents(spark, sf_dir))
