@@ -6,7 +6,8 @@ inserted letter raises one count by one, a replaced one raises one and lowers an
 depth-first search may step once to a count one lower than the word's own (surplus) and once to a count one
 higher (deficit). A deficit is allowed after a surplus only: so the longer word finds the shorter, and of two
 words of one length the one with the first surplus finds the other, every pair once. Leaf words are
-verified letter by letter; a large leaf is looked up by the half that one edit leaves alone.
+looked up by the half that one edit leaves alone and verified letter by letter. A level keeps its count
+modulo 256; a leaf has words of one length.
 
 The trie is spread over tasks by its first ``SHARD_LEVELS`` counts: a word is stored once and asks at the few
 shards that its budget reaches, with what is left of it. A shard of more than ``BLOCK_WORDS`` words is
@@ -22,7 +23,6 @@ give no rows. Extra columns are ignored. Texts and words may be of any length.
 import zlib
 from collections import Counter
 from collections.abc import Iterator
-from itertools import combinations
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
@@ -30,13 +30,11 @@ from pyspark.sql import DataFrame, functions as F
 from doorstep.llm.tables import settled
 
 LEAST_LENGTH, LEAST_COUNT = 5, 3
-GROUPS = 12
-SHARD_LEVELS = 3
+GROUPS = 16
+SHARD_LEVELS = 2
 BLOCK_WORDS = 50_000
 #: Words that a scan task counts before it passes them on.
 HELD_WORDS = 1 << 19
-#: Leaves up to this size are gone through word by word.
-SMALL_LEAF = 8
 DAMAGE = 97
 
 #: One byte per code point: basic and Latin-1 letters stay, A-Z in lower case, anything else is a space.
@@ -100,32 +98,33 @@ def letter_groups(words: DataFrame, groups: int = GROUPS) -> dict[str, int]:
 
 def near(a: str, b: str) -> bool:
     """Whether exactly one letter is replaced, or ``b`` is ``a`` without one letter."""
+    at = 0
+    for x, y in zip(a, b):
+        if x != y:
+            break
+        at += 1
     if len(a) == len(b):
-        return sum(x != y for x, y in zip(a, b)) == 1
-    at = next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), len(b))
+        return a != b and a[at + 1 :] == b[at + 1 :]
     return len(a) == len(b) + 1 and a[at + 1 :] == b[at:]
 
 
 class Leaf:
-    """Words of one vector, hence of one length."""
+    """Words of one vector and one length, by their halves: one edit leaves one half alone."""
 
     def __init__(self):
-        self.words: list[tuple[str, int]] = []
-        self.halves: dict[tuple[bool, str], list[tuple[str, int]]] | None = None
-
-    def candidates(self, word: str) -> list[tuple[str, int]]:
-        if len(self.words) <= SMALL_LEAF:
-            return self.words
-        length = len(self.words[0][0])
-        half = length // 2
-        if self.halves is None:
-            self.halves = {}
-            for entry in self.words:
-                self.halves.setdefault((True, entry[0][:half]), []).append(entry)
-                self.halves.setdefault((False, entry[0][half:]), []).append(entry)
-        head = self.halves.get((True, word[:half]), [])
-        tail = self.halves.get((False, word[len(word) - (length - half) :]), [])
-        return head + [e for e in tail if e[0][:half] != word[:half]]
+        self.heads: dict[str, list[tuple[str, int]]] = {}
+        self.tails: dict[str, list[tuple[str, int]]] = {}
+
+    def add(self, word: str, n: int) -> None:
+        half = len(word) // 2
+        self.heads.setdefault(word[:half], []).append((word, n))
+        self.tails.setdefault(word[half:], []).append((word, n))
+
+
+def halves(word: str, length: int) -> tuple[str, str]:
+    """The halves that ``word`` would share with a near word of that length."""
+    half = length // 2
+    return word[:half], word[len(word) - (length - half) :]
 
 
 #: What a search has spent of its budget.
@@ -133,114 +132,133 @@ NONE, SURPLUS, BOTH = range(3)
 
 
 class Trie:
-    """Levels of counts from ``level`` on; leaves hold words with their counts."""
+    """A level per byte of the vectors from ``level`` on; the last leads to leaves by word length."""
 
     def __init__(self, level: int):
         self.level, self.root = level, {}
+        self.asked: tuple[int, bytes] = (-1, b"")
+        self.fronts: list[list[tuple[dict, int]]] = []
+        self.found: tuple = (None, None, None, [])
 
-    def add(self, vector: list[int], word: str, n: int) -> None:
+    def add(self, vector: bytes, word: str, n: int) -> None:
         node = self.root
-        for count in vector[self.level : -1]:
+        for count in vector[self.level :]:
             node = node.setdefault(count, {})
-        leaf = node.get(vector[-1])
+        leaf = node.get(len(word))
         if leaf is None:
-            leaf = node[vector[-1]] = Leaf()
-        leaf.words.append((word, n))
-
-    def search(self, vector: list[int], spent: int) -> list[tuple[int, Leaf]]:
-        """Leaves within the budget, depth first, with what was spent on the way."""
-        found, last = [], len(vector)
-        stack = [(self.level, self.root, spent)]
-        while stack:
-            level, node, spent = stack.pop()
-            if level == last:
-                found.append((spent, node))
-                continue
-            own = vector[level]
-            if own in node:
-                stack.append((level + 1, node[own], spent))
-            if spent == NONE and own - 1 in node:
-                stack.append((level + 1, node[own - 1], SURPLUS))
-            if spent == SURPLUS and own + 1 in node:
-                stack.append((level + 1, node[own + 1], BOTH))
-        return found
-
-
-def _shards(head: tuple[int, ...]) -> Iterator[tuple[tuple[int, ...], int]]:
+            leaf = node[len(word)] = Leaf()
+        leaf.add(word, n)
+
+    def search(self, vector: bytes, spent: int) -> list[tuple[dict, int]]:
+        """Ends of the paths within the budget, with what was spent on them.
+
+        Words ask in the order of their vectors; what the last one shares with this one is not gone through again.
+        """
+        same = 0
+        if self.asked[0] == spent:
+            last, most = self.asked[1], len(vector)
+            same = self.level
+            while same < most and vector[same] == last[same]:
+                same += 1
+            same -= self.level
+            del self.fronts[same + 1 :]
+        else:
+            self.fronts = [[(self.root, spent)]]
+        self.asked = spent, vector
+        for own in vector[self.level + same :]:
+            lower, higher, front = own - 1 & 255, own + 1 & 255, []
+            for node, used in self.fronts[-1]:
+                if own in node:
+                    front.append((node[own], used))
+                if used == NONE:
+                    if lower in node:
+                        front.append((node[lower], SURPLUS))
+                elif used == SURPLUS and higher in node:
+                    front.append((node[higher], BOTH))
+            self.fronts.append(front)
+        return self.fronts[-1]
+
+    def near(self, vector: bytes, spent: int, word: str) -> Iterator[tuple[str, int]]:
+        """Near words that ``word`` is to find."""
+        length = len(word)
+        if self.found[:3] != (vector, spent, length):
+            ends = self.search(vector, spent)
+            leaves = [
+                [(leaf, used) for node, used in ends if (used == SURPLUS) == less and (leaf := node.get(length - less))]
+                for less in (False, True)
+            ]
+            self.found = vector, spent, length, leaves
+        for less, leaves in enumerate(self.found[3]):
+            head, tail = halves(word, length - less)
+            for leaf, used in leaves:
+                for entry in leaf.heads.get(head, ()):
+                    if (used != NONE or entry[0] > word) and near(word, entry[0]):
+                        yield entry
+                for entry in leaf.tails.get(tail, ()):
+                    if (used != NONE or entry[0] > word) and not entry[0].startswith(head) and near(word, entry[0]):
+                        yield entry
+
+
+def _shards(head: bytes) -> Iterator[tuple[bytes, int]]:
     """Shards that a word asks at, with what it has spent to get there."""
     yield head, NONE
     for i in range(len(head)):
-        if head[i]:
-            lower = (*head[:i], head[i] - 1, *head[i + 1 :])
-            yield lower, SURPLUS
-            for j in range(i + 1, len(head)):
-                yield (*lower[:j], lower[j] + 1, *lower[j + 1 :]), BOTH
+        lower = bytearray(head)
+        lower[i] = lower[i] - 1 & 255
+        yield bytes(lower), SURPLUS
+        for j in range(i + 1, len(head)):
+            both = bytearray(lower)
+            both[j] = both[j] + 1 & 255
+            yield bytes(both), BOTH
 
 
-ROWS = "shard array<long>, spent int, vector array<long>, word string, n long"
 PAIRS = "word string, n long, other string, other_n long"
 
 
 def near_pairs(words: DataFrame, group: dict[str, int], block_words: int = BLOCK_WORDS) -> DataFrame:
     """Every pair of near words of (word, n) once, with both counts."""
-    groups = max(GROUPS, SHARD_LEVELS + 1)
-    names = [chr(0x61 + g) for g in range(groups)]
+    names = [chr(0x61 + g) for g in range(GROUPS)]
     naming = {ord(letter): names[g] for letter, g in group.items()}
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for word, n in zip(*[c.to_pylist() for c in batch.columns]):
-                named = word.translate(naming)
-                rows.append((word, n, [named.count(g) for g in names]))
-            columns = [pa.array(c, t) for c, t in zip(zip(*rows), (pa.string(), pa.int64(), pa.list_(pa.int64())))]
-            if rows:
-                yield pa.record_batch(columns, ["word", "n", "vector"])
-
-    placed = settled(words.select("word", "n").mapInArrow(vectors, "word string, n long, vector array<long>"), "vectors")
-    stored = placed.withColumn("shard", F.slice("vector", 1, SHARD_LEVELS))
+            named = [w.translate(naming) for w in batch.column(0).to_pylist()]
+            rows = [bytes([w.count(g) & 255 for g in names]) for w in named]
+            yield pa.record_batch([*batch.columns, pa.array(rows, pa.binary())], ["word", "n", "vector"])
+
+    placed = settled(words.select("word", "n").mapInArrow(vectors, "word string, n long, vector binary"), "vectors")
+    stored = placed.withColumn("shard", F.substring("vector", 1, SHARD_LEVELS))
     blocks = settled(
         stored.groupBy("shard").agg(F.ceil(F.count("*") / block_words).cast("int").alias("blocks")), "trie-blocks"
     )
     stored = stored.join(blocks, "shard").select(
-        "shard",
-        F.pmod(F.xxhash64("word"), F.col("blocks")).cast("int").alias("block"),
-        F.lit(-1).alias("spent"),
-        "vector",
-        "word",
-        "n",
-    )
+        "shard", F.pmod(F.xxhash64("word"), F.col("blocks")).cast("int").alias("block"), F.lit(-1).alias("spent"),
+        "vector", "word", "n",
+    )
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for word, n, vector in zip(*[c.to_pylist() for c in batch.columns]):
-                rows += [(shard, spent, vector, word, n) for shard, spent in _shards(tuple(vector[:SHARD_LEVELS]))]
-            kinds = (pa.list_(pa.int64()), pa.int32(), pa.list_(pa.int64()), pa.string(), pa.int64())
-            if rows:
-                yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], ["shard", "spent", "vector", "word", "n"])
-
-    asking = placed.mapInArrow(ask, ROWS).join(blocks, "shard")
+            asked = [list(_shards(v[:SHARD_LEVELS])) for v in batch.column(2).to_pylist()]
+            rows = [(i, *one) for i, many in enumerate(asked) for one in many]
+            at = pa.array([r[0] for r in rows], pa.int64())
+            shards, spent = pa.array([r[1] for r in rows], pa.binary()), pa.array([r[2] for r in rows], pa.int32())
+            word, n, vector = (c.take(at) for c in batch.columns)
+            yield pa.record_batch([shards, spent, vector, word, n], ["shard", "spent", "vector", "word", "n"])
+
+    asking = placed.mapInArrow(ask, "shard binary, spent int, vector binary, word string, n long").join(blocks, "shard")
     asking = asking.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place, trie = None, Trie(SHARD_LEVELS)
-        asked, leaves = None, []
         for batch in batches:
             out = []
             for shard, block, spent, vector, word, n in zip(*[c.to_pylist() for c in batch.columns]):
                 if (shard, block) != place:
-                    place, trie, asked = (shard, block), Trie(SHARD_LEVELS), None
+                    place, trie = (shard, block), Trie(SHARD_LEVELS)
                 if spent < 0:
                     trie.add(vector, word, n)
                     continue
-                # Words of one vector come in a row and share the search.
-                if asked != (spent, vector):
-                    asked, leaves = (spent, vector), trie.search(vector, spent)
-                for used, leaf in leaves:
-                    for other, other_n in leaf.candidates(word):
-                        if (used != NONE or other > word) and near(word, other):
-                            out.append((word, n, other, other_n))
+                out += [(word, n, *entry) for entry in trie.near(vector, spent, word)]
                 if len(out) >= 1 << 14:
                     yield _pair_batch(out)
                     out = []

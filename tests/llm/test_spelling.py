@@ -86,7 +86,7 @@ def test_large_leaves(spark):
     words |= {w[:3] + "a" + w[3:] for w in list(words)[:300]} | {w[:5] + w[6:] for w in list(words)[300:500]}
     rows = [(w, 1 + i % 9) for i, w in enumerate(sorted(words))]
     table = spark.createDataFrame(rows, "word string, n long")
-    pairs = spelling.near_pairs(table, dict.fromkeys("abcd", 0) | {"d": 11}, block_words=400).collect()
+    pairs = spelling.near_pairs(table, dict.fromkeys("abcd", 0) | {"d": 15}, block_words=400).collect()
     met = Counter(frozenset((r.word, r.other)) for r in pairs)
     assert set(met.values()) == {1}
     ordered = [w for w, _ in rows]
