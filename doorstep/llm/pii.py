@@ -150,13 +150,26 @@ def base_spans(rows: DataFrame) -> DataFrame:
     )
 
 
-def context_terms(spans: DataFrame, rule: Disclosure) -> DataFrame:
-    """kind, entity, term, n_entity and n_both: distinct texts with the entity, and with the term in its context."""
+def context_terms(spans: DataFrame, n_texts: int, rule: Disclosure) -> DataFrame:
+    """kind, entity, term, n_entity and n_both: distinct texts with the entity, and with the term in its context.
+
+    A term is in at least as many texts as it is in the contexts of any entities. What disclosed too little if it
+    were in those alone, as common words do, is left out here, before the corpus is asked.
+    """
     entity = ["kind", "entity"]
-    texts = spans.groupBy(*entity).agg(F.countDistinct("key").alias("n_entity")).where(F.col("n_entity") >= rule.support)
     near = spans.select(*entity, "key", F.explode("near").alias("term")).where(F.length("term") >= rule.letters)
-    both = near.distinct().groupBy(*entity, "term").agg(F.count("*").alias("n_both"))
-    return both.where(F.col("n_both") >= rule.support).join(texts, entity)
+    texts = near.select("term", "key").distinct().groupBy("term").agg(F.count("*").alias("n_term"))
+    whole = spans.groupBy(*entity).agg(F.countDistinct("key").alias("n_entity")).where(F.col("n_entity") >= rule.support)
+    both = near.distinct().groupBy(*entity, "term").agg(F.count("*").alias("n_both")).where(F.col("n_both") >= rule.support)
+    at_most = both.join(whole, entity).join(texts, "term").withColumn("at_most", disclosure(n_texts))
+    # A hair below the threshold: the same sum may round differently when n_term is larger.
+    return at_most.where(F.col("at_most") >= rule.generalise - 1e-9).drop("n_term", "at_most")
+
+
+def disclosure(n_texts: int) -> Column:
+    """The share of an entity's information that a term gives away; null for an entity that is in every text."""
+    bits = F.log(n_texts * F.col("n_both") / (F.col("n_term") * F.col("n_entity")))
+    return F.when(F.col("n_entity") < n_texts, bits / F.log(n_texts / F.col("n_entity")))
 
 
 def _held_terms(docs: DataFrame, terms: DataFrame) -> DataFrame:
@@ -167,13 +180,11 @@ def _held_terms(docs: DataFrame, terms: DataFrame) -> DataFrame:
 
 def disclosing_terms(docs: DataFrame, rows: DataFrame, spans: DataFrame, rule: Disclosure) -> tuple[DataFrame, DataFrame]:
     """Terms with their disclosure and the kind of what they disclose most of, and the documents that hold them."""
-    candidates = settled(context_terms(spans, rule), "context-terms")
+    n_texts = rows.select("key").distinct().count()
+    candidates = settled(context_terms(spans, n_texts, rule), "context-terms")
     held = settled(_held_terms(docs, candidates.select("term").distinct()), "held-terms")
     n_terms = held.select("key", "term").distinct().groupBy("term").agg(F.count("*").alias("n_term"))
-    n_texts = rows.select("key").distinct().count()
-    bits = F.log(n_texts * F.col("n_both") / (F.col("n_term") * F.col("n_entity")))
-    share = F.when(F.col("n_entity") < n_texts, bits / F.log(n_texts / F.col("n_entity")))
-    each = candidates.join(n_terms, "term").withColumn("disclosure", share).where(F.col("disclosure") >= rule.generalise)
+    each = candidates.join(n_terms, "term").withColumn("disclosure", disclosure(n_texts)).where(F.col("disclosure") >= rule.generalise)
     most = each.groupBy("term").agg(
         F.max("disclosure").alias("disclosure"),
         F.min_by("kind", F.struct((-F.col("disclosure")).alias("less"), F.col("kind"), F.col("entity"))).alias("reveals"),
