@@ -10,10 +10,9 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQue
 from doorstep.functions.labels import is_terminal
 from doorstep.functions.text import ingest_stamp, json_fields, json_text
 from doorstep.schema import EVENT, TOPIC
+from doorstep.streaming.store import EVENT_KEY, has_files, store_new_events
 
 MALFORMED = "malformed"
-EVENT_KEY = ("delivery_id", "status", "timestamp")
-EVENT_DAY = "event_day"
 
 
 def event_source(spark: SparkSession, fmt: str = "kafka", **options: str) -> DataFrame:
@@ -130,30 +129,12 @@ def append_new_events(
 ) -> StreamingQuery:
     """Append each event once, however often and however late it arrives.
 
-    See :func:`store_new_events`, which every micro-batch goes through.
+    See :func:`doorstep.streaming.store.store_new_events`, which every micro-batch goes through.
     """
     writer = events.writeStream.foreachBatch(lambda batch, _: store_new_events(batch, path, keys))
     return _launch(writer, checkpoint, available_now, every)
 
 
-def store_new_events(batch: DataFrame, path: str, keys: tuple[str, ...] = EVENT_KEY) -> None:
-    """Append the events of ``batch`` that the table at ``path`` does not hold.
-
-    The table is partitioned by the day of the event; only the keys of the days in the batch are read.
-    Nothing is forgotten, so no event is too late, and a batch that is replayed after a failure adds only
-    what is missing. Keys are compared null-safe: an event without a timestamp has a day of its own, and
-    is stored once like any other.
-    """
-    spark = batch.sparkSession
-    fresh = batch.dropDuplicates(list(keys)).withColumn(EVENT_DAY, F.to_date("timestamp"))
-    if has_files(spark, path):
-        # The newest schema is the batch's own; days without a match are pruned by the join.
-        stored = spark.read.schema(fresh.schema).parquet(path).select(EVENT_DAY, *keys)
-        same = [fresh[c].eqNullSafe(stored[c]) for c in (EVENT_DAY, *keys)]
-        fresh = fresh.join(stored, same, "left_anti")
-    fresh.write.mode("append").partitionBy(EVENT_DAY).parquet(path)
-
-
 def read_events_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """The stored events; an event table that does not exist yet has none."""
     if not has_files(spark, path):
@@ -161,11 +142,6 @@ def read_events_table(spark: SparkSession, path: str, schema: T.StructType) -> D
     return spark.read.schema(schema).parquet(path).select(schema.fieldNames())
 
 
-def has_files(spark: SparkSession, path: str) -> bool:
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder)
-
-
 class Progress(StreamingQueryListener):
     """Micro-batches and rows of every query since the listener was added to ``spark.streams``.
 

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from doorstep.schema import EVENT, NARROW_EVENT, STATUSES
 from doorstep.sources.star import read_events
-from doorstep.streaming import events as stream
+from doorstep.streaming import events as stream, store
 from doorstep.streaming.consume import consume_events, live_rate
 
 EVENT_ROW = {
@@ -156,8 +156,8 @@ def test_a_replayed_micro_batch_adds_nothing(spark, tmp_path):
     rows = [{**EVENT_ROW, "delivery_id": f"d{i}"} for i in range(5)]
     batch, _ = stream.decode_events(spark.createDataFrame([(json.dumps(r),) for r in rows], "value string"))
     for _ in range(2):
-        stream.store_new_events(batch, str(tmp_path / "t"))
-    stream.store_new_events(batch.limit(0), str(tmp_path / "t"))
+        store.store_new_events(batch, str(tmp_path / "t"))
+    store.store_new_events(batch.limit(0), str(tmp_path / "t"))
     assert spark.read.parquet(str(tmp_path / "t")).count() == 5
 
 
