@@ -15,15 +15,22 @@ from doorstep.operators.quality import (
 )
 from doorstep.operators.staging import stage_deliveries
 from doorstep.schema import DELIVERIES, MART_MIN_ATTEMPTS
+from doorstep.sources import publish
 from doorstep.sources.files import export_mart, read_deliveries_checked
 
 
 @dataclass(frozen=True)
 class DailyOutputs:
-    """Where the job leaves its tables and exports."""
+    """Tables and exports of one run of the job."""
 
     root: str
 
+    @classmethod
+    def published(cls, spark: SparkSession, out: str) -> "DailyOutputs | None":
+        """The outputs of the last run that went through; None if there is none."""
+        version = publish.current(spark, out)
+        return version and cls(version)
+
     def table(self, name: str) -> str:
         return f"{self.root}/tables/{name}"
 
@@ -32,16 +39,19 @@ class DailyOutputs:
 
 
 def run_daily(
-    spark: SparkSession, source: str, out: str, *, mart_min_attempts: int = MART_MIN_ATTEMPTS
+    spark: SparkSession, source: str, out: str, *, mart_min_attempts: int = MART_MIN_ATTEMPTS, keep: int = 2
 ) -> DailyOutputs:
-    """Run every step in order and stop at the first failure; a re-run replaces all outputs.
+    """Run every step in order and stop at the first failure; the outputs of a run replace the former ones at once.
+
+    A run writes to a folder of its own under ``out``, which is published when everything is written and checked:
+    a run that stops anywhere leaves the former outputs as they were. The last ``keep`` published runs stay,
+    so that who reads one is not cut off by the next.
 
     The CSV is read as text; records that do not fit are set apart in ``rejected`` with the reason, and
     the rest lands as typed Parquet, of which later steps scan only their columns. The checks run before
-    the marts are built, so nothing unsound gets into one.
-    Nothing is exported unless every check passes, and all three summaries are exported.
+    the marts are built, so nothing unsound gets into one. All three summaries are exported.
     """
-    outputs = DailyOutputs(out)
+    outputs = DailyOutputs(publish.new_version(out))
 
     good, rejected = read_deliveries_checked(spark, source)
     good.write.mode("overwrite").parquet(outputs.table("deliveries"))
@@ -69,4 +79,5 @@ def run_daily(
     assert_checks(run_checks(built["mart_fadr_by_window_and_alerts"], mart_checks()))
     for name, mart in built.items():
         export_mart(mart, outputs.export(name))
+    publish.switch(spark, out, outputs.root, keep=keep)
     return outputs

@@ -5,7 +5,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from doorstep.operators import counts, dashboard, marts, ranking, rates
+from doorstep.operators.quality import accepted_values, assert_checks, not_null, run_checks
 from doorstep.operators.staging import with_features
+from doorstep.schema import WINDOWS
 from doorstep.sources.files import export_mart, read_partitioned, write_partitioned
 
 REPORTS: dict[str, Callable[[DataFrame], DataFrame]] = {
@@ -43,8 +45,10 @@ REPORTS: dict[str, Callable[[DataFrame], DataFrame]] = {
 def run_reports(spark: SparkSession, df: DataFrame, out: str) -> int:
     """Write the featured records once, then every report from them; returns the records written.
 
+    The heatmap names its windows, so nothing is written for records with another one, or none: the job stops instead.
     Each report scans only its own few columns of the written table.
     """
+    assert_checks(run_checks(df, [not_null("delivery_window"), accepted_values("delivery_window", WINDOWS)]))
     table = f"{out}/featured"
     featured = with_features(df)
     rows = write_partitioned(featured, table)

@@ -54,3 +54,63 @@ def test_broken_values_stay_out_of_the_marts(spark, attempts, tmp_path):
     with pytest.raises(QualityError, match="has_delivery_preference"):
         run_daily(spark, str(tmp_path / "flagged"), str(tmp_path / "out2"))
     assert not (tmp_path / "out2" / "tables" / "fadr_by_segment").exists()
+
+
+def snapshot(spark, tmp_path):
+    out = DailyOutputs.published(spark, str(tmp_path / "out"))
+    return out and {
+        "attempts": spark.read.parquet(out.table("deliveries")).count(),
+        "city": sorted(map(tuple, spark.read.parquet(out.table("mart_fadr_by_city_and_address")).collect())),
+        "export": sorted(r.value for r in spark.read.text(out.export("fadr_by_segment")).collect()),
+    }
+
+
+@pytest.mark.parametrize("step", ["mart", "check", "export", "switch"])
+def test_a_run_that_stops_leaves_the_former_outputs(spark, landing, attempts, tmp_path, monkeypatch, step):
+    from doorstep.plans import daily_job
+
+    assert snapshot(spark, tmp_path) is None
+    run_daily(spark, landing, str(tmp_path / "out"), mart_min_attempts=10)
+    before = snapshot(spark, tmp_path)
+    assert before["attempts"] == 1500 and len(before["export"]) > 25
+
+    def stop(*args, **kwargs):
+        raise KeyboardInterrupt(step)
+
+    # Between two marts, at a check of the marts, between two exports, before the switch.
+    calls = {"n": 0}
+    real_export = daily_job.export_mart
+
+    def second_export(*args):
+        calls["n"] += 1
+        return real_export(*args) if calls["n"] == 1 else stop()
+
+    patch = {"mart": ("mart_window_alerts", stop), "check": ("mart_checks", stop), "export": ("export_mart", second_export)}
+    if step == "switch":
+        monkeypatch.setattr(daily_job.publish, "switch", stop)
+    else:
+        monkeypatch.setattr(daily_job, *patch[step])
+    write_deliveries_csv(attempts({"city": "Pune"}, {"city": "Pune"}), str(tmp_path / "next"))
+    with pytest.raises(KeyboardInterrupt):
+        run_daily(spark, str(tmp_path / "next"), str(tmp_path / "out"), mart_min_attempts=1)
+    assert snapshot(spark, tmp_path) == before
+    monkeypatch.undo()
+    run_daily(spark, str(tmp_path / "next"), str(tmp_path / "out"), mart_min_attempts=1)
+    assert snapshot(spark, tmp_path)["attempts"] == 2
+
+
+def test_pointers(spark, tmp_path):
+    from doorstep.sources import publish
+
+    out = str(tmp_path)
+    versions = []
+    for k in range(4):
+        versions.append(publish.new_version(out))
+        spark.range(k + 1).write.parquet(versions[-1])
+        publish.switch(spark, out, versions[-1])
+        assert publish.current(spark, out) == versions[-1]
+    assert {p.name for p in (tmp_path / "versions").iterdir()} == {v.rsplit("/", 1)[1] for v in versions[-2:]}
+    # Going back to a former version, and a pointer that was not written to the end.
+    publish.switch(spark, out, versions[-2])
+    (tmp_path / "current-000000000009").write_text("half")
+    assert publish.current(spark, out) == versions[-2] and spark.read.parquet(versions[-2]).count() == 3

@@ -1,8 +1,11 @@
 import json
+from pathlib import Path
 
 import pytest
 
 from doorstep.__main__ import main
+from doorstep.operators.quality import QualityError
+from doorstep.plans.daily_job import DailyOutputs
 from doorstep.plans.reports import REPORTS, run_reports
 from doorstep.sources.files import write_deliveries_csv
 from doorstep.sources.star import deliveries
@@ -25,11 +28,19 @@ def test_reports_job(spark, sf_dir, tmp_path):
     assert windows.count() == 4
 
 
+@pytest.mark.parametrize("window", ["Midnight (0-2)", None])
+def test_reports_stop_at_an_unknown_window(spark, attempts, tmp_path, window):
+    with pytest.raises(QualityError, match="delivery_window"):
+        run_reports(spark, attempts({}, {"delivery_window": window}), str(tmp_path / "out"))
+    assert not (tmp_path / "out").exists()
+
+
 def test_command_line_reports(spark, landing, tmp_path, capsys):
     main(["report", "fadr_by_window", landing])
     assert "Morning (9-12)" in capsys.readouterr().out
     main(["daily", landing, str(tmp_path / "daily")])
-    assert (tmp_path / "daily" / "exports" / "fadr_by_segment").exists()
+    published = DailyOutputs.published(spark, str(tmp_path / "daily"))
+    assert Path(published.export("fadr_by_segment")).exists()
     with pytest.raises(SystemExit):
         main(["report", "unknown", landing])
 
