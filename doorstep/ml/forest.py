@@ -7,7 +7,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from doorstep.functions.labels import value_bucket_code
-from doorstep.ml.features import RAW_FEATURES, assembler, bucket_stage, label_encoder
+from doorstep.ml.features import CATEGORIES, RAW_FEATURES, assembler, bucket_stage, complete, label_encoder
 from doorstep.schema import FEATURES, FOREST, LABEL
 
 # Rows that share all features and the label are trained on as one weighted row per block. The
@@ -16,6 +16,7 @@ from doorstep.schema import FEATURES, FOREST, LABEL
 BOOTSTRAP_BLOCKS = 128
 # Spark seeds the bootstrap per partition, so a fixed number keeps the model the same on any cluster.
 TRAINING_PARTITIONS = 16
+NUMBERS = [c for c in RAW_FEATURES if c not in CATEGORIES]
 # Categories that a feature has at least room for.
 LEAST_BINS = 32
 
@@ -41,9 +42,16 @@ def train(
     trees: int = FOREST["numTrees"],
     depth: int = FOREST["maxDepth"],
     seed: int = FOREST["seed"],
+    bootstrap: bool = True,
+    subset: str = "auto",
+    balanced: bool = False,
 ) -> PipelineModel:
     """Fit encoders and forest on ``df``; the model scores raw attempt records.
 
+    Attempts without a value bucket or another number are left out. Without ``bootstrap`` every tree sees all attempts;
+    ``subset`` is what a split may choose from, "all" for all features. ``balanced`` gives both classes the same total
+    weight. The library joins two leaves again that predict the same class, which with one rare class are many.
+
     The attempts are read once. The tree passes then run over the cached cells, whose number the
     feature domains bound.
     """
@@ -51,11 +59,13 @@ def train(
     order = [*RAW_FEATURES, LABEL, "block"]
     cells = (
         training_cells(df)
+        .where(complete(NUMBERS))
         .repartition(TRAINING_PARTITIONS, *order)
         .sortWithinPartitions(*order)
         .persist(StorageLevel.MEMORY_AND_DISK)
     )
     try:
+        weighed = _balanced(cells) if balanced else cells
         encoder = label_encoder().fit(cells)
         vectors = assembler()
         forest = RandomForestClassifier(
@@ -66,8 +76,10 @@ def train(
             maxDepth=depth,
             maxBins=max(LEAST_BINS, *[len(labels) + 1 for labels in encoder.labelsArray]),
             seed=seed,
+            bootstrap=bootstrap,
+            featureSubsetStrategy=subset,
             cacheNodeIds=True,
-        ).fit(vectors.transform(encoder.transform(cells)))
+        ).fit(vectors.transform(encoder.transform(weighed)))
         # A copy leaves the training summary behind, which would keep the cells and the session
         # inside every scoring task.
         forest = forest.copy()
@@ -76,17 +88,28 @@ def train(
     return PipelineModel(stages=[bucket_stage(), encoder, vectors, forest])
 
 
+def _balanced(cells: DataFrame) -> DataFrame:
+    totals = {r[LABEL]: r["n"] for r in cells.groupBy(LABEL).agg(F.sum("weight").alias("n")).collect()}
+    share = F.lit(None).cast("double")
+    for label, n in totals.items():
+        share = F.when(F.col(LABEL) == label, sum(totals.values()) / (len(totals) * n)).otherwise(share)
+    return cells.withColumn("weight", F.col("weight") * share)
+
+
 def _scored(stages: PipelineModel, df: DataFrame) -> DataFrame:
     return (
         stages.transform(df)
-        .withColumn("prediction", F.col("prediction").cast("int"))
-        .withColumn("probability", vector_to_array("probability")[1])
+        .withColumn("prediction", F.when(complete(), F.col("prediction").cast("int")))
+        .withColumn("probability", F.when(complete(), vector_to_array("probability")[1]))
         .drop("rawPrediction", "features")
     )
 
 
 def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
-    """``df`` with its predicted class and success probability; a map-only job."""
+    """``df`` with its predicted class and success probability; a map-only job.
+
+    Both are null for a row without a value bucket or another number; it stops no batch.
+    """
     return _scored(model, df).select(*df.columns, "prediction", "probability")
 
 
@@ -130,7 +153,7 @@ def what_if(
     """Mean success probability of ``base`` as it is and under each scenario's changed features.
 
     ``scenarios`` maps a name to the feature values it sets; ``uplift_points`` is the gain over
-    the unchanged rows in percentage points. ``by`` adds a breakdown over features. Scoring runs
+    the unchanged rows in percentage points. Attempts without a prediction do not count. ``by`` adds a breakdown over features. Scoring runs
     on the counted feature combinations, so its cost does not grow with the number of attempts.
     """
     cells = feature_cells(base)
@@ -149,11 +172,12 @@ def what_if(
         "weight", "row.*"
     )
     groups = [f"_{c}" for c in by]
+    predicted = F.when(F.col("probability").isNotNull(), F.col("weight"))
     means = (
         predict_cells(model, expanded)
         .groupBy("scenario", *groups)
         .agg(
-            (F.sum(F.col("probability") * F.col("weight")) / F.sum("weight")).alias("probability")
+            F.try_divide(F.sum(F.col("probability") * F.col("weight")), F.sum(predicted)).alias("probability")
         )
     )
     as_is = F.max(F.when(F.col("scenario") == "as_is", F.col("probability")))

@@ -4,8 +4,6 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from doorstep.schema import LABEL
 
-SCORE_RANGES = 256
-
 
 def _weight(column: str | None) -> Column:
     return F.col(column) if column else F.lit(1)
@@ -19,24 +17,23 @@ def classification_metrics(
     prediction: str = "prediction",
     threshold: float = 0.5,
     weight: str | None = None,
-    ranges: int = SCORE_RANGES,
+    ranges: int | None = None,
 ) -> DataFrame:
     """One row: ``accuracy`` and the exact ``roc_auc``, ties counted as half.
 
     Accuracy is that of the ``prediction`` column where there is one, which alone knows how the model
     decides at a tie; scores without it are cut at ``threshold``.
 
-    Rows are first counted per distinct score. The distinct scores are cut into ``ranges`` of about
-    equal size, negatives are cumulated inside each range, and only the range totals are cumulated
-    over the whole, so no task sees all scores even when every row has its own. Any cut gives the
-    same result. With one class only, the AUC is NULL.
+    Rows are first counted per distinct score. The distinct scores are range-partitioned, by default into as many parts as
+    the session shuffles into; negatives are cumulated inside each part, and only the parts' totals are cumulated
+    over the whole, so no task sees all scores even when every row has its own. Any ``ranges`` give the same
+    result. With one class only, the AUC is NULL. Rows without a score are left out.
     """
     w = _weight(weight)
     decided = F.col(prediction) if prediction in df.columns else (F.col(score) >= threshold).cast("int")
-    # The filter on both counts also keeps them in the subquery below, which can then reuse the
-    # exchange of this aggregation: the rows are read and scored once.
     by_score = (
-        df.groupBy(F.col(score).alias("score"))
+        df.where(F.col(score).isNotNull())
+        .groupBy(F.col(score).alias("score"))
         .agg(
             F.sum(F.when(F.col(label) == 1, w).otherwise(0)).cast("double").alias("pos"),
             F.sum(F.when(F.col(label) == 0, w).otherwise(0)).cast("double").alias("neg"),
@@ -44,12 +41,8 @@ def classification_metrics(
         )
         .where(F.col("pos") + F.col("neg") > 0)
     )
-    steps = F.array(*[F.lit(i / ranges) for i in range(1, ranges)])
-    cuts = by_score.agg(F.percentile_approx("score", steps, F.lit(10 * ranges))).scalar()
-    ranged = by_score.withColumn("cuts", F.coalesce(cuts, F.array().cast("array<double>")))
-    ranged = ranged.withColumn(
-        "part", F.size(F.filter("cuts", lambda cut: cut < F.col("score")))
-    ).drop("cuts")
+    dealt = by_score.repartitionByRange(ranges, "score") if ranges else by_score.repartitionByRange("score")
+    ranged = dealt.withColumn("part", F.spark_partition_id())
 
     below = Window.partitionBy("part").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
     neg_below = F.coalesce(F.sum("neg").over(below), F.lit(0.0))
@@ -63,7 +56,7 @@ def classification_metrics(
             F.sum("right").alias("correct"),
         )
     )
-    # At most ``ranges`` rows reach this window.
+    # One row per part reaches this window.
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     ahead = F.coalesce(F.sum("neg").over(earlier), F.lit(0.0))
     return (

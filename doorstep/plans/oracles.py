@@ -234,6 +234,51 @@ FROM d WHERE city IS NOT NULL AND address_type IS NOT NULL GROUP BY city, addres
 
 EVENT_COLUMNS = 'delivery_id, city, address_type, "window", status, "timestamp", order_value, attempt'
 
+PARTS = """, parts AS (
+    SELECT *, CASE WHEN ROW_NUMBER() OVER (PARTITION BY is_successful ORDER BY MD5(delivery_id), delivery_id)
+            <= FLOOR(COUNT(*) OVER (PARTITION BY is_successful) * 2e-1 + 5e-1)
+        THEN 'test' ELSE 'train' END AS part FROM d)"""
+
+# A name orders its categories by their success rate, a number by its value.
+SPLIT_FEATURES = {
+    "address_type": "rate",
+    "delivery_window": "rate",
+    "city": "rate",
+    "order_value_bucket": "CAST(value AS DOUBLE)",
+    "attempt_number": "CAST(value AS DOUBLE)",
+    "has_delivery_preference": "CAST(value AS DOUBLE)",
+    "proximity_alert_sent": "CAST(value AS DOUBLE)",
+}
+FIRST_SPLIT = f"""
+, cells AS (
+    SELECT address_type, delivery_window, city,
+        CAST(CASE WHEN order_value <= 500 THEN 0 WHEN order_value <= 1500 THEN 1
+            WHEN order_value <= 3000 THEN 2 ELSE 3 END AS INTEGER) AS order_value_bucket,
+        attempt_number, has_delivery_preference, proximity_alert_sent,
+        SUM(w) AS n, SUM(is_successful * w) AS pos
+    FROM (SELECT *, COUNT(*) OVER () / (2e0 * COUNT(*) OVER (PARTITION BY is_successful)) AS w FROM d) GROUP BY ALL
+), counted AS (
+    SELECT feature, value, SUM(n) AS n, SUM(pos) AS pos, SUM(pos) / SUM(n) AS rate FROM (
+        {" UNION ALL ".join(f"SELECT '{f}' AS feature, CAST({f} AS VARCHAR) AS value, n, pos FROM cells" for f in SPLIT_FEATURES)})
+    GROUP BY feature, value
+), ordered AS (
+    SELECT *, CASE feature {" ".join(f"WHEN '{f}' THEN {place}" for f, place in SPLIT_FEATURES.items())} END AS place
+    FROM counted
+), prefixes AS (
+    SELECT feature, value, SUM(n) OVER upto AS ln, SUM(pos) OVER upto AS lp,
+        SUM(n) OVER (PARTITION BY feature) AS an, SUM(pos) OVER (PARTITION BY feature) AS ap,
+        ROW_NUMBER() OVER upto AS nth
+    FROM ordered WINDOW upto AS (PARTITION BY feature ORDER BY place, value)
+), best AS (
+    SELECT feature AS chosen, nth AS cut, lp / ln AS left_rate, (ap - lp) / (an - ln) AS right_rate
+    FROM prefixes WHERE an > ln
+    ORDER BY lp * (ln - lp) / ln + (ap - lp) * (an - ln - ap + lp) / (an - ln), feature LIMIT 1
+)
+SELECT {", ".join(SPLIT_FEATURES)}, ROUND(CASE WHEN nth <= cut THEN left_rate ELSE right_rate END, 9) AS probability
+FROM cells, best, prefixes
+WHERE feature = chosen
+    AND value = CASE chosen {" ".join(f"WHEN '{f}' THEN CAST({f} AS VARCHAR)" for f in SPLIT_FEATURES)} END"""
+
 _ON_DELIVERIES = {
     "overall_fadr": f"""SELECT COUNT(*) AS total_attempts, {SUCCESSFUL} AS successful,
         {FADR} AS fadr_percent, {FAILED} AS failed,
@@ -377,8 +422,9 @@ FROM f""",
     "cached_scan": """SELECT city AS key, COUNT(*) AS n FROM d GROUP BY city
         UNION ALL SELECT CAST(is_successful AS VARCHAR), COUNT(*) FROM d GROUP BY is_successful""",
     "rf_predictions_sound": "SELECT delivery_id, TRUE AS is_probability, TRUE AS is_likelier FROM d",
-    "rf_test_support": """SELECT CAST(is_successful AS VARCHAR) AS class, COUNT(*) AS support FROM d
-        WHERE SUBSTRING(MD5(delivery_id), 1, 4) < '3333' GROUP BY is_successful""",
+    "rf_test_support": f"""{PARTS} SELECT CAST(is_successful AS VARCHAR) AS class, COUNT(*) AS support FROM parts
+        WHERE part = 'test' GROUP BY is_successful""",
+    "rf_first_split": FIRST_SPLIT,
     "rf_importance_total": """SELECT CAST(7 AS BIGINT) AS features, 1e0 AS total,
         CAST(0 AS BIGINT) AS negative""",
     "what_if_as_is": "SELECT 'as_is' AS scenario, 0e0 AS uplift_points",
@@ -394,9 +440,8 @@ FROM f""",
         CAST(CASE WHEN order_value <= 500 THEN 0 WHEN order_value <= 1500 THEN 1
             WHEN order_value <= 3000 THEN 2 ELSE 3 END AS INTEGER) AS order_value_bucket,
         attempt_number, has_delivery_preference, proximity_alert_sent FROM d""",
-    "train_test_split": """SELECT
-        CASE WHEN SUBSTRING(MD5(delivery_id), 1, 4) < '3333' THEN 'test' ELSE 'train' END AS part,
-        is_successful, COUNT(*) AS n FROM d GROUP BY ALL""",
+    "train_test_split": f"{PARTS} SELECT part, is_successful, COUNT(*) AS n FROM parts GROUP BY ALL",
+    "test_part_ids": f"{PARTS} SELECT delivery_id FROM parts WHERE part = 'test'",
     "classification_metrics": f"""
 , g AS (SELECT expected_prob AS score, COUNT(*) FILTER (WHERE is_successful = 1) AS pos,
         COUNT(*) FILTER (WHERE is_successful = 0) AS neg FROM d GROUP BY expected_prob),
@@ -438,6 +483,11 @@ _ON_EVENTS = {
         WHERE city = 'Pune'""",
     "event_late": """SELECT city, status, COUNT(*) * CASE WHEN city IN ('Delhi', 'Mumbai') THEN 2 ELSE 1 END
         AS n FROM e GROUP BY city, status""",
+    "consumer_rate": """SELECT
+        ROUND(AVG(CASE WHEN status = 'DELIVERED' THEN 1e0 ELSE 0e0 END)
+            FILTER (WHERE status IN ('DELIVERED', 'FAILED', 'RESCHEDULED')) * 100, 1) AS live_fadr_pct,
+        2 * COUNT(*) FILTER (WHERE status IN ('DELIVERED', 'FAILED', 'RESCHEDULED')) AS terminal_events,
+        2 * COUNT(*) AS events FROM e""",
     "event_consumed_at": "SELECT delivery_id, TRUE AS stamped FROM e",
     "event_publish": """SELECT CAST(to_json({
         'delivery_id': delivery_id, 'city': city, 'address_type': address_type,

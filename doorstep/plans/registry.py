@@ -27,7 +27,7 @@ from doorstep.sources import files, landing, tables
 from doorstep.sources.landing import deliveries
 from doorstep.sources.star import deliveries_as_text, read_events
 from doorstep.streaming import events as stream
-from doorstep.streaming.consume import consume_events
+from doorstep.streaming.consume import consume_events, live_rate
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -447,6 +447,12 @@ def event_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.groupBy("city", "status").agg(F.count("*").alias("n"))
 
 
+@query
+def consumer_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The consumer's live rate over the event log and, after a restart, the same messages again."""
+    return live_rate(spark, _consumed(spark, sf_dir, lambda m: m))
+
+
 @query
 def event_consumed_at(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every stored event has a time of consumption, not before the run."""
@@ -507,8 +513,15 @@ def feature_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def train_test_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = F.when(features.is_test(), "test").otherwise("train").alias("part")
-    return deliveries(spark, sf_dir).groupBy(part, LABEL).agg(F.count("*").alias("n"))
+    attempts = deliveries(spark, sf_dir)
+    part = F.when(features.test_condition(attempts), "test").otherwise("train").alias("part")
+    return attempts.groupBy(part, LABEL).agg(F.count("*").alias("n"))
+
+
+@query
+def test_part_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The deliveries of the test part."""
+    return features.split(deliveries(spark, sf_dir))[1].select("delivery_id")
 
 
 @query
@@ -543,6 +556,16 @@ def fitted_forest(spark: SparkSession, sf_dir: str) -> PipelineModel:
     return _models[key]
 
 
+@query
+def rf_first_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the best single split over all deliveries, both classes weighed alike, predicts for every feature combination."""
+    attempts = deliveries(spark, sf_dir)
+    model = forest.train(attempts, trees=1, depth=1, bootstrap=False, subset="all", balanced=True)
+    cells = forest.feature_cells(attempts).select(features.RAW_FEATURES)
+    scored = forest.predict_cells(model, cells)
+    return scored.select(*features.RAW_FEATURES, F.round("probability", 9).alias("probability"))
+
+
 @query
 def rf_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = fitted_forest(spark, sf_dir)

@@ -38,13 +38,44 @@ def test_feature_order(df):
     assert list(vector.toArray()) == [float(v) for v in values]
 
 
-def test_split_is_stable_and_close_to_stratified(df, parts):
+def test_split_is_stable_and_stratified(df, parts):
     train, test = parts
     assert train.count() + test.count() == df.count()
     moved = features.split(df.repartition(7))[1]
     assert moved.exceptAll(test).isEmpty() and test.exceptAll(moved).isEmpty()
-    shares = df.groupBy("is_successful").agg(F.avg(features.is_test().cast("int")).alias("s"))
-    assert all(abs(r.s - 0.2) < 0.02 for r in shares.collect())
+    whole = {r[0]: r[1] for r in df.groupBy("is_successful").count().collect()}
+    drawn = {r[0]: r[1] for r in test.groupBy("is_successful").count().collect()}
+    assert drawn == {c: int(n * 0.2 + 0.5) for c, n in whole.items()}
+
+
+@pytest.mark.parametrize("digits", [0, 1, 4])
+@pytest.mark.parametrize("share", [0.0, 0.001, 0.37, 1.0])
+def test_split_by_brute_force(spark, digits, share, monkeypatch):
+    """Any number of bins gives the rows that sorting each class by the hash of the id gives."""
+    import hashlib
+
+    monkeypatch.setattr(features, "BIN_DIGITS", digits)
+    rows = [(f"d{i}", (None, 0, 1, 1)[i % 4]) for i in range(401)] + [(None, 1)]
+    df = spark.createDataFrame(rows, "delivery_id string, is_successful int")
+    want = set()
+    for label in (None, 0, 1):
+        ids = sorted((i for i, c in rows if c == label and i), key=lambda i: hashlib.md5(i.encode()).hexdigest())
+        want |= set(ids[: int(len(ids) * share + 0.5)])
+    train, test = features.split(df, test=share)
+    got = {r.delivery_id for r in test.collect()}
+    # A row without an id is never tested on.
+    assert got == want and train.count() == len(rows) - len(got)
+
+
+def test_a_row_without_a_bucket_has_no_prediction(attempts, df, model, tmp_path):
+    bad = attempts({"order_value": 10_000.01}, {"order_value": None}, {"attempt_number": None}, {})
+    for scored in (forest.predict(model, bad), forest.predict_by_cell(model, bad, str(tmp_path / "s"))):
+        assert sorted(r.delivery_id for r in scored.where("prediction IS NULL AND probability IS NULL").collect()) == ["d0", "d1", "d2"]
+        assert scored.where("prediction IS NOT NULL").count() == 1
+    whole = forest.what_if(model, bad, {}).first()
+    assert whole.probability == pytest.approx(forest.predict(model, attempts({})).first().probability)
+    again = forest.train(df.unionByName(bad), trees=2, depth=2)
+    assert again.stages[-1].getNumTrees == 2
 
 
 def test_cells_count_every_attempt(df):
@@ -132,7 +163,7 @@ def brute_auc(pairs):
 
 
 @pytest.mark.parametrize("digits", [1, 2, 12])
-@pytest.mark.parametrize("ranges", [2, 16, 256])
+@pytest.mark.parametrize("ranges", [None, 2, 16, 256])
 def test_auc_is_exact_for_any_cut(spark, digits, ranges):
     rng = random.Random(digits)
     pairs = [(round(rng.random() ** 3, digits), int(rng.random() < 0.4)) for _ in range(400)]
@@ -146,6 +177,19 @@ def test_auc_is_exact_for_any_cut(spark, digits, ranges):
     assert result.accuracy == pytest.approx(sum((s >= 0.5) == (y == 1) for s, y in pairs) / 400)
 
 
+def test_auc_of_many_distinct_scores(spark):
+    """A score of its own for every row, spread over parts that no task sees whole."""
+    n = 20_000
+    df = spark.range(n).selectExpr(f"pmod(xxhash64(id), 1000003) / 1000003 + id * 1e-12 AS probability", "cast(pmod(xxhash64(id, 7), 3) = 0 AS int) AS is_successful")
+    df = df.unionByName(df.limit(5).selectExpr("cast(null AS double) AS probability", "1 AS is_successful"))
+    rows = sorted((r.probability, r.is_successful) for r in df.where("probability IS NOT NULL").collect())
+    ranks = sum(i + 1 for i, (_, y) in enumerate(rows) if y)
+    pos = sum(y for _, y in rows)
+    want = (ranks - pos * (pos + 1) / 2) / (pos * (n - pos))
+    assert len({s for s, _ in rows}) == n
+    assert metrics.classification_metrics(df).first().roc_auc == pytest.approx(want)
+
+
 def test_auc_of_one_class_is_null(spark):
     df = spark.createDataFrame([(0.3, 1), (0.6, 1)], "probability double, is_successful int")
     assert tuple(metrics.classification_metrics(df).first()) == (0.5, None)
