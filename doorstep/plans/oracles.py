@@ -392,6 +392,7 @@ FROM f""",
     "csv_roundtrip": f"SELECT {COLUMNS} FROM d",
     "load_report": _load_report(),
     "json_records": "SELECT delivery_id, city, is_successful FROM d WHERE city = 'ASIA'",
+    "json_array": f"SELECT {COLUMNS} FROM d",
     "table_reload": "SELECT city, COUNT(*) AS n FROM d GROUP BY city",
     "parquet_roundtrip": f"SELECT {COLUMNS} FROM d",
     "featured_partitions": """SELECT delivery_id, city,

@@ -1,5 +1,6 @@
 """Every query by name, each from the given tables to a DataFrame."""
 
+import json
 from collections.abc import Callable
 
 from pyspark.ml import PipelineModel
@@ -25,6 +26,7 @@ from doorstep.schema import (
 from doorstep.session import scratch_dir
 from doorstep.sources import files, landing, tables
 from doorstep.sources.landing import deliveries
+from doorstep.sources.json_array import load_json_array
 from doorstep.sources.star import deliveries_as_text, read_events
 from doorstep.streaming import events as stream
 from doorstep.streaming.consume import consume_events, live_rate
@@ -262,6 +264,20 @@ def json_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def json_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All deliveries as one JSON array in one file, read by as many tasks as it has blocks."""
+    path = scratch_dir(spark, "json-array")
+    rows = deliveries(spark, sf_dir).select(F.to_json(F.struct("*")).alias("value"))
+    rows = rows.withColumn("value", F.concat(F.lit(","), "value"))
+    head = spark.createDataFrame([("[" + json.dumps({"delivery_id": None}),)], "value string")
+    # One file takes one writing task; the reading is what is spread.
+    rows.union(head).union(spark.createDataFrame([("]",)], "value string")).withColumn(
+        "order", F.when(F.col("value").startswith("["), 0).when(F.col("value") == "]", 2).otherwise(1)
+    ).coalesce(1).sortWithinPartitions("order").select("value").write.text(path)
+    return load_json_array(spark, path, DELIVERIES).where("delivery_id IS NOT NULL")
+
+
 @query
 def table_reload(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Loading the same table twice leaves one copy; the scan is then read through a view."""
