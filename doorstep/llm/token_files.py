@@ -31,93 +31,76 @@ FILE_IDS = 1 << 23
 KEPT_WORDS = 600_000
 #: A word of basic and Latin-1 letters in UTF-8, and the basic marks after it, which are a piece of their own.
 LETTERS = re.compile(rb"((?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([!-&(-/:;=-@\[-`{-~]*)")
-#: A word by itself that parts the words of one call; words that hold it are encoded alone.
-PART = "\x00"
-CALL_WORDS = 4096
-
 MANIFEST = "piece int, file int, path string, n_docs long, n_ids long"
 
 
-class WordEncoder:
-    """Encodes texts word by word with a cache.
+class WordIds(dict):
+    """Little-endian unsigned 32-bit ids of words in UTF-8, worked out when a word is first asked for.
 
-    Only for tokenizers that drop white space before anything else looks at it, lower-case, keep letters
-    apart from other characters and map a piece's bytes to characters: there a text's ids are its words'
-    ids in a row, a word of letters is one piece, and a mark after it is the next. Such a piece goes to the
-    tokenizer's model alone; any other word goes through the whole tokenizer.
+    Letters go to the tokenizer's model as the piece they are, basic marks after them are a piece of their own, and
+    any other word goes through the whole tokenizer.
     """
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer, pre_tokenizers
 
+        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
-        self.part = self._ids(PART)
         mapper = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         table = ["\ufffe"] * 256
         for letter in [chr(c) for c in (*range(0x61, 0x7B), *range(0xC0, 0x100))]:
             for byte, char in zip(letter.encode(), mapper.pre_tokenize_str(letter)[0][0]):
                 table[byte] = char
         self.table = "".join(table)
-        # Words used since the last turn, and those used before it: what is used stays.
-        self.known: dict[bytes, bytes] = {}
+        # Words of the turn before: what is used stays.
         self.older: dict[bytes, bytes] = {}
 
-    def _ids(self, text: str) -> list[int]:
-        return self.tokenizer.encode(text, add_special_tokens=False).ids
+    def turn(self) -> None:
+        self.older = dict(self)
+        self.clear()
+
+    def __missing__(self, word: bytes) -> bytes:
+        ids = self.older.get(word)
+        if ids is None:
+            if word.isalpha():
+                ids = self._piece(word)
+            elif found := LETTERS.fullmatch(word):
+                letters, marks = found.groups()
+                ids = self[letters] + self[marks] if marks else self._piece(word)
+            else:
+                ids = self._packed(self.tokenizer.encode(word.decode(), add_special_tokens=False).ids)
+        self[word] = ids
+        return ids
+
+    def _piece(self, letters: bytes) -> bytes:
+        lower = letters.lower() if letters.isascii() else letters.decode().lower().encode()
+        piece = charmap_decode(lower, "strict", self.table)[0]
+        return self._packed([token.id for token in self.model.tokenize(piece)])
+
+    @staticmethod
+    def _packed(ids: list[int]) -> bytes:
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+
+class WordEncoder:
+    """Encodes texts word by word with a cache.
+
+    Only for tokenizers that drop white space before anything else looks at it, lower-case, keep letters
+    apart from other characters and map a piece's bytes to characters: there a text's ids are its words'
+    ids in a row, a word of letters is one piece, and a mark after it is the next.
+    """
+
+    def __init__(self, path: str):
+        self.known = WordIds(path)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of every text."""
-        split = [_lower(t or "").encode().split() for t in texts]
         if len(self.known) > KEPT_WORDS:
-            self.known, self.older = {}, self.known
-        new = set().union(*split).difference(self.known)
-        again = {w for w in new if w in self.older}
-        for w in again:
-            self.known[w] = self.older[w]
-        self._learn(new - again)
+            self.known.turn()
         known = self.known.__getitem__
-        return [b"".join(map(known, words)) for words in split]
-
-    def _learn(self, new: set[bytes]) -> None:
-        """Add the ids of new words; letters and a mark after them are two pieces."""
-        pieces, marked, others = set(), [], set()
-        for w in new:
-            if w.isalpha():
-                pieces.add(w)
-            elif found := LETTERS.fullmatch(w):
-                piece, mark = found.groups()
-                pieces.add(piece)
-                if mark:
-                    others.add(mark)
-                    marked.append((w, piece, mark))
-            else:
-                others.add(w)
-        for w in pieces.difference(self.known):
-            lower = w.lower() if w.isascii() else w.decode().lower().encode()
-            ids = [token.id for token in self.model.tokenize(charmap_decode(lower, "strict", self.table)[0])]
-            self.known[w] = struct.pack(f"<{len(ids)}I", *ids)
-        self._learn_any(list(others.difference(self.known)))
-        for w, piece, mark in marked:
-            self.known[w] = self.known[piece] + self.known[mark]
-
-    def _learn_any(self, words: list[bytes]) -> None:
-        """Words of any characters, parted by a word that none of them holds."""
-        alone = [w for w in words if len(self.part) != 1 or PART.encode() in w or b"<|" in w]
-        for w in alone:
-            self.known[w] = np.array(self._ids(w.decode()), "<u4").tobytes()
-        together = [w for w in words if w not in self.known]
-        for at in range(0, len(together), CALL_WORDS):
-            some = together[at : at + CALL_WORDS]
-            ids = np.array(self._ids(f" {PART} ".join([w.decode() for w in some])), "<u4")
-            cuts = np.flatnonzero(ids == self.part[0])
-            self._keep(some, ids, [0, *(cuts + 1).tolist()], [*cuts.tolist(), len(ids)])
-
-    def _keep(self, words: list[bytes], ids: np.ndarray, starts: list[int], ends: list[int]) -> None:
-        data = ids.tobytes()
-        for w, a, b in zip(words, starts, ends, strict=True):
-            self.known[w] = data[4 * a : 4 * b]
+        return [b"".join(map(known, _lower(t or "").encode().split())) for t in texts]
 
 
 def _lower(text: str) -> str:
