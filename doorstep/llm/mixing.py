@@ -12,7 +12,8 @@ The seat-by-seat rule is carried out by its equivalent: a party gets target / d
 divisor d at which the seats add up. Each round of Spark sums tries ``TRIES`` divisors.
 
 A null text has size zero; a null source is a source of its own and comes last; rows that repeat a
-``doc_id`` count one by one. Sources or tables without words take nothing. Extra columns are ignored.
+``doc_id``, or have none, count one by one, and their texts and copy numbers spread them over the shards. Rows
+that are equal in id, source and text are counted and told apart by a copy number only. Sources or tables without words take nothing. Extra columns are ignored.
 """
 
 from dataclasses import dataclass
@@ -23,6 +24,8 @@ from doorstep.llm.tables import settled, words
 
 TRIES = 16
 ROUNDS = 14
+#: Equal rows that are numbered in one go.
+COPIES = 4096
 
 
 @dataclass(frozen=True)
@@ -142,15 +145,31 @@ def _rounded(target: Column, divisor: Column) -> Column:
     return F.floor(target / divisor + 0.5)
 
 
-def plan(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
-    """Per row: doc_id, size, source, source_size, target, rounds and the word runs taken once more.
+#: What tells the rows of a source apart: id, hash of the text, copy number.
+IDENTITY = ["doc_id", "of", "copy"]
 
-    ``runs`` holds (first, length) within the document's words; together with ``rounds`` whole
-    passes they make ``taken``.
+
+def _numbered(counted: DataFrame) -> DataFrame:
+    """The ``n`` equal rows that each row stands for, with their number ``copy``.
+
+    They are numbered in pieces that are dealt to tasks, so that a row with very many copies is no one task's work.
     """
-    sized = settled(docs.select("doc_id", "source", F.size(words(F.col("text"))).cast("long").alias("size")), "sizes")
-    sources = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
+    n = F.col("n")
+    pieces = counted.withColumn("piece", F.explode(F.sequence(F.lit(0), F.floor((n - 1) / COPIES))))
+    first = F.col("piece") * COPIES
+    last = F.least(first + COPIES, n) - 1
+    dealt = pieces.repartition("doc_id", "of", "piece")
+    return dealt.withColumn("copy", F.explode(F.sequence(first, last))).drop("piece")
+
+
+def _dealt(docs: DataFrame, mix: Mix) -> tuple[DataFrame, DataFrame]:
+    """The sources with their targets, and every row with its source's rank and its shard."""
+    size = F.size(words(F.col("text"))).cast("long").alias("size")
+    sized = docs.select("doc_id", "source", size, F.xxhash64("text").alias("of"))
+    sized = settled(sized.groupBy("doc_id", "source", "size", "of").agg(F.count("*").alias("n")), "sizes")
+    sources = sized.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"))
     sources = settled(source_targets(sources, mix), "targets")
+    sized = _numbered(sized)
 
     n_shards = F.greatest(F.ceil(F.col("source_size") / mix.shard_words), F.lit(1))
     dealt = sized.join(sources, sized["source"].eqNullSafe(sources["source"])).select(
@@ -160,19 +179,41 @@ def plan(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
         "source_size",
         "target",
         "rank",
-        F.pmod(F.xxhash64(F.lit(mix.seed), "doc_id"), n_shards).alias("shard"),
+        *IDENTITY[1:],
+        "n",
+        F.pmod(F.xxhash64(F.lit(mix.seed), *IDENTITY), n_shards).alias("shard"),
     )
-    dealt = settled(dealt, "dealt")
-    shards = dealt.groupBy("rank", "shard").agg(
-        F.sum("size").alias("shard_size"), F.first("source_size").alias("all"), F.first("target").alias("of")
+    return sources, settled(dealt, "dealt")
+
+
+def _shards(dealt: DataFrame) -> DataFrame:
+    return dealt.groupBy("rank", "shard").agg(
+        F.sum("size").alias("shard_size"), F.first("source_size").alias("all"), F.first("target").alias("share")
     )
+
+
+def shard_sizes(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
+    """(source, shard, shard_size, n_rows) of every shard that the mix would order."""
+    _, dealt = _dealt(docs, mix)
+    return dealt.groupBy("source", "shard").agg(F.sum("size").alias("shard_size"), F.count("*").alias("n_rows"))
+
+
+def plan(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
+    """Per row: doc_id, size, source, source_size, target, rounds and the word runs taken once more; ``of`` is its
+    text's hash, ``n`` the number of rows equal to it.
+
+    ``runs`` holds (first, length) within the document's words; together with ``rounds`` whole
+    passes they make ``taken``.
+    """
+    sources, dealt = _dealt(docs, mix)
+    shards = _shards(dealt)
     shards = settled(
         shards.where("shard_size > 0").select(
             "rank",
             "shard",
             "shard_size",
             F.ceil(F.col("shard_size") / mix.block_words).alias("blocks"),
-            (F.col("of") * F.col("shard_size") / F.col("all")).alias("target"),
+            (F.col("share") * F.col("shard_size") / F.col("all")).alias("target"),
         ),
         "shards",
     )
@@ -202,7 +243,7 @@ def plan(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
         (F.col("blocks") * mix.block_words).alias("cycle"),
     )
     order = Window.partitionBy("rank", "shard").orderBy(
-        F.xxhash64(F.lit(mix.seed), F.lit("order"), "doc_id"), "doc_id", "size"
+        F.xxhash64(F.lit(mix.seed), F.lit("order"), *IDENTITY), *IDENTITY, "size"
     )
     placed = (
         dealt.where("size > 0")
@@ -221,7 +262,7 @@ _RUNS = "array<struct<first:bigint,length:bigint>>"
 
 
 def _kept_columns(*more) -> list:
-    return [F.col(c) for c in ("doc_id", "size", "source", "source_size", "target")] + [
+    return [F.col(c) for c in ("doc_id", "size", "source", "source_size", "target", "of", "n")] + [
         F.col(c) if isinstance(c, str) else c for c in more
     ]
 
@@ -254,23 +295,40 @@ def mix_sources(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
 def mixed_documents(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
     """The mix as documents: a row for every whole pass over a document and one for every run of its words.
 
-    A run keeps the text between its words; ``n_chars`` is counted anew. Rows that repeat a ``doc_id``
-    cannot be told apart by their place in the mix, so each of them takes all that its id takes.
+    A run keeps the text between its words; ``n_chars`` is counted anew. Rows that repeat a ``doc_id`` are known
+    by their source and text. What rows equal in all three take goes to one of them, the one whose other
+    columns come first.
     """
-    taken = plan(docs, mix).where("rounds > 0 OR size(runs) > 0").select("doc_id", "rounds", "runs").distinct()
-    whole = F.array_repeat(F.col("text"), F.col("rounds").cast("int"))
+    taken = plan(docs, mix).where("rounds > 0 OR size(runs) > 0").select("doc_id", "source", "of", "n", "rounds", "runs")
+    taken = settled(taken, "taken")
+    several = taken.where("n > 1")
+    columns = [c for c in docs.columns if c not in ("doc_id", "source", "text")]
+    alike = docs.alias("d").join(several.alias("t"), _same_row(), "left_semi").groupBy("doc_id", "source", "text")
+    alike = alike.agg(F.min(F.struct(F.lit(0).alias("0"), *columns)).alias("rest"))
+    alike = alike.select("doc_id", "source", "text", *[F.col("rest")[c].alias(c) for c in columns]).select(docs.columns)
+    return _taken_texts(docs, taken.where("n = 1")).unionByName(_taken_texts(alike, several))
+
+
+def _same_row() -> Column:
+    """A document ``d`` is what ``t`` was planned for."""
+    same = [F.col(f"d.{c}").eqNullSafe(F.col(f"t.{c}")) for c in ("doc_id", "source")]
+    return same[0] & same[1] & (F.xxhash64("d.text") == F.col("t.of"))
+
+
+def _taken_texts(docs: DataFrame, taken: DataFrame) -> DataFrame:
+    text, rounds, runs = F.col("d.text"), F.col("t.rounds"), F.col("t.runs")
+    whole = F.array_repeat(text, rounds.cast("int"))
     # Each piece is a word and the white space after it.
-    pieces = F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+[\x20\x09-\x0D]*)"), 1)
+    pieces = F.regexp_extract_all(text, F.lit(r"([^\x20\x09-\x0D]+[\x20\x09-\x0D]*)"), 1)
     parts = F.transform(
-        "runs",
+        runs,
         lambda r: F.array_join(
             F.slice(pieces, (r["first"] + 1).cast("int"), r["length"].cast("int")), ""
         ),
     )
-    runs = F.when(F.size("runs") > 0, parts).otherwise(F.array().cast("array<string>"))
-    joined = docs.join(taken, docs["doc_id"].eqNullSafe(taken["doc_id"]))
-    texts = joined.select(
-        *[docs[c] for c in docs.columns if c not in ("text", "n_chars")],
-        F.explode(F.concat(whole, runs)).alias("text"),
+    run_texts = F.when(F.size(runs) > 0, parts).otherwise(F.array().cast("array<string>"))
+    texts = docs.alias("d").join(taken.alias("t"), _same_row()).select(
+        *[F.col(f"d.`{c}`") for c in docs.columns if c not in ("text", "n_chars")],
+        F.explode(F.concat(whole, run_texts)).alias("text"),
     )
     return texts.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)

@@ -103,3 +103,22 @@ def test_edges(docs):
     assert [(r.size, r.source_size, r.target, r.taken) for r in got] == [(0, 0, 0.0, 0)] * 2
     one = mixing.mix_sources(docs((1, "a b c"))).collect()
     assert [(r.size, r.target) for r in one] == [(3, 4.5)]
+
+
+def test_repeated_rows_are_spread_and_taken_whole(docs):
+    """Rows without an id and rows that repeat one go to many shards; the mix holds what all of them take, once."""
+    mix = mixing.Mix(shard_words=400)
+    same = [(None, "a b c d e f g h", "hot")] * 300 + [(4, "p q r s", "hot")] * 9
+    other = [(4, f"x{i} y{i} z{i}", "hot") for i in range(40)] + [(9, "k l m", "b"), (9, "k l m", None)]
+    df = docs(*same, *other)
+    planned = mixing.plan(df, mix).collect()
+    assert len(planned) == len(same) + len(other)
+    taken, found = Counter(), Counter()
+    for r in planned:
+        taken[r.doc_id, r.source] += r.rounds * r["size"] + sum(x.length for x in r.runs or [])
+    for r in mixing.mixed_documents(df, mix).collect():
+        found[r.doc_id, r.source] += len(r.text.split())
+        assert r.doc_id != 4 or r.text.split()[0][0] in "pqrsxyz"
+    assert found == taken and taken[None, "hot"] > 0
+    shards = mixing.shard_sizes(df, mix).collect()
+    assert len(shards) > 5 and max(r.shard_size for r in shards) < 4 * mix.shard_words
