@@ -2,7 +2,7 @@
 
 The lexicon is learned: words, and word stems with several endings, that are far more frequent in
 toxic than in other labelled documents. A Levenshtein automaton along the lexicon's trie finds them in
-other words within one edit. Every hit is looked at in a window of words: a hit inside quotation marks or
+other words within one edit, two neighbouring letters in turned order included. Every hit is looked at in a window of words: a hit inside quotation marks or
 beside a word of reporting counts as quotation, one among other hits as abuse. A logistic model over the
 hits gives the score.
 
@@ -30,10 +30,9 @@ from doorstep.llm.tables import settled
 
 #: Bound on the labelled rows that the model is fitted on.
 SAMPLE_ROWS = 20_000
-#: Bounds on the lexicon and on the harmless near words, the most frequent ones of each.
-MAX_TERMS, MAX_STEMS, MAX_HARMLESS = 2000, 2000, 50_000
 LEAST_LOG_ODDS = 3.0
-#: Toxic documents that an entry must stand in: at least so many, and such a share.
+#: Toxic documents that an entry must stand in: at least so many, and such a share. The share alone bounds the lexicon,
+#: to 250 entries for each distinct word that a toxic document has on average.
 LEAST_DOCS, LEAST_SHARE = 4, 0.004
 STEM_LENGTHS = range(4, 9)
 STEM_ENDINGS = 4
@@ -194,10 +193,10 @@ def learn_lexicon(sample: DataFrame) -> Lexicon:
     odds = F.log((F.col("toxic") + 0.5) / (n_toxic + 1)) - F.log((F.col("other") + 0.5) / (n_other + 1))
     clear = (F.col("toxic") >= max(LEAST_DOCS, LEAST_SHARE * n_toxic)) & (odds >= LEAST_LOG_ODDS)
 
-    def top(df: DataFrame, limit: int) -> list[str]:
-        return [r[0] for r in df.orderBy(F.desc("toxic"), df.columns[0]).limit(limit).collect()]
+    def listed(df: DataFrame) -> list[str]:
+        return sorted(r[0] for r in df.select(df.columns[0]).collect())
 
-    terms = top(words.where(clear & (F.length("word") > 2)), MAX_TERMS)
+    terms = listed(words.where(clear & (F.length("word") > 2)))
     prefixes = F.filter(
         F.array(*[F.when(F.length("word") > n, F.substring("word", 1, n)) for n in STEM_LENGTHS]), lambda p: p.isNotNull()
     )
@@ -206,7 +205,7 @@ def learn_lexicon(sample: DataFrame) -> Lexicon:
         F.sum("other").alias("other"),
         F.count_if(F.col("toxic") > 0).alias("endings"),
     )
-    stems = top(stems.where(clear & (F.col("endings") >= STEM_ENDINGS)), MAX_STEMS)
+    stems = listed(stems.where(clear & (F.col("endings") >= STEM_ENDINGS)))
     shortest: list[str] = []
     for stem in sorted(stems, key=lambda s: (len(s), s)):
         if not any(stem.startswith(s) for s in shortest):
@@ -217,12 +216,13 @@ def learn_lexicon(sample: DataFrame) -> Lexicon:
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [(w, n) for w, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()) if (m := lexicon.match(w)) and m[2]]
+            found = [w for w in batch.column(0).to_pylist() if (m := lexicon.match(w)) and m[2]]
             if found:
-                yield pa.record_batch([pa.array([w for w, _ in found]), pa.array([n for _, n in found], pa.int64())], ["word", "toxic"])
+                yield pa.record_batch([pa.array(found)], ["word"])
 
-    harmless = words.where("other > 0").select("word", F.col("other").alias("toxic")).mapInArrow(near, "word string, toxic long")
-    return Lexicon(lexicon.terms, lexicon.stems, frozenset(top(harmless, MAX_HARMLESS)))
+    # Words of the bounded sample, and only those near an entry.
+    harmless = words.where("other > 0").select("word").mapInArrow(near, "word string")
+    return Lexicon(lexicon.terms, lexicon.stems, frozenset(listed(harmless)))
 
 
 @dataclass

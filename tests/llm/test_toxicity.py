@@ -7,30 +7,59 @@ from doorstep.llm import levenshtein, toxicity
 
 
 def distance(a, b):
-    row = list(range(len(b) + 1))
+    """Edits, a neighbouring pair in turned order being one."""
+    d = {(i, j): i + j for i in range(len(a) + 1) for j in range(len(b) + 1) if not i or not j}
     for i, x in enumerate(a, 1):
-        last, row[0] = row[0], i
         for j, y in enumerate(b, 1):
-            last, row[j] = row[j], min(last + (x != y), row[j] + 1, row[j - 1] + 1)
-    return row[-1]
+            d[i, j] = min(d[i - 1, j - 1] + (x != y), d[i, j - 1] + 1, d[i - 1, j] + 1)
+            if i > 1 and j > 1 and x == b[j - 2] and y == a[i - 2]:
+                d[i, j] = min(d[i, j], d[i - 2, j - 2] + 1)
+    return d[len(a), len(b)]
+
+
+def turned(a, b):
+    return any(a[:k] + a[k + 1] + a[k] + a[k + 2 :] == b for k in range(len(a) - 1))
+
+
+def brute_distance(entry, is_stem, word):
+    """Edits from the entry to the word, or to its start; None if more than the entry allows."""
+    starts = [word[:k] for k in range(len(word) + 1)] if is_stem else [word]
+    if entry in starts:
+        return 0
+    if len(entry) < 4 or len(entry) < 5 and word[0] != entry[0]:
+        return None
+    if is_stem and len(entry) < 5:
+        return 1 if any(turned(entry, s) for s in starts) else None
+    return 1 if min(distance(entry, s) for s in starts) == 1 else None
 
 
 words = st.text("abcé", min_size=0, max_size=9)
+stems_of = words.filter(lambda w: len(w) > 3)
 
 
-@given(st.lists(words.filter(len), max_size=6), st.lists(words.filter(lambda w: len(w) > 3), max_size=4), st.lists(words, max_size=30))
-@settings(max_examples=150, deadline=None)
+@given(st.lists(words.filter(len), max_size=6), st.lists(stems_of, max_size=4), st.lists(words, max_size=30))
+@settings(max_examples=300, deadline=None)
 def test_automaton_by_brute_force(terms, stems, tried):
     trie = levenshtein.Trie(terms, stems)
     for w in tried:
         near = []
         for entries, is_stem in ((terms, False), (stems, True)):
-            for e in entries:
-                d = min(distance(e, w[:k]) for k in range(len(w) + 1)) if is_stem else distance(e, w)
-                if w and d <= (0 if len(e) < 5 else 1):
+            for e in entries if w else []:
+                d = brute_distance(e, is_stem, w)
+                if d is not None:
                     near.append((d, is_stem, e))
         want = min(near, default=None)
-        assert trie.find(w) == (want and (want[2], want[1], want[0]))
+        assert trie.find(w) == (want and (want[2], want[1], want[0])), (terms, stems, w)
+
+
+@pytest.mark.parametrize("word", ["skum", "scuum", "scm", "sucm", "idoit", "idito", "stupdi", "sutpid", "loweers"])
+def test_short_and_turned(word):
+    assert levenshtein.Trie(["scum", "idiot", "stupid"], ["lower"]).find(word)[2] == 1
+
+
+@pytest.mark.parametrize("word", ["slump", "drum", "cum", "scams", "ass", "sas", "idio", "stpudi"])
+def test_too_far(word):
+    assert levenshtein.Trie(["scum", "ss"], ["dump"]).find(word) is None
 
 
 def test_quotation_and_abuse():
