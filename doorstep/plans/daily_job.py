@@ -4,7 +4,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
 
-from doorstep.operators.marts import fadr_by_segment, mart_city_address, mart_window_alerts
 from doorstep.operators.quality import (
     assert_checks,
     landing_checks,
@@ -14,6 +13,7 @@ from doorstep.operators.quality import (
     unique,
 )
 from doorstep.operators.staging import stage_deliveries
+from doorstep.operators.summary import fadr_by_segment, mart_city_address, mart_window_alerts, summarise
 from doorstep.schema import DELIVERIES, MART_MIN_ATTEMPTS
 from doorstep.sources import publish
 from doorstep.sources.files import export_mart, read_deliveries_checked
@@ -49,7 +49,8 @@ def run_daily(
 
     The CSV is read as text; records that do not fit are set apart in ``rejected`` with the reason, and
     the rest lands as typed Parquet, of which later steps scan only their columns. The checks run before
-    the marts are built, so nothing unsound gets into one. All three summaries are exported.
+    the marts are built, so nothing unsound gets into one. One scan makes the table ``summary``, which the three
+    marts are rolled up from; summaries of several loads can be merged. All three marts are exported.
     """
     outputs = DailyOutputs(publish.new_version(out))
 
@@ -60,11 +61,13 @@ def run_daily(
     staged = stage_deliveries(landed)
     assert_checks(run_checks(staged, landing_checks()))
 
+    summarise(staged).write.mode("overwrite").parquet(outputs.table("summary"))
+    summary = spark.read.parquet(outputs.table("summary"))
     marts = {
-        "fadr_by_segment": fadr_by_segment(landed),
-        "mart_fadr_by_city_and_address": mart_city_address(staged),
+        "fadr_by_segment": fadr_by_segment(summary),
+        "mart_fadr_by_city_and_address": mart_city_address(summary),
         "mart_fadr_by_window_and_alerts": mart_window_alerts(
-            staged, min_attempts=mart_min_attempts
+            summary, min_attempts=mart_min_attempts
         ),
     }
     for name, mart in marts.items():

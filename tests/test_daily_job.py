@@ -114,3 +114,47 @@ def test_pointers(spark, tmp_path):
     publish.switch(spark, out, versions[-2])
     (tmp_path / "current-000000000009").write_text("half")
     assert publish.current(spark, out) == versions[-2] and spark.read.parquet(versions[-2]).count() == 3
+
+
+def test_marts_are_rolled_up_from_one_scan(spark, landing, tmp_path, monkeypatch):
+    """After landing and checks the attempts are read once; the marts equal those built from the attempts."""
+    from doorstep.operators import marts
+    from doorstep.operators.staging import stage_deliveries
+    from doorstep.plans import daily_job
+
+    summed, real = [], daily_job.summarise
+    monkeypatch.setattr(daily_job, "summarise", lambda df: summed.append(df) or real(df))
+    out = run_daily(spark, landing, str(tmp_path / "out"), mart_min_attempts=10)
+    assert len(summed) == 1
+    staged = stage_deliveries(spark.read.parquet(out.table("deliveries")))
+    for name, direct in {
+        "fadr_by_segment": marts.fadr_by_segment(staged),
+        "mart_fadr_by_city_and_address": marts.mart_city_address(staged),
+        "mart_fadr_by_window_and_alerts": marts.mart_window_alerts(staged, min_attempts=10),
+    }.items():
+        built = spark.read.parquet(out.table(name))
+        # Only the mean value is a sum of doubles, in another order.
+        rounded = lambda df: df.withColumn("avg_order_value", F.round("avg_order_value", 6)) if "avg_order_value" in df.columns else df
+        assert built.dtypes == direct.dtypes, name
+        assert sorted(map(repr, rounded(built).collect())) == sorted(map(repr, rounded(direct).collect())), name
+        files = {f for f in built.inputFiles()}
+        assert files and all("/versions/" in f for f in files)
+
+
+def test_summaries_of_loads_merge(spark, attempts):
+    from doorstep.operators import marts, summary
+
+    loads = [
+        attempts({"city": "Pune", "is_successful": 1}, {"city": "Pune", "is_successful": 0}),
+        attempts({"city": "Pune", "is_successful": None}, {"city": None, "is_successful": 1}, {"city": "Delhi", "is_successful": None}),
+        attempts({"city": "Delhi", "order_value": None}),
+    ]
+    every = loads[0].unionByName(loads[1]).unionByName(loads[2])
+    merged = summary.merge(*[summary.summarise(d) for d in loads])
+    rows = lambda df: sorted(map(repr, df.collect()))
+    assert rows(merged) == rows(summary.summarise(every))
+    assert rows(summary.fadr_by_segment(merged)) == rows(marts.fadr_by_segment(every))
+    assert rows(summary.mart_city_address(merged)) == rows(marts.mart_city_address(every))
+    assert rows(summary.mart_window_alerts(merged, min_attempts=0)) == rows(marts.mart_window_alerts(every, min_attempts=0))
+    assert summary.fadr_by(merged).first().total_attempts == 6
+    assert summary.summarise(every.limit(0)).count() == 0 and summary.mart_city_address(summary.summarise(every.limit(0))).count() == 0
