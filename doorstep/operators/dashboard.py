@@ -1,6 +1,6 @@
 """Datasets behind the dashboard: headline figures, heatmap and savings scenarios."""
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from doorstep.functions.rates import attempts, percent_of
 from doorstep.schema import (
@@ -19,7 +19,13 @@ def kpis(df: DataFrame, *, digits: int = 1) -> DataFrame:
         attempts().alias("total_attempts"),
         F.coalesce(F.sum(LABEL), F.lit(0)).alias("successful"),
         F.count_if(F.col("attempt_number") > 1).alias("repeat_attempts"),
-    ).withColumn("failed", F.col("total_attempts") - F.col("successful"))
+    )
+    return kpis_of(totals, digits)
+
+
+def kpis_of(totals: DataFrame, digits: int = 1) -> DataFrame:
+    """The headline figures that follow from all, successful and repeat attempts."""
+    totals = totals.withColumn("failed", F.col("total_attempts") - F.col("successful"))
     total = F.col("total_attempts")
     return totals.select(
         "total_attempts",
@@ -40,12 +46,13 @@ def fadr_heatmap(df: DataFrame, *, city: str | None = None) -> DataFrame:
     """
     if city is not None:
         df = df.where(F.col("city") == city)
+    return heatmap_of(df, F.avg(LABEL) * 100)
+
+
+def heatmap_of(df: DataFrame, rate: Column) -> DataFrame:
+    """An aggregate by city and address type across the four windows."""
     columns = [w.split(" ")[0].lower() for w in WINDOWS]
-    cells = (
-        df.groupBy("city", "address_type")
-        .pivot("delivery_window", WINDOWS)
-        .agg(F.avg(LABEL) * 100)
-    )
+    cells = df.groupBy("city", "address_type").pivot("delivery_window", WINDOWS).agg(rate)
     return cells.toDF("city", "address_type", *columns)
 
 

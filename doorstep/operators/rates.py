@@ -5,6 +5,8 @@ is one scan with partial aggregation, so only one row per group and task is shuf
 broken by the group keys.
 """
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from doorstep.functions.labels import flag_label, high_risk_flag, value_bucket_labels_rs
@@ -138,6 +140,13 @@ def cohort_rates(df: DataFrame) -> DataFrame:
 
     A row may belong to several cohorts; it is read once and counted in each.
     """
+    return cohorts_of(df, F.count_if, lambda member: F.round(F.avg(F.when(member, F.col(LABEL))) * 100, 2))
+
+
+def cohorts_of(
+    df: DataFrame, count: Callable[[Column], Column], rate: Callable[[Column], Column]
+) -> DataFrame:
+    """:func:`cohort_rates` by the aggregates that give a cohort's attempts and rate."""
     evening = F.col("delivery_window") == EVENING
     preferred = F.col("has_delivery_preference") == 1
     cohorts = {
@@ -148,11 +157,8 @@ def cohort_rates(df: DataFrame) -> DataFrame:
         & (F.col("has_delivery_preference") == 0),
     }
     one_row = df.agg(
-        *[F.count_if(member).alias(f"{name}_attempts") for name, member in cohorts.items()],
-        *[
-            F.round(F.avg(F.when(member, F.col(LABEL))) * 100, 2).alias(f"{name}_fadr")
-            for name, member in cohorts.items()
-        ],
+        *[count(member).alias(f"{name}_attempts") for name, member in cohorts.items()],
+        *[rate(member).alias(f"{name}_fadr") for name, member in cohorts.items()],
     )
     worst = F.least(*[F.col(f"{name}_fadr") for name in cohorts])
     return one_row.select(

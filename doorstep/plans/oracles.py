@@ -249,6 +249,11 @@ SPLIT_FEATURES = {
     "has_delivery_preference": "CAST(value AS DOUBLE)",
     "proximity_alert_sent": "CAST(value AS DOUBLE)",
 }
+CELL_KEYS = (
+    "city, address_type, delivery_window, has_delivery_preference, proximity_alert_sent, value_bucket, attempt_number"
+)
+VALUE_BUCKET = """CASE WHEN order_value < 500 THEN 'Under Rs 500' WHEN order_value < 1500 THEN 'Rs 500-1500'
+    WHEN order_value < 3000 THEN 'Rs 1500-3000' ELSE 'Above Rs 3000' END"""
 FIRST_SPLIT = f"""
 , cells AS (
     SELECT address_type, delivery_window, city,
@@ -296,6 +301,13 @@ _ON_DELIVERIES = {
             WHEN order_value < 3000 THEN 'Rs 1500-3000' ELSE 'Above Rs 3000' END AS value_bucket,
         COUNT(*) AS total_attempts, {FADR} AS fadr_percent
         FROM d GROUP BY 1 ORDER BY fadr_percent, value_bucket""",
+    "report_cells": f"""SELECT {CELL_KEYS}, failure_reason, is_successful, COUNT(*) AS attempts,
+        COUNT(order_value) AS valued, ROUND(SUM(order_value), 2) AS order_value
+        FROM (SELECT *, {VALUE_BUCKET} AS value_bucket FROM d) GROUP BY ALL""",
+    "rates_at_levels": f"""SELECT {CELL_KEYS}, GROUPING({CELL_KEYS}) AS level, COUNT(*) AS total_attempts,
+        {FADR} AS fadr_percent FROM (SELECT *, {VALUE_BUCKET} AS value_bucket FROM d)
+        GROUP BY GROUPING SETS ((), {", ".join(f"({k})" for k in CELL_KEYS.split(", "))}, (city, address_type),
+            (city, delivery_window), (address_type, delivery_window))""",
     "fadr_by_address_window": _rates("address_type, delivery_window", "attempts", "fadr_pct")
     + " ORDER BY fadr_pct, address_type, delivery_window",
     "worst_combinations": _rates("address_type, delivery_window")

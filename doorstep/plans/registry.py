@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from doorstep.functions import labels, scoring, text
 from doorstep.functions.rates import failure
 from doorstep.ml import features, forest, metrics, node_table
-from doorstep.operators import counts, dashboard, marts, quality, ranking, rates, staging
+from doorstep.operators import cells, counts, dashboard, marts, quality, ranking, rates, staging
 from doorstep.plans.daily_job import DailyOutputs, run_daily
 from doorstep.schema import (
     ADDRESS_TYPES,
@@ -114,6 +114,25 @@ def savings_scenarios(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def report_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The table that the report job rolls every report up from."""
+    return _rounded(cells.count_cells(deliveries(spark, sf_dir)), "order_value", digits=2)
+
+
+@query
+def rates_at_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rates by each key, by three pairs of keys and over all, from one scan."""
+    levels = [
+        (),
+        *[(k,) for k in cells.KEYS[:7]],
+        ("city", "address_type"),
+        ("city", "delivery_window"),
+        ("address_type", "delivery_window"),
+    ]
+    return cells.rates_at_levels(cells.count_cells(deliveries(spark, sf_dir)), *levels)
+
+
 def _rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
     return df.withColumns({c: F.round(c, digits) for c in columns})
 

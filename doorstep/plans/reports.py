@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from doorstep.operators import counts, dashboard, marts, ranking, rates
+from doorstep.operators import cells, counts, dashboard, marts, ranking, rates
 from doorstep.operators.quality import accepted_values, assert_checks, not_null, run_checks
 from doorstep.operators.staging import with_features
 from doorstep.schema import WINDOWS
@@ -46,13 +46,16 @@ def run_reports(spark: SparkSession, df: DataFrame, out: str) -> int:
     """Write the featured records once, then every report from them; returns the records written.
 
     The heatmap names its windows, so nothing is written for records with another one, or none: the job stops instead.
-    Each report scans only its own few columns of the written table.
+    The written table is read once, to count its cells; all reports are roll-ups of the table ``cells``, which cells of
+    other loads can be merged with.
     """
     assert_checks(run_checks(df, [not_null("delivery_window"), accepted_values("delivery_window", WINDOWS)]))
     table = f"{out}/featured"
     featured = with_features(df)
     rows = write_partitioned(featured, table)
     featured = read_partitioned(spark, table, featured.schema, expected_rows=rows)
-    for name, report in REPORTS.items():
-        export_mart(report(featured), f"{out}/reports/{name}")
+    cells.count_cells(featured).write.mode("overwrite").parquet(f"{out}/cells")
+    counted = spark.read.parquet(f"{out}/cells")
+    for name, report in cells.REPORTS.items():
+        export_mart(report(counted), f"{out}/reports/{name}")
     return rows
