@@ -42,7 +42,7 @@ def consume_events(
         batch = batch.persist()
         try:
             good, bad = stream.decode_events(batch)
-            store.store_new_events(stream.stamp_consumed(good), f"{out}/events")
+            stream.store_and_compact(stream.stamp_consumed(good), f"{out}/events")
             bad.write.mode("overwrite").parquet(f"{out}/malformed/batch={number}")
             record_outcomes(outcomes(good), out, number)
         finally:

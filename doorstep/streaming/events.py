@@ -10,7 +10,8 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQue
 from doorstep.functions.labels import is_terminal
 from doorstep.functions.text import ingest_stamp, json_fields, json_text
 from doorstep.schema import EVENT, TOPIC
-from doorstep.streaming.store import EVENT_KEY, has_files, store_new_events
+from doorstep.streaming.compaction import compact_day, replaced_loads
+from doorstep.streaming.store import EVENT_KEY, LOAD, has_files, store_new_events
 
 MALFORMED = "malformed"
 
@@ -129,17 +130,30 @@ def append_new_events(
 ) -> StreamingQuery:
     """Append each event once, however often and however late it arrives.
 
-    See :func:`doorstep.streaming.store.store_new_events`, which every micro-batch goes through.
+    See :func:`store_and_compact`, which every micro-batch goes through.
     """
-    writer = events.writeStream.foreachBatch(lambda batch, _: store_new_events(batch, path, keys))
+    writer = events.writeStream.foreachBatch(lambda batch, _: store_and_compact(batch, path, keys))
     return _launch(writer, checkpoint, available_now, every)
 
 
+def store_and_compact(batch: DataFrame, path: str, keys: tuple[str, ...] = EVENT_KEY) -> None:
+    """:func:`doorstep.streaming.store.store_new_events`, then the merge of days with many loads."""
+    for day in store_new_events(batch, path, keys):
+        compact_day(batch.sparkSession, path, day, batch.schema, keys)
+
+
 def read_events_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """The stored events; an event table that does not exist yet has none."""
+    """The stored events; an event table that does not exist yet has none.
+
+    Loads that a merge has replaced, or that a stopped one left, are passed over by their partition.
+    """
     if not has_files(spark, path):
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(path).select(schema.fieldNames())
+    replaced = [load for _, load in replaced_loads(spark, path)]
+    if not replaced:
+        return spark.read.schema(schema).parquet(path).select(schema.fieldNames())
+    table = spark.read.schema(T.StructType([*schema.fields]).add(LOAD, "string")).parquet(path)
+    return table.where(~F.col(LOAD).isin(replaced)).select(schema.fieldNames())
 
 
 class Progress(StreamingQueryListener):

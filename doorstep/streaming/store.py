@@ -16,7 +16,7 @@ import uuid
 from functools import reduce
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 EVENT_KEY = ("delivery_id", "status", "timestamp")
 EVENT_DAY = "event_day"
@@ -55,6 +55,11 @@ def remove(spark: SparkSession, path: str) -> None:
     files.delete(folder, True)
 
 
+def size(spark: SparkSession, path: str) -> int:
+    folder, files = _path(spark, path)
+    return files.getContentSummary(folder).getLength()
+
+
 def day_folder(day) -> str:
     return f"{EVENT_DAY}={NULL_PARTITION if day is None else day}"
 
@@ -128,8 +133,8 @@ def stored_keys(spark: SparkSession, path: str, schema, loads: list[tuple], keys
     return stored.where(on_days & F.col(LOAD).isin(sorted({x for _, x in loads}))).select(EVENT_DAY, *keys)
 
 
-def store_new_events(batch: DataFrame, path: str, keys: tuple[str, ...] = EVENT_KEY) -> None:
-    """Append the events of ``batch`` that the table at ``path`` does not hold.
+def store_new_events(batch: DataFrame, path: str, keys: tuple[str, ...] = EVENT_KEY) -> list:
+    """Append the events of ``batch`` that the table at ``path`` does not hold; gives the days it has.
 
     Nothing is forgotten, so no event is too late. Keys are compared null-safe: an event without a timestamp has a day of
     its own, and is stored once like any other. Only the days of the batch and the loads that may hold its keys
@@ -141,7 +146,7 @@ def store_new_events(batch: DataFrame, path: str, keys: tuple[str, ...] = EVENT_
     try:
         sizes = [(r[EVENT_DAY], r["n"]) for r in fresh.groupBy(EVENT_DAY).agg(F.count("*").alias("n")).collect()]
         if not sizes:
-            return
+            return []
         new = fresh
         filters = read_filters(spark, path, [d for d, _ in sizes])
         if filters is not None:
@@ -158,6 +163,7 @@ def store_new_events(batch: DataFrame, path: str, keys: tuple[str, ...] = EVENT_
         fresh.unpersist()
     for day, _ in sizes:
         merge_filters(spark, path, day, batch.schema, keys)
+    return [day for day, _ in sizes]
 
 
 def merge_filters(spark: SparkSession, path: str, day, schema, keys: tuple[str, ...], most: int = MERGE_GROUPS) -> None:
@@ -172,7 +178,7 @@ def merge_filters(spark: SparkSession, path: str, day, schema, keys: tuple[str,
     largest = max(r["slots"] for r in sizes)
     chosen = sizes if sum(r["slots"] for r in sizes) >= 2 * largest else [r for r in sizes if r["slots"] < largest]
     loads = sorted({x for r in chosen for x in r["loads"]})
-    whole = schema.add(EVENT_DAY, "date").add(LOAD, "string")
+    whole = T.StructType([*schema.fields]).add(EVENT_DAY, "date").add(LOAD, "string")
     stored = hashed(stored_keys(spark, path, whole, [(day, x) for x in loads], keys), keys).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         group = f"l{uuid.uuid4().hex}"
