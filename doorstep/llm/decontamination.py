@@ -6,6 +6,11 @@ item at or above ``threshold``, and an exact check follows: ``min_overlap`` of t
 shingles must stand in the passage, and the same share of the question's and of the answer's words. Of a
 question or answer of fewer than five words one word may differ, whatever share that is.
 
+One altered word costs five shingles, so altered copies of short items are checked by their words as well: a
+stretch of the passage that the item turns into by editing at most ``1 - min_overlap`` of its words (put in, left out
+or replaced) holds it, if ``PART_OVERLAP`` of the question's and of the answer's words stand in that stretch; fewer than
+five words may lack one. ``overlap`` is the larger of both shares. Items of fewer than five words must stand as they are.
+
 Retrieval has two exact steps. A vectorised screen sums, for each passage and item, the scores of the
 passage's rarer terms; the item's common terms can add ``SPARE`` at most, so a pair that stays below
 ``threshold - SPARE`` cannot reach the threshold. The few passages left are searched by block-max WAND
@@ -34,6 +39,8 @@ from doorstep.llm.tables import settled, words
 
 K1, B = 1.2, 0.75
 SHINGLE_WORDS = 5
+#: Share of the question's and of the answer's words that an altered copy has at least.
+PART_OVERLAP = 0.6
 #: Score that an item's common terms, which the screen leaves out, add up to at most.
 SPARE = 0.3
 #: Items of one posting block.
@@ -208,6 +215,31 @@ def _stands(part: Counter, seen: Counter, min_overlap: float) -> bool:
     return short or _share(part, seen) >= min_overlap
 
 
+def fewest_edits(item: list[bytes], tokens: list[bytes]) -> tuple[int, int]:
+    """Word edits between the item and the stretch of ``tokens`` nearest to it, and where the first such stretch ends.
+
+    Bit k of the two vectors tells whether the distance rises or falls from the item's first k words to its first
+    k + 1, so a token costs a few operations on numbers of as many bits as the item has words.
+    """
+    places: dict[bytes, int] = {}
+    for k, word in enumerate(item):
+        places[word] = places.get(word, 0) | 1 << k
+    every, last = (1 << len(item)) - 1, 1 << len(item) >> 1
+    rises, falls, distance = every, 0, len(item)
+    best, end = distance, 0
+    for at, word in enumerate(tokens, 1):
+        equal = places.get(word, 0)
+        diagonal = (((equal & rises) + rises) ^ rises) | equal | falls
+        up, down = falls | (every & ~(diagonal | rises)), rises & diagonal
+        distance += bool(up & last) - bool(down & last)
+        # A stretch may start at any token: the distance of no words is 0 everywhere.
+        up, down = up << 1 & every, down << 1 & every
+        rises, falls = down | (every & ~(equal | falls | up)), up & (equal | falls)
+        if distance < best:
+            best, end = distance, at
+    return best, end
+
+
 @dataclass(frozen=True)
 class Match:
     item_id: int
@@ -250,9 +282,16 @@ def matches(index: ItemIndex, texts: list[str | None], threshold: float, min_ove
                 overlap = float(b" " + b" ".join(index.words[item]) + b" " in joined)
             else:
                 overlap = len(own & stand) / len(own)
-            parts = index.parts[item]
-            if overlap >= min_overlap and all(_stands(p, seen, min_overlap) for p in parts):
-                asked, answered = (_share(p, seen) for p in parts)
+            parts, held = index.parts[item], seen
+            stands = overlap >= min_overlap and all(_stands(p, seen, min_overlap) for p in parts)
+            if not stands and len(index.words[item]) >= SHINGLE_WORDS:
+                n = len(index.words[item])
+                edits, end = fewest_edits(index.words[item], wide)
+                overlap, held = max(overlap, 1 - edits / n), Counter(wide[max(0, end - n - edits) : end])
+                allowed = edits <= (1 - min_overlap) * n + 1e-9
+                stands = allowed and all(_stands(p, held, PART_OVERLAP) for p in parts)
+            if stands:
+                asked, answered = (_share(p, held) for p in parts)
                 match = Match(index.ids[item], score, overlap, asked, answered)
                 key = text, match.item_id
                 if key not in best or (match.overlap, match.score) > (best[key].overlap, best[key].score):

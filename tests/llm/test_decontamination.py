@@ -142,3 +142,76 @@ def test_scores_are_those_of_the_whole_benchmark_and_parts_are_bounded(spark, do
         kept = d.terms(text)[: 1 + 9 * len(text.split()) // 10]
         query = {whole.terms[t] for t in kept}
         assert got[k] == pytest.approx(item_scores(whole, query)[whole.ids.index(k)])
+
+
+def edits_by_table(item, tokens):
+    """Least word edits of the item into any stretch, by the whole table of distances."""
+    row = list(range(len(item) + 1))
+    best = row[-1]
+    for word in tokens:
+        new = [0]
+        for k, own in enumerate(item):
+            new.append(min(row[k] + (own != word), row[k + 1] + 1, new[k] + 1))
+        row = new
+        best = min(best, row[-1])
+    return best
+
+
+def test_fewest_edits_by_brute_force():
+    rng = random.Random(12)
+    for _ in range(400):
+        item = [b"%d" % rng.randrange(6) for _ in range(rng.randint(1, 70))]
+        tokens = [b"%d" % rng.randrange(6) for _ in range(rng.randint(0, 90))]
+        if rng.random() < 0.5:
+            at = rng.randint(0, len(tokens))
+            tokens[at:at] = [w for w in item if rng.random() > 0.1]
+        assert d.fewest_edits(item, tokens)[0] == edits_by_table(item, tokens)
+    item = b"a b c d e f".split()
+    assert d.fewest_edits(item, b"x a b q d e f y a b".split()) == (1, 7)
+    assert d.fewest_edits(item, []) == (6, 0)
+
+
+def altered(rng, words, text, n, how):
+    """The text with ``n`` words at random places replaced, left out or preceded by others."""
+    tokens = text.split()
+    for at in sorted(rng.sample(range(len(tokens)), n), reverse=True):
+        # The last word of a sentence keeps its mark.
+        mark = tokens[at][-1] if tokens[at][-1] in "?." else ""
+        other = rng.choice(words) + mark
+        tokens[at : at + 1] = {"replaced": [other], "left out": [mark][: bool(mark)], "put in": [rng.choice(words), tokens[at]]}[how]
+    return " ".join(tokens)
+
+
+@pytest.mark.parametrize("how", ["replaced", "left out", "put in"])
+def test_recall_of_altered_copies(how):
+    rng = random.Random(21)
+    words = [f"t{int(rng.paretovariate(0.5)) % 5000}" for _ in range(3000)]
+    items = []
+    for i in range(120):
+        asked = rng.choices(words, k=rng.randint(10, 50))
+        items.append((i, " ".join(asked) + "? " + " ".join(rng.choices(words, k=rng.randint(5, 9))) + "."))
+    index = d.ItemIndex(items)
+    for n, least in ((1, 0.98), (2, 0.9)):
+        texts = []
+        for _, text in items:
+            pads = [" ".join(rng.choices(words, k=80)) for _ in range(2)]
+            texts.append(f"{pads[0]} {altered(rng, words, text, n, how)} {pads[1]}")
+        got = set(d.matches(index, texts, 0.6, 0.8))
+        assert len({k for k, i in got if k == i}) >= least * len(items), (how, n)
+        assert not {(k, i) for k, i in got if k != i}
+
+
+def test_too_much_altered_and_out_of_order_is_no_copy():
+    long = [f"w{i}" for i in range(30)]
+    index = d.ItemIndex([(1, f"{' '.join(long)}? the answer has six words."), (2, "just four short words")])
+    rng = random.Random(5)
+    shuffled = rng.sample(long, 30)
+    far = [w if i % 3 else "x" for i, w in enumerate(long)]
+    texts = [
+        f"{' '.join(shuffled)}? the answer has six words.",
+        f"{' '.join(far)}? the answer has six words.",
+        # The question is there, the answer is another one.
+        f"{' '.join(long)}? something else is said here.",
+        "just four long words",
+    ]
+    assert not d.matches(index, texts, 0.6, 0.8)
