@@ -39,14 +39,14 @@ def consume_events(
     raw = stream.event_source(spark, fmt, **{**BATCH_BOUNDS.get(fmt, {}), **options})
 
     def take(batch: DataFrame, number: int) -> None:
-        batch = batch.persist()
+        parsed = stream.parse_events(batch).persist()
         try:
-            good, bad = stream.decode_events(batch)
+            good, bad = stream.split_events(parsed)
             stream.store_and_compact(stream.stamp_consumed(good), f"{out}/events")
             bad.write.mode("overwrite").parquet(f"{out}/malformed/batch={number}")
             record_outcomes(outcomes(good), out, number)
         finally:
-            batch.unpersist()
+            parsed.unpersist()
         if report is not None:
             report({"batch": number, **live_rate(batch.sparkSession, out).first().asDict()})
 

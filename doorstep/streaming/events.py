@@ -38,7 +38,18 @@ def decode_events(
 
     An absent field is NULL and an unknown one is ignored; neither makes a message malformed.
     """
-    parsed = raw.select("value", json_fields("value", schema, MALFORMED).alias("event"))
+    return split_events(parse_events(raw, schema), schema)
+
+
+def parse_events(raw: DataFrame, schema: T.StructType = EVENT) -> DataFrame:
+    """The messages beside what was parsed of them."""
+    return raw.select("value", json_fields("value", schema, MALFORMED).alias("event"))
+
+
+def split_events(
+    parsed: DataFrame, schema: T.StructType = EVENT
+) -> tuple[DataFrame, DataFrame]:
+    """The two outputs of :func:`decode_events` from messages parsed once."""
     fits = F.col(f"event.{MALFORMED}").isNull() & F.col("event").isNotNull()
     good = parsed.where(fits).select(*[f"event.{name}" for name in schema.fieldNames()])
     bad = parsed.where(~fits).select("value")

@@ -72,9 +72,20 @@ def _bit(number: int) -> Column:
     return F.pmod(F.xxhash64("hash", F.lit(number)), F.lit(SLOT_BITS))
 
 
+def _word(bits: Column, number: Column) -> Column:
+    """32 bits of a bitmap as a number."""
+    return F.conv(F.hex(F.substring(bits, (number * 4 + 1).cast("int"), F.lit(4))), 16, 10).cast("long")
+
+
+def _holds(word: Column, position: Column) -> Column:
+    # The first byte of a word is its highest; a byte's first bit is its lowest.
+    within = (position % 32).cast("int")
+    shift = F.lit(24) - F.shiftright(within, 3) * 8 + within % 8
+    return F.call_function("shiftright", word, shift) % 2 == 1
+
+
 def _knows(bits: Column, position: Column) -> Column:
-    byte = F.conv(F.hex(F.substring(bits, (F.floor(position / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
-    return F.floor(byte / F.pow(F.lit(2), position % 8)).cast("int") % 2 == 1
+    return _holds(_word(bits, F.shiftright(position, 5)), position)
 
 
 def hashed(events: DataFrame, keys: tuple[str, ...]) -> DataFrame:
@@ -85,9 +96,12 @@ def key_filters(events: DataFrame, sizes: list[tuple]) -> DataFrame:
     """A row per day and slot from events with ``hash``; ``sizes`` has (day, number of keys)."""
     spark = events.sparkSession
     slots = spark.createDataFrame([(d, _slots(n)) for d, n in sizes], "of date, slots long")
-    placed = events.join(slots, F.col(EVENT_DAY).eqNullSafe(F.col("of")))
+    placed = events.join(F.broadcast(slots), F.col(EVENT_DAY).eqNullSafe(F.col("of")))
+    # Keys travel, not a bitmap for every task and slot.
+    placed = placed.select(EVENT_DAY, "slots", F.pmod("hash", "slots").alias("slot"), "hash")
+    placed = placed.repartition(EVENT_DAY, "slots", "slot")
     bits = placed.select(
-        EVENT_DAY, "slots", F.pmod("hash", "slots").alias("slot"), F.explode(F.array(*[_bit(i) for i in range(HASHES)])).alias("bit")
+        EVENT_DAY, "slots", "slot", F.explode(F.array(*[_bit(i) for i in range(HASHES)])).alias("bit")
     )
     return bits.groupBy(EVENT_DAY, "slots", "slot").agg(F.bitmap_construct_agg("bit").alias("bits"))
 
@@ -110,8 +124,11 @@ def read_filters(spark: SparkSession, path: str, days: list) -> DataFrame | None
 
 def suspected_loads(events: DataFrame, filters: DataFrame) -> DataFrame:
     """(event_day, load) of the loads that may hold one of the events (with ``hash``)."""
-    known = reduce(lambda a, b: a & b, [_knows(F.col("bits"), _bit(i)) for i in range(HASHES)])
-    filters = filters.withColumnRenamed(EVENT_DAY, "of")
+    # The bitmaps become arrays of words before the join: no event copies one or cuts it up.
+    words = F.transform(F.sequence(F.lit(0), F.lit(SLOT_BITS // 32 - 1)), lambda k: _word(F.col("bits"), k))
+    filters = filters.select(F.col(EVENT_DAY).alias("of"), "slots", "slot", "loads", words.alias("words"))
+    looked_up = [_holds(F.get("words", F.shiftright(_bit(i), 5).cast("int")), _bit(i)) for i in range(HASHES)]
+    known = reduce(lambda a, b: a & b, looked_up)
     met = events.select(EVENT_DAY, "hash").join(
         filters, F.col(EVENT_DAY).eqNullSafe(F.col("of")) & (F.pmod("hash", "slots") == F.col("slot"))
     )
@@ -133,6 +150,10 @@ def stored_keys(spark: SparkSession, path: str, schema, loads: list[tuple], keys
     return stored.where(on_days & F.col(LOAD).isin(sorted({x for _, x in loads}))).select(EVENT_DAY, *keys)
 
 
+def _by_day(events: DataFrame) -> list[tuple]:
+    return [(r[EVENT_DAY], r["n"]) for r in events.groupBy(EVENT_DAY).agg(F.count("*").alias("n")).collect()]
+
+
 def store_new_events(batch: DataFrame, path: str, keys: tuple[str, ...] = EVENT_KEY) -> list:
     """Append the events of ``batch`` that the table at ``path`` does not hold; gives the days it has.
 
@@ -143,11 +164,12 @@ def store_new_events(batch: DataFrame, path: str, keys: tuple[str, ...] = EVENT_
     spark = batch.sparkSession
     fresh = hashed(batch.dropDuplicates(list(keys)).withColumn(EVENT_DAY, F.to_date("timestamp")), keys)
     fresh = fresh.persist(StorageLevel.MEMORY_AND_DISK)
+    new = fresh
     try:
-        sizes = [(r[EVENT_DAY], r["n"]) for r in fresh.groupBy(EVENT_DAY).agg(F.count("*").alias("n")).collect()]
+        sizes = _by_day(fresh)
         if not sizes:
             return []
-        new = fresh
+        added = sizes
         filters = read_filters(spark, path, [d for d, _ in sizes])
         if filters is not None:
             loads = [tuple(r) for r in suspected_loads(fresh, filters).collect()]
@@ -155,11 +177,16 @@ def store_new_events(batch: DataFrame, path: str, keys: tuple[str, ...] = EVENT_
                 schema = fresh.drop("hash").withColumn(LOAD, F.lit("")).schema
                 stored = stored_keys(spark, path, schema, loads, keys)
                 same = [fresh[c].eqNullSafe(stored[c]) for c in (EVENT_DAY, *keys)]
-                new = fresh.join(stored, same, "left_anti")
-        load = f"l{uuid.uuid4().hex}"
-        _write_filters(key_filters(new, sizes), path, load, [load])
-        new.drop("hash").withColumn(LOAD, F.lit(load)).write.mode("append").partitionBy(EVENT_DAY, LOAD).parquet(path)
+                new = fresh.join(stored, same, "left_anti").persist(StorageLevel.MEMORY_AND_DISK)
+                added = _by_day(new)
+        if added:
+            load = f"l{uuid.uuid4().hex}"
+            _write_filters(key_filters(new, added), path, load, [load])
+            # Rebalancing gives a day few files, however many tasks hold events of it.
+            rows = new.drop("hash").withColumn(LOAD, F.lit(load)).hint("rebalance", EVENT_DAY)
+            rows.write.mode("append").partitionBy(EVENT_DAY, LOAD).parquet(path)
     finally:
+        new.unpersist()
         fresh.unpersist()
     for day, _ in sizes:
         merge_filters(spark, path, day, batch.schema, keys)

@@ -124,3 +124,22 @@ def test_a_sum_that_was_not_finished_does_not_count(spark, tmp_path):
     # Finished, but what it covers is still there.
     spark.createDataFrame([(2, 2, 0)], OUTCOMES).write.mode("overwrite").parquet(f"{out}/outcomes/upto=1")
     assert tuple(live_rate(spark, out).first()) == (33.3, 3, 3)
+
+
+def test_a_day_gets_few_files_and_a_repeated_batch_none(spark, tmp_path):
+    path = str(tmp_path / "t")
+    batch = events(spark, range(400), 1).union(events(spark, range(400), 2)).repartition(40)
+    store.store_new_events(batch, path)
+    assert stored(spark, path).count() == 800 and len(stored(spark, path).inputFiles()) == 2
+    filters = spark.read.parquet(f"{path}_filters").inputFiles()
+    store.store_new_events(batch, path)
+    assert stored(spark, path).count() == 800 and spark.read.parquet(f"{path}_filters").inputFiles() == filters
+
+
+def test_suspected_loads_are_those_of_every_key_known(spark):
+    days = [dt.date(2024, 1, 1), None]
+    keyed = spark.range(2_000).select(F.element_at(F.array(*map(F.lit, days)), (F.col("id") % 2 + 1).cast("int")).alias("event_day"), F.xxhash64("id").alias("hash"))
+    filters = store.key_filters(keyed, [(days[0], 1_000), (None, 1_000)]).withColumn("loads", F.array(F.lit("l1"), F.lit("l2")))
+    for i in (0, 1, 2, 77, 1_999):
+        found = store.suspected_loads(keyed.where(F.col("hash") == F.xxhash64(F.lit(i).cast("long"))), filters)
+        assert sorted(map(tuple, found.collect())) == [(days[i % 2], "l1"), (days[i % 2], "l2")]
