@@ -37,6 +37,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 ONE_CITY = "ASIA"
 RULE_THRESHOLD = 0.75
 SCENARIO_COSTS = (30, 45, 60)
+# Records of one JSON array file: some 300 MB, a few blocks.
+ARRAY_ROWS = 1_000_000
 
 _QUERIES: dict[str, Query] = {}
 
@@ -283,17 +285,24 @@ def json_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _write_arrays(records: DataFrame, path: str, most: int = ARRAY_ROWS) -> None:
+    """Whole JSON arrays of about ``most`` records, one to a file; a task writes one and holds no more than that."""
+    spark = records.sparkSession
+    files_in_all = max(1, -(-records.count() // most))
+    part = F.pmod(F.xxhash64("delivery_id"), F.lit(files_in_all)).cast("int").alias("part")
+    rows = records.select(part, F.lit(1).alias("order"), F.concat(F.lit(","), F.to_json(F.struct("*"))).alias("value"))
+    head = "[" + json.dumps({"delivery_id": None})
+    for order, value in ((0, head), (2, "]")):
+        ends = spark.range(files_in_all).select(F.col("id").cast("int").alias("part"), F.lit(order).alias("order"), F.lit(value).alias("value"))
+        rows = rows.unionByName(ends)
+    rows.repartitionById(files_in_all, F.col("part")).sortWithinPartitions("order").select("value").write.text(path)
+
+
 @query
 def json_array(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All deliveries as one JSON array in one file, read by as many tasks as it has blocks."""
+    """All deliveries as JSON arrays, each one file of several blocks, read by as many tasks as there are blocks."""
     path = scratch_dir(spark, "json-array")
-    rows = deliveries(spark, sf_dir).select(F.to_json(F.struct("*")).alias("value"))
-    rows = rows.withColumn("value", F.concat(F.lit(","), "value"))
-    head = spark.createDataFrame([("[" + json.dumps({"delivery_id": None}),)], "value string")
-    # One file takes one writing task; the reading is what is spread.
-    rows.union(head).union(spark.createDataFrame([("]",)], "value string")).withColumn(
-        "order", F.when(F.col("value").startswith("["), 0).when(F.col("value") == "]", 2).otherwise(1)
-    ).coalesce(1).sortWithinPartitions("order").select("value").write.text(path)
+    _write_arrays(deliveries(spark, sf_dir), path)
     return load_json_array(spark, path, DELIVERIES).where("delivery_id IS NOT NULL")
 
 

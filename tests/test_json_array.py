@@ -4,6 +4,7 @@ import random
 import pytest
 from pyspark.sql import types as T
 
+from doorstep.plans import registry
 from doorstep.sources.files import load_json_records
 from doorstep.sources.json_array import array_objects, load_json_array
 
@@ -56,3 +57,19 @@ def test_several_files_and_empty_arrays(spark, tmp_path):
     assert sorted((json.loads(r.value) for r in objects), key=str) == sorted(records(5) + records(3, 2), key=str)
     only = load_json_array(spark, str(tmp_path / "b.json"), SCHEMA)
     assert only.count() == 0 and only.schema == SCHEMA
+
+
+def test_arrays_of_bounded_size_are_whole_files(spark, tmp_path):
+    rows = [(str(i), f"x{{{i}") for i in range(50)] + [(None, "no id")]
+    registry._write_arrays(spark.createDataFrame(rows, "delivery_id string, city string"), str(tmp_path / "a"), most=20)
+    arrays = [json.loads(p.read_text()) for p in sorted((tmp_path / "a").glob("part-*"))]
+    assert len(arrays) == 3 and max(map(len, arrays)) < 40
+    got = [(r.get("delivery_id"), r["city"]) for a in arrays for r in a if "city" in r]
+    assert sorted(got, key=str) == sorted(rows, key=str)
+
+
+def test_windows_hold_no_text(spark, tmp_path):
+    (tmp_path / "a.json").write_text(json.dumps(records(30)))
+    plan = array_objects(spark, str(tmp_path / "a.json"))._jdf.queryExecution().optimizedPlan()
+    below = [plan.p(i) for i in range(200) if plan.p(i) is not None and plan.p(i).nodeName() == "Window"]
+    assert below and not any('value' in w.output().mkString(",") for w in below)
