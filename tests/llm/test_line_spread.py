@@ -1,5 +1,7 @@
 from collections import defaultdict
 
+from pyspark.sql import functions as F
+
 from doorstep.llm import line_spread
 from doorstep.llm.oracles import ORACLES
 from doorstep.llm.queries import all_queries
@@ -58,3 +60,34 @@ def test_cleaned_text(docs):
     assert line_spread.clean_documents(df).columns == df.columns and len(got) == len(rows)
     assert got[1].text == "own line 1\nshared by 1\nof 1 sites\n\n  ".replace("shared by 1\n", "shared by 1\n")
     assert got[400].text is None and got[201].text == "" and got[201].n_chars == 0 and got[300].text == "on four"
+
+
+def test_counts_come_from_the_cleaned_texts(docs, monkeypatch):
+    rows = corpus()
+    cut = line_spread._cut
+    monkeypatch.setattr(line_spread, "_cut", lambda d, s: cut(d, s).withColumn("cleaned", F.lit("")))
+    got = {(r.n_lines, r.n_removed) for r in line_spread.line_counts(docs(*rows)).collect()}
+    assert got and all(n == gone for n, gone in got)
+
+
+def test_every_line_gets_a_sketch(docs, monkeypatch):
+    hashed = line_spread.hashed_lines(docs(*corpus()))
+    plans, settled = {}, line_spread.settled
+
+    def watched(df, label):
+        plans[label] = df._jdf.queryExecution().optimizedPlan().toString()
+        return settled(df, label)
+
+    monkeypatch.setattr(line_spread, "settled", watched)
+    line_spread.boilerplate(hashed).count()
+    # No plainer count decides beforehand which lines are sketched.
+    assert set(plans) == {"line-spread", "boilerplate"} and "Join" not in plans["line-spread"]
+
+
+def test_a_long_text_and_rows_without_an_id(docs):
+    long = "\n".join(f"line {i}" for i in range(30_000))
+    rows = [(None, f"{long}\nown {i}", f"s{i}") for i in range(6)]
+    got = line_spread.line_counts(docs(*rows)).collect()
+    assert sorted(tuple(r)[:3] for r in got) == [(None, 30_001, 30_000)] * 6
+    cleaned = [r.text for r in line_spread.clean_documents(docs(*rows)).collect()]
+    assert sorted(cleaned) == [f"own {i}" for i in range(6)]
